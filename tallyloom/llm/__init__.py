@@ -1,0 +1 @@
+"""Operators on text for training data; nothing outside this subpackage imports it."""
