@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import unify
+from tallyloom.llm import canonical, unify
 from tallyloom.session import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.product_brands(table(spark, d, "product"), table(spark, d, "brand_ref")).select("row_id", "field", "pos", "brand_id")
+
+
+def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The texts that mean no listed brand, with their number of occurrences."""
+    return (
+        canonical.product_brands(table(spark, d, "product"), table(spark, d, "brand_ref"))
+        .where("brand_id = -1")
+        .groupBy("text")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+    )
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.disguised_values(table(spark, d, "product"), ["row_id"], ["name", "reference"]).select("row_id", "field")
 
@@ -16,4 +31,4 @@ def p3_normalized(spark: SparkSession, d: str) -> DataFrame:
     return unify.normalized(table(spark, d, "product"), ["row_id"], ["name", "reference"])
 
 
-QUERIES = {"p3_found": p3_found, "p3_normalized": p3_normalized}
+QUERIES = {"p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}

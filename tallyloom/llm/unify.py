@@ -152,7 +152,7 @@ def consistent(text: str) -> str:
 
 def folded(text: str) -> str:
     """consistent, lower case and without accents: the key for comparisons."""
-    plain = unicodedata.normalize("NFKD", consistent(text).lower())
+    plain = unicodedata.normalize("NFD", consistent(text).lower())
     return "".join(c for c in plain if not unicodedata.combining(c))
 
 
