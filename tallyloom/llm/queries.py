@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import canonical, unify
+from tallyloom.llm import canonical, leaks, pii, unify
 from tallyloom.session import table
 
 
@@ -31,4 +31,30 @@ def p3_normalized(spark: SparkSession, d: str) -> DataFrame:
     return unify.normalized(table(spark, d, "product"), ["row_id"], ["name", "reference"])
 
 
-QUERIES = {"p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
+def p7_item_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every leaked item with the number of documents that hold it."""
+    found = leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_item"))
+    return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"))
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(table(spark, d, "documents"), PSEUDONYM_KEY)
+
+
+#: The key of the registered query; a deployment passes its own secret.
+PSEUDONYM_KEY = b"tallyloom example key"
+
+QUERIES = {
+    "p7_found": p7_found,
+    "p7_item_report": p7_item_report,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
+    "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}
