@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.binding import let
+
 # Notations of a unit and its factor to the common unit of its measure.
 VOLUME_ML = [
     (r"fl\.?\s*oz\.?", 29.5735295625),
@@ -44,11 +46,6 @@ NUMBER = r"\d+\s*/\s*\d+|\d+r\d+|\d[\d.,]*|[.,]\d[\d.,]*"
 TOLERANCE = 1e-9
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value evaluated once, however often body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def plain(c: Column) -> Column:
     """Lower case, one notation for fractions and signs, blanks collapsed."""
     c = F.lower(F.translate(c, "\u00a0\u2126\u00b5", " \u03a9\u03bc"))
