@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import canonical, leaks, pii, unify
+from tallyloom.llm import canonical, leaks, mixing, pii, unify
 from tallyloom.session import table
 
 
@@ -41,6 +41,15 @@ def p7_item_report(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "mix_target")
+    return mixing.share_report(mixing.mixed(table(spark, d, "documents"), targets), targets)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.found(table(spark, d, "documents"))
 
@@ -55,6 +64,8 @@ PSEUDONYM_KEY = b"tallyloom example key"
 QUERIES = {
     "p7_found": p7_found,
     "p7_item_report": p7_item_report,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_redacted": p9_redacted,
     "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}
