@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import canonical, leaks, mixing, pii, unify
+from tallyloom.llm import canonical, leaks, mixing, pii, same_item, unify
 from tallyloom.session import table
 
 
@@ -31,6 +31,14 @@ def p3_normalized(spark: SparkSession, d: str) -> DataFrame:
     return unify.normalized(table(spark, d, "product"), ["row_id"], ["name", "reference"])
 
 
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return same_item.item_groups(table(spark, d, "product"), table(spark, d, "brand_ref")).select("row_id", "item_id")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return same_item.item_pairs(same_item.item_groups(table(spark, d, "product"), table(spark, d, "brand_ref")))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
@@ -62,6 +70,8 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
 PSEUDONYM_KEY = b"tallyloom example key"
 
 QUERIES = {
+    "p5_found": p5_found,
+    "p5_groups": p5_groups,
     "p7_found": p7_found,
     "p7_item_report": p7_item_report,
     "p8_mix": p8_mix,
