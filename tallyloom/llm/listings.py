@@ -25,7 +25,7 @@ COLOURS = {
 # Advertising, type and filler words of listings.
 ADVERTS = [
     r"100\s*%\s*original", r"original", r"envio\s*24\s*h", r"envio gratis", r"recomendado", r"precio mayorista", r"ultimas unidades", r"novedad(?:es)?", r"new", r"hot price",
-    r"best seller", r"top ventas", r"oferta", r"-\s*\d+\s*%(?=\s)", r"nuevo", r"sale", r"outlet", r"super precio", r"promo(?:cion)?", r"limited", r"stock limitado", r"exclusivo",
+    r"best seller", r"top ventas", r"oferta", r"-\d+\s*%(?=\s|$)", r"nuevo", r"sale", r"outlet", r"super precio", r"promo(?:cion)?", r"limited", r"stock limitado", r"exclusivo",
 ]
 TYPES = [
     r"sales? de nicotina", r"nicotine salts?", r"nic salts?", r"salts?", r"sales?", r"base neutra", r"base diy", r"base", r"booster", r"nicokit", r"aroma concentrate", r"aroma diy",
@@ -45,7 +45,7 @@ _STRENGTH = re.compile(rf"(?<![\d.,/-]){_N}\s*(mg\s*/\s*ml|mg|%|g/l)(?!\w)")
 _OHMS = re.compile(rf"(?<![\d.,/]){_N}\s*(mohm|m\s?ω|miliohm\w*|ohm\w*|ω)")
 _PACK = re.compile(r"\(?\bpack(?:\s+de)?\s+(\d+)\b\)?|\(?\b(\d+)\s*(?:uds?|unidades|pcs|piezas|pieces)\b\.?\)?|\bx\s?(\d+)\b|\b(\d+)\s?x\b(?!\d)")
 _RATIO = re.compile(r"\b(\d{2})\s*/\s*(\d{2})\b")
-_NOT_STRENGTH = re.compile(r"-\s*\d+\s*%|100\s*%\s*original")
+_NOT_STRENGTH = re.compile(r"(?<!\S)-\d+\s*%|100\s*%\s*original")
 _MODEL_IN_DESCRIPTION = re.compile(
     r"^(?:nuestro equipo ha elegido|ya disponible:?|descubre|ahora en stock,?|llega al catalogo|discover|introducing|te presentamos|presentamos|vuelve|llega|new in:?|now in stock,?|meet)\s+(.{3,60}?):"
 )

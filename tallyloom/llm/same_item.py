@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,22 +23,33 @@ _SIG = ["model", "edition", "volume", "strength", "ohm", "pack", "colour"]
 _WORDS = re.compile(r"[a-z0-9&]+")
 
 
-def brand_lexicon(product: DataFrame, brand_ref: DataFrame) -> frozenset[str]:
-    """Words of the listed brands and of brand texts common in the rows (bounded by KNOWN_BRAND_SHARE)."""
+def brand_lexicon(product: DataFrame, brand_ref: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
+    """(words of the listed brands and of brand texts common in the rows, those of several listed brands).
+
+    A text is common if one row in KNOWN_BRAND_SHARE carries it, which bounds their number.
+    """
     listed = [r[0] for r in brand_ref.select("brand_name").where("brand_name is not null").limit(100_000).collect()]
     texts = product.select(F.explode(F.array("brand", "commercial_brand")).alias("b")).where("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     n = max(2, product.count() // KNOWN_BRAND_SHARE)
     common = [r[0] for r in texts.groupBy(F.trim(folded_col(F.col("b"))).alias("b")).agg(F.sum("n").alias("n")).where(F.col("n") >= n).select("b").collect()]
-    return frozenset(w for t in [*listed, *common] for w in _WORDS.findall(folded(t)))
+    owners = Counter(w for t in {folded(t) for t in listed} for w in set(_WORDS.findall(t)))
+    return frozenset(w for t in [*listed, *common] for w in _WORDS.findall(folded(t))), frozenset(w for w, k in owners.items() if k > 1)
+
+
+def brand_word(texts: list[str], name: str, model: str, generic: frozenset[str] | set[str]) -> str | None:
+    """The longest word of the brand texts that the name confirms and that no second brand shares."""
+    in_name = set(_WORDS.findall(folded(name))) - set(model.split()) - generic
+    words = {w for t in texts for w in _WORDS.findall(folded(t)) if len(w) > 3}
+    return max(words & in_name, key=lambda w: (len(w), w), default=None)
 
 
-def attributes(product: DataFrame, brand_words: frozenset[str]) -> DataFrame:
+def attributes(product: DataFrame, lexicon: tuple[frozenset[str], frozenset[str]]) -> DataFrame:
     """row_id, seller and what each listing says of its item; listings without a model are left out."""
     schema = "row_id bigint, seller string, model string, edition string, volume double, strength double, ohm double, pack int, colour string, brand string"
-    words = product.sparkSession.sparkContext.broadcast(brand_words)
+    words = product.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = words.value
+        known, generic = words.value
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
@@ -46,9 +57,7 @@ def attributes(product: DataFrame, brand_words: frozenset[str]) -> DataFrame:
                 p = parse(r.name, r.description, dict(r.variants) if r.variants is not None else None, known)
                 if not p["model"]:
                     continue
-                in_name = set(_WORDS.findall(folded(r.name or "")))
-                heads = [w[0] for t in [*texts, p["named_brand"]] if t and (w := _WORDS.findall(folded(t)))]
-                brand = next((h for h in heads if len(h) > 3 and h in in_name and h not in p["model"].split()), None)
+                brand = brand_word([*texts, *([p["named_brand"]] if p["named_brand"] else [])], r.name, p["model"], generic)
                 device = p["volume"] is None and p["strength"] is None and p["ohm"] is None
                 out.append((r.row_id, r.seller, p["model"], p["edition"], p["volume"], p["strength"], p["ohm"], p["pack"], p["colour"] if device else None, brand))
             yield pd.DataFrame(out, columns=["row_id", "seller", *_SIG, "brand"]).astype({"pack": "Int32"})
