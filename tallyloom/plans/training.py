@@ -64,3 +64,22 @@ QUERIES = {
     "p4_column_units": p4_column_units,
     "p6_found": p6_found,
 }
+
+_ONE = "row_number() over (partition by snapshot_no, distributor, listing_id order by captured_at desc nulls last) as n"
+_CONTENT = (
+    "(trim(regexp_replace(name, '\\s+', ' ', 'g')), coalesce(list_sort(map_entries(variants)), []), reference, category, cast(round(price_tax_excluded * 100) as bigint))"
+)
+SQL = {
+    "p1_found": f"""
+        with seq as (select distributor, snapshot_no, row_number() over w as i, lead(snapshot_no) over w as next_no
+                     from (select distinct distributor, snapshot_no from snapshot_delivery) window w as (partition by distributor order by snapshot_no)),
+        r as (select s.snapshot_no, s.distributor, listing_id, cast({_CONTENT} as varchar) as c, i, next_no
+              from (select *, {_ONE} from catalog_snapshot) s join seq on seq.distributor = s.distributor and seq.snapshot_no = s.snapshot_no where n = 1),
+        o as (select distributor, next_no as at, listing_id, c from r where next_no is not null),
+        k as (select distributor, snapshot_no as at, listing_id, c from r where i > 1)
+        select coalesce(k.at, o.at) as snapshot_no, coalesce(k.listing_id, o.listing_id) as listing_id,
+               case when o.listing_id is null then 'added' when k.listing_id is null then 'removed' else 'changed' end as change_kind
+        from k full join o on k.distributor = o.distributor and k.at = o.at and k.listing_id = o.listing_id
+        where o.listing_id is null or k.listing_id is null or k.c <> o.c""",
+    "p4_column_units": "select distinct l_returnflag, 'eur' as price_unit, 'unit' as quantity_unit, 'cent' as rate_unit, true as \"unique\" from lineitem",
+}
