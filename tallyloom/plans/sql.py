@@ -62,18 +62,21 @@ def sql_weight(w: str) -> str:
 def sql_hw(a: str, b: str) -> str:
     """The hardware score of two names without roman numerals or generic words."""
 
+    stop = ", ".join(repr(w) for w in S.GENERIC)
+
     def toks(c: str) -> str:
-        return f"string_split({sql_plain(c)}, ' ')"
+        return f"list_filter(string_split({sql_plain(c)}, ' '), lambda w: w not in ({stop}))"
 
     def total(lst: str) -> str:
         return f"coalesce(list_sum(list_transform({lst}, lambda w: {sql_weight('w')})), 0.0)"
 
     ta, tb = toks(a), toks(b)
     c, u = f"list_intersect({ta}, {tb})", f"list_distinct({ta} || {tb})"
-    raw = f"0.62 * {total(c)} / {total(u)} + 0.28 * greatest({total(c)} / {total(ta)}, {total(c)} / {total(tb)})"
-    inside = f"case when contains({sql_plain(a)}, {sql_plain(b)}) or contains({sql_plain(b)}, {sql_plain(a)}) then 0.08 else 0.0 end"
+    raw = f"0.62 * {total(c)} / nullif({total(u)}, 0) + 0.28 * greatest({total(c)} / nullif({total(ta)}, 0), {total(c)} / nullif({total(tb)}, 0))"
+    ja, jb = (f"array_to_string({t}, ' ')" for t in (ta, tb))
+    inside = f"case when length({ta}) > 0 and length({tb}) > 0 and (contains({ja}, {jb}) or contains({jb}, {ja})) then 0.08 else 0.0 end"
     core = f"length({c}) >= 2 and {total(c)} / least({total(ta)}, {total(tb)}) >= 0.68"
-    return f"round(least(1.0, case when {core} then greatest({raw} + {inside}, 0.72) else {raw} + {inside} end)::double, 6)"
+    return f"coalesce(round(least(1.0, case when {core} then greatest({raw} + {inside}, 0.72) else {raw} + {inside} end)::double, 6), 0.0)"
 
 
 COLOURS_SQL = "coalesce(lower(trim(variants['Colour'])), lower(trim(variants['Color'])), lower(trim(variants['COLOR'])), lower(trim(variants['color de referencia'])))"
