@@ -19,6 +19,15 @@ PRODUCT = (
 )
 
 
+PAGE_FIELDS = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("meta", T.StringType()),
+        T.StructField("options", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
+    ]
+)
+
+
 def lenient(text: Column) -> Column:
     """JSON text without a byte order mark and without trailing commas."""
     return F.regexp_replace(F.regexp_replace(text, "^﻿", ""), r",\s*([\]}])", "$1")
@@ -69,7 +78,7 @@ def tagged(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet")
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
     """Lines `brand[=>brand]:type`, comma lists and # comments allowed."""
-    line = F.trim(F.explode(F.split(F.regexp_replace("value", "#.*$", ""), ",")))
+    line = F.explode(F.transform(F.split(F.regexp_replace("value", "#.*$", ""), ","), F.trim))
     parts = spark.read.text(path).select(line.alias("l")).where("l <> ''").select(F.split("l", ":").alias("p"))
     brands = F.split(F.col("p")[0], "=>")
     return parts.select(F.trim(brands[0]).alias("a_brand"), F.trim(F.coalesce(F.get(brands, 1), brands[0])).alias("b_brand"), F.trim(F.get("p", F.lit(1))).alias("product_type"))
@@ -94,7 +103,7 @@ def strip_tags(page: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(page, r"<[^>]*>", " "), r"\s+", " "))
 
 
-@F.pandas_udf("name string, meta string, options map<string,array<string>>")
+@F.pandas_udf(PAGE_FIELDS)
 def page_fields(pages: pd.Series) -> pd.DataFrame:
     """h1, meta description and the options of every select of captured pages."""
     rows = []
