@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.unify import folded_col
 from tallyloom.session import bounded, checkpointed, salted_lookup
@@ -59,12 +60,12 @@ def one_error(a: str, b: str) -> int:
     return 1 if (a[i + 1 :] == b[i:] if n > m else a[i:] == b[i + 1 :]) else 2
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def tokens_of(keys: pd.Series) -> pd.Series:
     return keys.map(lambda k: token_set(k.replace(" ", "")))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def typing_distance(keys: pd.Series, spelled: pd.Series, kinds: pd.Series) -> pd.Series:
     """Typing errors between key and spelling, words in either order for full spellings."""
 

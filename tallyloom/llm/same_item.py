@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.listings import parse
 from tallyloom.llm.unify import folded, folded_col
@@ -190,7 +191,7 @@ def _components(edges: dict[tuple[int, int], float]) -> list[tuple[list[int], li
     return out
 
 
-@F.pandas_udf("array<struct<node:bigint,item:bigint>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("item", T.LongType())])))
 def _grouped(blocks: pd.Series) -> pd.Series:
     return pd.Series([[{"node": n, "item": i} for n, i in group_block([_clean(x) for x in b]).items()] for b in blocks])
 
