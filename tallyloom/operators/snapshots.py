@@ -136,7 +136,7 @@ def snapshot_changes(
     )
 
 
-def catalog_changes(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
+def catalog_changes(snapshots: DataFrame, deliveries: DataFrame, carry: Sequence[str] = ("url", "name")) -> DataFrame:
     """The operator with the catalogue's notion of a changed listing."""
     return snapshot_changes(
         snapshots,
@@ -152,7 +152,7 @@ def catalog_changes(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
             F.col("category"),
             cents(F.col("price_tax_excluded")),
         ],
-        carry=["url", "name"],
+        carry=carry,
     )
 
 

@@ -10,7 +10,7 @@ from tallyloom.session import table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return snapshots.catalog_changes(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery")).select(
+    return snapshots.catalog_changes(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery"), carry=()).select(
         "snapshot_no", "listing_id", "change_kind"
     )
 
