@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
-from tallyloom.operators import assign, catalog
+from tallyloom.operators import assign, candidates, catalog
 from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_hw, sql_key, sql_numbers, sql_plain, sql_similarity, sql_status, sql_type, sql_weight
 from tallyloom.session import table
 from tallyloom.sources import files
@@ -343,6 +343,14 @@ def q_inverted_index_topk(spark: SparkSession, d: str) -> DataFrame:
     return catalog.shared_token_candidates(a, b, 40, 5).select("a_id", "b_id", "shared", "position")
 
 
+@query()
+def q_inverted_index_all(spark: SparkSession, d: str) -> DataFrame:
+    """The 120 best candidates of every row at every other distributor over all indexed fields and
+    all tokens; q_inverted_index_topk keeps the cuts of its SQL. Tested against brute force."""
+    p = table(spark, d, "product").select("row_id", "distributor", candidates.product_words().alias("tokens"))
+    return candidates.shared_token_best(p, "row_id", "distributor", "tokens", 120).withColumnRenamed("b_side", "b_distributor")
+
+
 @query(
     f"with p as (select match_id, list_distinct(string_split({sql_plain('a_title')}, ' ')) as a, list_distinct(string_split({sql_plain('b_title')}, ' ')) as b from variant_match where a_title is not null and b_title is not null), "
     "c as (select match_id, length(list_intersect(a, b))::double / greatest(1, least(length(a), length(b))) as t from p) "
