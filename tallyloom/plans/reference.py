@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions import hardware as H
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.operators import assign, candidates, catalog
@@ -267,6 +268,18 @@ def q_best_match(spark: SparkSession, d: str) -> DataFrame:
     return a.select("a_id").join(best, "a_id", "left").select("a_id", "best", F.when(F.col("best").isNull(), "no_match").otherwise("match").alias("decision"), "score")
 
 
+@query()
+def q_best_match_full(spark: SparkSession, d: str) -> DataFrame:
+    """q_best_match with the whole score; p_size stands for the capacity. Its parts are tested on the golden cases."""
+    a, b = _part_sides(spark, d)
+    seen = lambda n: H.product_features(F.col(f"{n}_name"), [F.col("brand")], F.col("kind"), more=[F.concat(F.col("size").cast("string"), F.lit(" ml"))])
+    keys = ["brand", "kind", "size"]
+    x, y = a.select("a_id", *keys, seen("a").alias("x")), b.withColumnRenamed("b_size", "size").select("b_id", *keys, seen("b").alias("y"))
+    scored = x.join(y, keys).select("a_id", "b_id", F.round(H.product_pair_score(F.col("x"), F.col("y")), 6).alias("score")).where("score >= 0.72")
+    best = assign.best_and_alternatives(scored, "a_id", "b_id", "score", "b_id").select("a_id", "best", F.col("best_score").alias("score"))
+    return a.select("a_id").join(best, "a_id", "left").select("a_id", "best", F.when(F.col("best").isNull(), "no_match").otherwise("match").alias("decision"), "score")
+
+
 @query(
     f"{_HW}, r as (select *, row_number() over (partition by a_id order by score desc, b_id) as n from s) select a_id, string_agg(b_id || ':' || printf('%.2f', score), '|' order by n) filter (n between 2 and 6) as alternatives from r group by 1"
 )
