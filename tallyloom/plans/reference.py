@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import hardware as H
+from tallyloom.functions import rescue as R
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.operators import assign, candidates, catalog
@@ -378,6 +379,23 @@ def q_rescue_score(spark: SparkSession, d: str) -> DataFrame:
     return c.select("match_id", F.round(catalog.rescue_score(F.col("t"), F.col("t"), F.lit(True), F.lit(True), F.lit(True), F.lit(False)), 6).alias("score"))
 
 
+@query()
+def q_rescue_score_full(spark: SparkSession, d: str) -> DataFrame:
+    """The rescue score of the pairs of variant_match from the product rows their variant ids end in.
+
+    A pair with both base ids is of one matched base; with a base on side a only it is a split base.
+    """
+    p = table(spark, d, "product").select(F.col("row_id"), R.captured_features().alias("f"))
+    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
+    v = table(spark, d, "variant_match").select(
+        "match_id", row("a_variant_id").alias("a_row"), row("b_variant_id").alias("b_row"),
+        T.blank_to_null(F.col("base_match_a_id")).isNotNull().alias("a_base"), T.blank_to_null(F.col("base_match_b_id")).isNotNull().alias("b_base"),
+    )
+    pairs = v.join(p.select(F.col("row_id").alias("a_row"), F.col("f").alias("a")), "a_row").join(p.select(F.col("row_id").alias("b_row"), F.col("f").alias("b")), "b_row")
+    audit = R.pair_audit(F.col("a"), F.col("b"), F.col("a_base") & F.col("b_base"), F.col("a_base") & ~F.col("b_base"))
+    return pairs.select("match_id", audit.alias("r")).select("match_id", S.js_round(F.col("r.score")).alias("score"), "r.hard_conflict")
+
+
 # --- joins, merges, coverage ---------------------------------------------------------------------
 @query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
 def q_coverage_anti(spark: SparkSession, d: str) -> DataFrame:
