@@ -208,3 +208,20 @@ def url_report(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
             F.array_join(F.array_sort(F.array_except("a.n", "a.o")), " | ").alias("only_new_names"),
         )
     )
+
+
+def url_row_counts(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Per distributor, delivery after its first and url: captured rows before and after, and the outcome.
+
+    Before is the distributor's preceding delivery, so a snapshot it did not deliver reports nothing.
+    """
+    w = Window.partitionBy("distributor").orderBy("snapshot_no")
+    known = deliveries.select("distributor", "snapshot_no").where("distributor is not null and snapshot_no is not null").distinct()
+    seq = known.withColumn("_prev", F.lag("snapshot_no").over(w)).withColumn("_next", F.lead("snapshot_no").over(w))
+    listed = snapshots.groupBy("distributor", "snapshot_no", "url").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(seq), ["distributor", "snapshot_no"])
+    none = F.lit(0).cast("bigint")
+    new = listed.where("_prev is not null").select("distributor", "snapshot_no", "url", none.alias("o"), F.col("n").alias("k"))
+    old = listed.where("_next is not null").select("distributor", F.col("_next").alias("snapshot_no"), "url", F.col("n").alias("o"), none.alias("k"))
+    g = new.unionByName(old).groupBy("distributor", "snapshot_no", "url").agg(F.sum("o").alias("old_rows"), F.sum("k").alias("new_rows"))
+    outcome = F.when(F.col("old_rows") == 0, "added").when(F.col("new_rows") == 0, "missing").when(F.col("old_rows") != F.col("new_rows"), "row_count").otherwise("same")
+    return g.withColumn("outcome", outcome)

@@ -9,7 +9,7 @@ from tallyloom.functions import hardware as H
 from tallyloom.functions import rescue as R
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
-from tallyloom.operators import assign, candidates, catalog
+from tallyloom.operators import assign, candidates, catalog, snapshots
 from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_hw, sql_key, sql_numbers, sql_plain, sql_similarity, sql_status, sql_type, sql_weight
 from tallyloom.session import table
 from tallyloom.sources import files
@@ -569,6 +569,12 @@ def q_snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
     return g.withColumn("outcome", outcome)
 
 
+@query()
+def q_snapshot_diff_all(spark: SparkSession, d: str) -> DataFrame:
+    """q_snapshot_diff for every delivery after a distributor's first, against its preceding delivery."""
+    return snapshots.url_row_counts(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery"))
+
+
 @query(
     "with p as (select pair_id, verdict, case when spec_set like '%control%' then 'SAME' else 'DIFFERENT' end as predicted from pair_spec) select coalesce(verdict, 'none') as verdict, count(*) as pairs, count(*) filter (verdict = predicted) as passed, count(*) filter (verdict <> predicted) as failed from p group by 1"
 )

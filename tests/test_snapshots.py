@@ -63,3 +63,14 @@ def test_url_report(spark):
     d = spark.createDataFrame([(1, "a"), (2, "a")], "snapshot_no int, distributor string")
     got = {r.url: (r.old_rows, r.new_rows, r.only_old_names, r.only_new_names) for r in snapshots.url_report(s, d).collect()}
     assert got == {"u1": (1, 0, "n", ""), "u2": (0, 1, "", "n"), "u3": (1, 1, "n", "m")}
+
+
+def test_row_counts_of_every_delivery_and_none_of_undelivered_snapshots(spark):
+    rows = [row(1, 1), row(1, 2), row(3, 2), row(3, 2), row(4, 2), row(4, 3), row(1, 9, "b"), row(2, 9, "b"), row(2, 8, "b")]
+    s = spark.createDataFrame(rows, SCHEMA)
+    d = spark.createDataFrame([(1, "a"), (3, "a"), (4, "a"), (1, "b"), (2, "b")], "snapshot_no int, distributor string")
+    got = {(r.distributor, r.snapshot_no, r.url): (r.old_rows, r.new_rows, r.outcome) for r in snapshots.url_row_counts(s, d).collect()}
+    assert got == {
+        ("a", 3, "u1"): (1, 0, "missing"), ("a", 3, "u2"): (1, 2, "row_count"), ("a", 4, "u2"): (2, 1, "row_count"), ("a", 4, "u3"): (0, 1, "added"),
+        ("b", 2, "u9"): (1, 1, "same"), ("b", 2, "u8"): (0, 1, "added"),
+    }
