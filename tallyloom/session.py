@@ -55,6 +55,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the files of a checkpoint that nothing will read again: what came from it is checkpointed itself."""
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRDD":
+        return
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     """The broadcast hint for a side whose size is checked here: more than max_rows rows get no hint.
 
