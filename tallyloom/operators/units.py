@@ -94,123 +94,152 @@ def factor(unit: Column, units: Sequence[tuple[str, float]]) -> Column:
     return out
 
 
-def measured_amount(
-    value: Column,
-    context: Column,
-    units: Sequence[tuple[str, float]],
-    zero: str | None = None,
-    ratio: tuple[str, str] | None = None,
-) -> Column:
-    """struct<amount, unit_factor, residual, unique, how> of one free-text quantity.
-
-    The value's own unit fixes the factor. A bare number has every unit of the measure as a
-    candidate. The same quantity written in the context is an observation, and the identity
-    value amount = observed amount, with the number itself unchanged, gives each pair of
-    candidate and observation the residual
-    |ln(n f) - ln(n' f')| + |ln n - ln n'|; the candidate with the least one is taken when it
-    is zero up to rounding, otherwise the common unit stands. `unique` is false when no
-    observation decides, or when two decide for different factors.
+def observed(value: Column, units: Sequence[tuple[str, float]], zero: str | None = None, ratio: tuple[str, str] | None = None) -> Column:
+    """struct<n, units, how> of one free-text quantity: its number and the factors it may be written in.
 
+    A number with its own unit has that one candidate, a bare number every unit of the measure.
     ratio=(mass, volume) names the patterns of a quotient such as 200 mg / 10 ml or 12 mg por
-    2 ml, resolved by concentration = mass / volume. zero is the pattern of texts that state
-    nothing is contained; they give 0. A null, blank or unmeasured text gives a null amount.
+    2 ml: concentration = mass / volume, so n is the quotient of the two. zero is the pattern of
+    texts that state nothing is contained. Null where the text is null or states no amount.
     """
     unit = any_unit(units)
     tagged = rf"({NUMBER})\s*({unit})(?![a-zω])"
-    mention = rf"(?<![\d.,/])((?:{NUMBER})\s*(?:{unit}))(?![a-zω])"
     shape = rf"({NUMBER})\s*(?:{ratio[0]})\s*(?:/|por|per)\s*({NUMBER})\s*(?:{ratio[1]})" if ratio else None
-    factors = F.array(*[F.lit(f) for f in sorted({f for _, f in units})])
-
-    def result(how: str, amount: Column, f: Column, residual: Column, unique: Column) -> Column:
-        return F.struct(
-            amount.cast("double").alias("amount"),
-            f.cast("double").alias("unit_factor"),
-            residual.cast("double").alias("residual"),
-            unique.cast("boolean").alias("unique"),
-            F.lit(how).alias("how"),
-        )
+    every = F.array(*[F.lit(f) for f in sorted({f for _, f in units})])
 
-    def decided(n: Column, scored: Column) -> Column:
-        best = F.array_min(scored)
-        solved = F.array_distinct(F.transform(F.filter(scored, lambda s: s["r"] <= TOLERANCE), lambda s: s["f"]))
-        return F.when(F.size(solved) > 0, result("context", n * best["f"], best["f"], best["r"], F.size(solved) == 1)).otherwise(
-            result("default", n, F.lit(1.0), F.lit(None), F.lit(False))
-        )
+    def result(how: str, n: Column, factors: Column) -> Column:
+        return F.struct(n.cast("double").alias("n"), factors.alias("units"), F.lit(how).alias("how"))
 
     def bare(n: Column) -> Column:
-        seen = F.transform(
-            F.regexp_extract_all(F.coalesce(plain(context), F.lit("")), F.lit(mention), F.lit(1)),
-            lambda s: F.struct(
-                number(F.regexp_extract(s, rf"^({NUMBER})", 1)).alias("n"),
-                factor(F.regexp_extract(s, rf"^(?:{NUMBER})\s*(.*)$", 1), units).alias("f"),
-            ),
-        )
-        scored = F.flatten(
-            F.transform(
-                F.filter(seen, lambda o: (o["n"] > 0) & (o["f"] > 0) & (n > 0)),
-                lambda o: F.transform(
-                    factors,
-                    lambda f: F.struct((F.abs(F.ln(n * f) - F.ln(o["n"] * o["f"])) + F.abs(F.ln(n) - F.ln(o["n"]))).alias("r"), f.alias("f")),
-                ),
-            )
-        )
-        return F.when(n.isNotNull(), let(scored, lambda s: decided(n, s)))
-
-    def unmeasured(t: Column) -> Column:
-        return let(number(F.regexp_extract(t, rf"(?<![a-z0-9])({NUMBER})(?![a-z0-9])", 1)), bare)
+        return F.when(n.isNotNull(), result("bare", n, every))
 
     def written(t: Column) -> Column:
-        def one(o: Column) -> Column:
-            return F.when(
-                o["n"].isNotNull() & o["f"].isNotNull(), result("written", o["n"] * o["f"], o["f"], F.lit(0.0), F.lit(True))
-            )
-
         own = let(
             F.regexp_extract(t, tagged, 0),
             lambda m: let(
-                F.struct(
-                    number(F.regexp_extract(m, tagged, 1)).alias("n"), factor(F.regexp_extract(m, tagged, 2), units).alias("f")
-                ),
-                one,
+                F.struct(number(F.regexp_extract(m, tagged, 1)).alias("n"), factor(F.regexp_extract(m, tagged, 2), units).alias("f")),
+                lambda o: F.when(o["n"].isNotNull() & o["f"].isNotNull(), result("written", o["n"], F.array(o["f"]))),
             ),
         )
-        return F.when(t.rlike(tagged), own).otherwise(unmeasured(t))
+        return F.when(t.rlike(tagged), own).otherwise(let(number(F.regexp_extract(t, rf"(?<![a-z0-9])({NUMBER})(?![a-z0-9])", 1)), bare))
 
     def quotient(t: Column) -> Column:
         if shape is None:
             return written(t)
         both = let(
             F.struct(number(F.regexp_extract(t, shape, 1)).alias("m"), number(F.regexp_extract(t, shape, 2)).alias("v")),
-            lambda q: F.when(q["v"] > 0, result("quotient", q["m"] / q["v"], F.lit(1.0), F.lit(0.0), F.lit(True))),
+            lambda q: F.when(q["v"] > 0, result("quotient", q["m"] / q["v"], F.array(F.lit(1.0)))),
         )
         return F.when(t.rlike(shape), both).otherwise(written(t))
 
     def whole(t: Column) -> Column:
         if zero is None:
             return quotient(t)
-        return F.when(
-            t.rlike(zero) & ~t.rlike(r"\d"), result("none stated", F.lit(0.0), F.lit(None), F.lit(0.0), F.lit(True))
-        ).otherwise(quotient(t))
+        return F.when(t.rlike(zero) & ~t.rlike(r"\d"), result("none stated", F.lit(0.0), F.array(F.lit(1.0)))).otherwise(quotient(t))
 
     return F.when(value.isNotNull(), let(plain(value), whole))
 
 
+def mentions(text: Column, units: Sequence[tuple[str, float]]) -> Column:
+    """array<struct<n, f>> of the quantities of a measure written in a text."""
+    mention = rf"(?<![\d.,/])((?:{NUMBER})\s*(?:{any_unit(units)}))(?![a-zω])"
+    seen = F.transform(
+        F.regexp_extract_all(F.coalesce(plain(text), F.lit("")), F.lit(mention), F.lit(1)),
+        lambda s: F.struct(
+            number(F.regexp_extract(s, rf"^({NUMBER})", 1)).alias("n"), factor(F.regexp_extract(s, rf"^(?:{NUMBER})\s*(.*)$", 1), units).alias("f")
+        ),
+    )
+    return F.filter(seen, lambda o: (o["n"] > 0) & (o["f"] > 0))
+
+
+def unit_solution(entries: Column, same: Sequence[tuple[str, str]] = ()) -> Column:
+    """array<struct<field, amount, unit_factor, residual, unique, how>>: the units of one row's quantities, solved together.
+
+    entries is array<struct<field, n, units, how, seen>>: the observed columns of a row with the
+    candidate factors of each and, in seen, the amounts that another column of the row gives for
+    the same quantity. Every combination of one candidate per entry gets the sum of the absolute
+    log residuals of the identities among the columns:
+
+    - the entry's amount equals one of those seen (the nearest counts),
+    - the amounts of two fields named in `same` are equal.
+
+    The least sum wins; combinations equal up to rounding are ordered by the number of unusual
+    units (factor other than 1) and then by their factors, so an entry that no identity touches
+    keeps the usual unit. An entry is `unique` if all combinations within TOLERANCE of the least
+    agree on its unit. Amounts of zero take part in no identity.
+    """
+    none = F.array().cast("array<array<double>>")
+    start = F.array(F.array().cast("array<double>"))
+    combos = F.aggregate(entries, start, lambda acc, e: F.coalesce(F.flatten(F.transform(acc, lambda c: F.transform(e["units"], lambda f: F.concat(c, F.array(f))))), none))
+
+    def log_amount(e: Column, f: Column) -> Column:
+        return F.when(e["n"] > 0, F.ln(e["n"]) + F.ln(f))
+
+    def of_seen(combo: Column) -> Column:
+        terms = F.transform(
+            F.zip_with(entries, combo, lambda e, f: F.struct(log_amount(e, f).alias("x"), e["seen"].alias("seen"))),
+            lambda t: F.coalesce(F.array_min(F.transform(t["seen"], lambda a: F.abs(t["x"] - F.ln(a)))), F.lit(0.0)),
+        )
+        return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+
+    def of_same(combo: Column) -> Column:
+        logs = F.map_from_entries(F.zip_with(entries, combo, lambda e, f: F.struct(e["field"], log_amount(e, f))))
+        total = F.lit(0.0)
+        for left, right in same:
+            total = total + F.coalesce(F.abs(F.element_at(logs, F.lit(left)) - F.element_at(logs, F.lit(right))), F.lit(0.0))
+        return total
+
+    scored = F.transform(
+        combos,
+        lambda c: F.struct(F.round(of_seen(c) + of_same(c), 9).alias("r"), F.size(F.filter(c, lambda f: f != 1.0)).alias("unusual"), c.alias("units")),
+    )
+
+    def solved(ranked: Column) -> Column:
+        best = F.get(ranked, F.lit(0))
+        near = F.filter(ranked, lambda c: c["r"] <= best["r"] + TOLERANCE)
+        return F.transform(
+            entries,
+            lambda e, i: F.struct(
+                e["field"].alias("field"),
+                (e["n"] * F.get(best["units"], i)).alias("amount"),
+                F.get(best["units"], i).alias("unit_factor"),
+                best["r"].alias("residual"),
+                (F.size(F.array_distinct(F.transform(near, lambda c: F.get(c["units"], i)))) == 1).alias("unique"),
+                F.when(e["how"] != "bare", e["how"]).when(F.size(e["seen"]) > 0, F.lit("context")).otherwise(F.lit("default")).alias("how"),
+            ),
+        )
+
+    return let(F.array_sort(scored), solved)
+
+
 def pair_spec_amounts(specs: DataFrame) -> DataFrame:
     """pair_id, field, amount (thousandths of ml, mg/ml or ohm) and how each was resolved.
 
-    Null maps, null, blank and unmeasured values give no row; repeated pair_ids give a row
-    for each occurrence of an entry.
+    The entries of a pair and the quantities of its title are the observed columns. A title
+    quantity states the same as an entry where the number is written alike (that is what the test
+    data say of bare numbers); OHM and RESISTENCIA state one resistance. The units of all entries
+    of a pair are chosen together, by the least log residual of these identities.
+
+    Null maps, null, blank and unmeasured values give no row; repeated pair_ids give a row for
+    each occurrence of an entry.
     """
-    value, title = F.col("value"), F.col("b_title")
-    solved = (
-        F.when(F.col("field") == "ML", measured_amount(value, title, VOLUME_ML))
-        .when(F.col("field") == "MG", measured_amount(value, title, NICOTINE_MG_ML, NO_NICOTINE, ("mg", "ml")))
-        .when(F.col("field").isin("OHM", "RESISTENCIA"), measured_amount(value, title, RESISTANCE_OHM))
-    )
-    rows = specs.select("pair_id", "b_title", F.explode("b_variants").alias("field", "value")).where(F.col("value").isNotNull())
-    # inline drops nothing but null structs: one row per resolved entry, the struct evaluated once
-    kept = F.filter(F.array(solved), lambda s: s["amount"].isNotNull())
-    return rows.select("pair_id", "field", F.inline(kept)).select(
+    value = lambda k: F.element_at("b_variants", F.lit(k))
+
+    def entry(field: str) -> Column:
+        units = MEASURES[field]
+        got = observed(value(field), units, NO_NICOTINE, ("mg", "ml")) if field == "MG" else observed(value(field), units)
+
+        def with_seen(o: Column) -> Column:
+            alike = F.filter(mentions(F.col("b_title"), units), lambda m: F.abs(m["n"] - o["n"]) <= TOLERANCE * m["n"])
+            seen = F.when((o["how"] == "bare") & (o["n"] > 0), F.transform(alike, lambda m: m["n"] * m["f"])).otherwise(F.array().cast("array<double>"))
+            return F.when(o["n"].isNotNull(), F.struct(F.lit(field).alias("field"), o["n"].alias("n"), o["units"].alias("units"), o["how"].alias("how"), seen.alias("seen")))
+
+        return let(got, with_seen)
+
+    entries = F.filter(F.array(*[entry(k) for k in MEASURES]), lambda e: e.isNotNull())
+    rows = specs.where(F.size("b_variants") > 0).select("pair_id", "b_title", "b_variants")
+    solution = let(entries, lambda e: unit_solution(e, [("OHM", "RESISTENCIA")]))
+    return rows.select("pair_id", F.inline(solution)).select(
         "pair_id", "field", F.round(F.col("amount") * 1000).cast("bigint").alias("amount"), "unit_factor", "residual", "unique", "how"
     )
 

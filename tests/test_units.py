@@ -25,6 +25,20 @@ def test_uniqueness(spark):
     assert {r.pair_id: (r.how, r.unique) for r in units.pair_spec_amounts(df).collect()} == {1: ("context", False), 2: ("context", True), 3: ("default", False)}
 
 
+def test_columns_constrain_each_other(spark):
+    """A bare resistance takes the unit under which it equals the other resistance of the pair."""
+    df = spark.createDataFrame([(1, None, {"OHM": "800", "RESISTENCIA": "0.8 ohm"}), (2, "x 600mΩ", {"OHM": "600", "RESISTENCIA": "600"})], "pair_id bigint, b_title string, b_variants map<string,string>")
+    got = {(r.pair_id, r.field): (r.amount, r.unique) for r in units.pair_spec_amounts(df).collect()}
+    assert got == {(1, "OHM"): (800, True), (1, "RESISTENCIA"): (800, True), (2, "OHM"): (600, True), (2, "RESISTENCIA"): (600, True)}
+
+
+def test_empty_table_and_zero(spark):
+    schema = "pair_id bigint, b_title string, b_variants map<string,string>"
+    assert units.pair_spec_amounts(spark.createDataFrame([], schema)).collect() == []
+    got = units.pair_spec_amounts(spark.createDataFrame([(1, "0 mg", {"MG": "0", "ML": "10"})], schema)).collect()
+    assert {(r.field, r.amount) for r in got} == {("MG", 0), ("ML", 10_000)}
+
+
 def test_column_units(spark):
     rows = [("a", 800.0, 0.8, 1.0), ("a", 1600.0, 0.8, 2.0), ("a", None, 0.8, 2.0), ("b", 0.8, 0.8, 1000.0), ("c", None, None, None)]
     df = spark.createDataFrame(rows, "src string, mass double, density double, volume double")
