@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import bounded
+
+#: The table of deliveries is broadcast up to this many rows.
+MAX_BROADCAST = 1_000_000
+
 
 def canonical_map(c: Column) -> Column:
     """A map as a sorted array of its entries; null counts as empty."""
@@ -22,6 +27,48 @@ def cents(c: Column) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
+def delivery_sequence(deliveries: DataFrame, source: str, snapshot: str) -> DataFrame:
+    """_source, _snapshot, _seq (from 1) and _next snapshot of every delivery of a source."""
+    order_w = Window.partitionBy("_source").orderBy("_snapshot")
+    return (
+        deliveries.select(F.col(source).alias("_source"), F.col(snapshot).alias("_snapshot"))
+        .where("_source is not null and _snapshot is not null")
+        .distinct()
+        .withColumn("_seq", F.row_number().over(order_w))
+        .withColumn("_next", F.lead("_snapshot").over(order_w))
+    )
+
+
+def delivered_rows(
+    rows: DataFrame, deliveries: DataFrame, *, source: str, snapshot: str, key: str, order: str, content: Sequence[Column], carry: Sequence[str] = ()
+) -> DataFrame:
+    """The row of each key that counts in a delivery: _source, _snapshot, _key, two content hashes, _carry_*, _seq, _next.
+
+    The largest `order` counts (null first; of equal ones the largest content hash and then the
+    carried columns, so the result does not depend on row order). Rows whose source, snapshot or
+    key is null, and rows without a delivery, take no part.
+    """
+    canon = F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(content)]), {"ignoreNullFields": "false"})
+    picked = rows.select(
+        F.col(source).alias("_source"),
+        F.col(snapshot).alias("_snapshot"),
+        F.col(key).alias("_key"),
+        F.col(order).alias("_order"),
+        canon.alias("_canon"),
+        *[F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)],
+    ).where("_source is not null and _snapshot is not null and _key is not null")
+    counting = F.max(
+        F.struct(
+            "_order",
+            F.xxhash64(F.lit(1), "_key", "_canon").alias("h1"),
+            F.xxhash64(F.lit(2), "_canon", "_key").alias("h2"),
+            *[f"_carry_{i}" for i in range(len(carry))],
+        )
+    )
+    seq = bounded(delivery_sequence(deliveries, source, snapshot), MAX_BROADCAST, "deliveries")
+    return picked.groupBy("_source", "_snapshot", "_key").agg(counting.alias("m")).select("_source", "_snapshot", "_key", "m.*").join(seq, ["_source", "_snapshot"])
+
+
 def snapshot_changes(
     rows: DataFrame,
     deliveries: DataFrame,
@@ -32,64 +79,36 @@ def snapshot_changes(
     order: str,
     content: Sequence[Column],
     carry: Sequence[str] = (),
-    block_bits: int = 14,
+    block_rows: int = 1 << 14,
     chunk_rows: int = 64,
 ) -> DataFrame:
     """One row per key added, removed or changed against the source's preceding delivery.
 
     rows hold full snapshots; deliveries(snapshot, source) say which source delivered when.
-    Within a delivery the row of a key with the largest `order` counts (null first; of equal
-    ones the largest content hash, so the result does not depend on row order). Rows whose
-    source, snapshot or key is null, and rows without a delivery, take no part. A delivery
-    without rows removes everything. An empty table gives an empty result.
+    Which row of a key counts in a delivery is said by delivered_rows. A delivery without rows
+    removes everything. An empty table gives an empty result.
 
-    Each delivery is cut into chunks of its key-sorted rows. Keys are first grouped into
-    ranges of 2**block_bits, which bounds every sort, and inside a range a new chunk starts at
+    Each delivery is cut into chunks of its key-sorted rows. Keys are first grouped into ranges
+    of about block_rows keys, which bounds every sort, and inside a range a new chunk starts at
     keys whose hash says so: the cut depends on content only, so an insertion shifts no later
-    chunk. A chunk equal to the same chunk of the neighbouring delivery (row count and two
-    independent 64-bit sums over key and content) is discarded; only rows of the other chunks
-    are joined.
+    chunk. A whole-number key is sorted by itself, in ranges as wide as its spread over the table
+    asks for; a key of another type by its hash. A chunk equal to the same chunk of the
+    neighbouring delivery (row count and two independent 64-bit sums over key and content) is
+    discarded; only rows of the other chunks are joined.
 
-    Columns: snapshot, key, change_kind, old_*/new_* for each column of carry.
+    Columns: snapshot, source, key, change_kind, old_*/new_* for each column of carry.
     """
-    order_w = Window.partitionBy("_source").orderBy("_snapshot")
-    seq = (
-        deliveries.select(F.col(source).alias("_source"), F.col(snapshot).alias("_snapshot"))
-        .where("_source is not null and _snapshot is not null")
-        .distinct()
-        .withColumn("_seq", F.row_number().over(order_w))
-        .withColumn("_next", F.lead("_snapshot").over(order_w))
-    )
-    canon = F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(content)]), {"ignoreNullFields": "false"})
-    picked = rows.select(
-        F.col(source).alias("_source"),
-        F.col(snapshot).alias("_snapshot"),
-        F.col(key).alias("_key"),
-        F.col(order).alias("_order"),
-        canon.alias("_canon"),
-        *[F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)],
-    ).where("_source is not null and _snapshot is not null and _key is not null")
-    kept = (
-        picked.groupBy("_source", "_snapshot", "_key")
-        .agg(
-            F.max(
-                F.struct(
-                    "_order",
-                    F.xxhash64(F.lit(1), "_key", "_canon").alias("h1"),
-                    F.xxhash64(F.lit(2), "_canon", "_key").alias("h2"),
-                    *[f"_carry_{i}" for i in range(len(carry))],
-                )
-            ).alias("m")
-        )
-        .select("_source", "_snapshot", "_key", "m.*")
-        .join(F.broadcast(seq), ["_source", "_snapshot"])
-    )
-    block = F.floor(F.col("_key") / F.lit(1 << block_bits))
+    kept = delivered_rows(rows, deliveries, source=source, snapshot=snapshot, key=key, order=order, content=content, carry=carry)
+    whole = dict(rows.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
+    position = F.col("_key").cast("bigint") if whole else F.xxhash64("_key")
+    spread = rows.agg(F.min(key if whole else F.xxhash64(key)).alias("a"), F.max(key if whole else F.xxhash64(key)).alias("b"), F.count(key).alias("n")).first()
+    width = max(block_rows, block_rows * (int(spread["b"]) - int(spread["a"])) // max(1, spread["n"])) if spread["n"] else block_rows
+    block = F.floor(position / F.lit(float(width)))
     cut = F.when(F.pmod(F.xxhash64("_key"), F.lit(chunk_rows)) == 0, F.col("_key"))
     chunked = kept.withColumn("_block", block).withColumn(
         "_chunk",
         F.last(cut, ignorenulls=True).over(
-            Window.partitionBy("_source", "_seq", "_block").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+            Window.partitionBy("_source", "_seq", "_block").orderBy(position, "_key").rowsBetween(Window.unboundedPreceding, 0)
         ),
     )
     chunk_key = ["_source", "_seq", "_block", "_chunk"]
@@ -136,78 +155,67 @@ def snapshot_changes(
     )
 
 
+def _catalogue() -> dict:
+    """The catalogue's notion of a listing, its order and its content."""
+    return {
+        "source": "distributor", "snapshot": "snapshot_no", "key": "listing_id", "order": "captured_at",
+        "content": [collapsed(F.col("name")), canonical_map(F.col("variants")), F.col("reference"), F.col("category"), cents(F.col("price_tax_excluded"))],
+    }
+
+
 def catalog_changes(snapshots: DataFrame, deliveries: DataFrame, carry: Sequence[str] = ("url", "name")) -> DataFrame:
     """The operator with the catalogue's notion of a changed listing."""
-    return snapshot_changes(
-        snapshots,
-        deliveries,
-        source="distributor",
-        snapshot="snapshot_no",
-        key="listing_id",
-        order="captured_at",
-        content=[
-            collapsed(F.col("name")),
-            canonical_map(F.col("variants")),
-            F.col("reference"),
-            F.col("category"),
-            cents(F.col("price_tax_excluded")),
-        ],
-        carry=carry,
-    )
+    return snapshot_changes(snapshots, deliveries, carry=carry, **_catalogue())
 
 
-def url_report(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Per distributor, delivery and url that changed: rows before and after, names only on one side.
+def url_names(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """snapshot_no, distributor, url, name, old_rows, new_rows of every url and collapsed name.
 
-    Row counts are those of the delivered listings (one per listing). Names are collapsed and
-    sorted; they are the names of the url's changed listings on one side only.
+    Rows are the listings that count in the delivery (new) and in the distributor's preceding one
+    (old), by the same tie rule as the changes. A null url or name is a value of its own. Counts
+    are added up before the shuffle, so a url with a tenth of all rows costs one row per name.
     """
-    changes = catalog_changes(snapshots, deliveries)
-    sides = changes.select(
-        "snapshot_no",
-        "distributor",
-        F.explode(
-            F.array(
-                F.struct(F.col("old_url").alias("url"), collapsed(F.col("old_name")).alias("old_name"), F.lit(None).cast("string").alias("new_name"), (F.col("change_kind") != "added").alias("real")),
-                F.struct(F.col("new_url").alias("url"), F.lit(None).cast("string").alias("old_name"), collapsed(F.col("new_name")).alias("new_name"), (F.col("change_kind") != "removed").alias("real")),
-            )
-        ).alias("s"),
-    ).where("s.real")
-    names = sides.groupBy("snapshot_no", "distributor", F.col("s.url").alias("url")).agg(
-        F.collect_set("s.old_name").alias("o"), F.collect_set("s.new_name").alias("n")
+    kept = delivered_rows(snapshots, deliveries, carry=("url", "name"), **_catalogue())
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    facts = ["_source", F.col("_carry_0").alias("url"), collapsed(F.col("_carry_1")).alias("name")]
+    sides = F.array(
+        F.when(F.col("_seq") > 1, F.struct(F.col("_snapshot").alias("at"), none.alias("old"), one.alias("new"))),
+        F.when(F.col("_next").isNotNull(), F.struct(F.col("_next").alias("at"), one.alias("old"), none.alias("new"))),
     )
-    w = Window.partitionBy("distributor").orderBy("snapshot_no")
-    seq = deliveries.select("distributor", "snapshot_no").where("distributor is not null and snapshot_no is not null").distinct().withColumn("next_no", F.lead("snapshot_no").over(w))
-    listed = (
-        snapshots.where("listing_id is not null")
-        .groupBy("distributor", "snapshot_no", "listing_id")
-        .agg(F.max(F.struct("captured_at", "url")).getField("url").alias("url"))
-        .groupBy("distributor", "snapshot_no", "url")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .join(F.broadcast(seq), ["distributor", "snapshot_no"])
-    )
-    counts = (
-        listed.select("distributor", "snapshot_no", "url", F.lit(0).cast("bigint").alias("old_rows"), F.col("rows").alias("new_rows"))
-        .unionByName(
-            listed.where("next_no is not null").select("distributor", F.col("next_no").alias("snapshot_no"), "url", F.col("rows").alias("old_rows"), F.lit(0).cast("bigint").alias("new_rows"))
-        )
-        .groupBy("distributor", "snapshot_no", "url")
-        .agg(F.sum("old_rows").alias("old_rows"), F.sum("new_rows").alias("new_rows"))
+    flat = kept.select(*facts, F.explode(F.filter(sides, lambda s: s.isNotNull())).alias("s"))
+    return flat.groupBy(F.col("s.at").alias("snapshot_no"), F.col("_source").alias("distributor"), "url", "name").agg(F.sum("s.old").alias("old_rows"), F.sum("s.new").alias("new_rows"))
+
+
+def url_report(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Per delivery, distributor and url that gained, lost or changed a listing: the rows before
+    and after, how many listings were added, removed and changed, and how many names are on one
+    side only. url_only_names lists those names, one a row."""
+    changes = catalog_changes(snapshots, deliveries)
+    moved = F.array(
+        F.when(F.col("change_kind") != "added", F.struct(F.col("old_url").alias("url"), F.col("change_kind").alias("kind"))),
+        F.when((F.col("change_kind") != "removed") & ~((F.col("change_kind") == "changed") & F.col("old_url").eqNullSafe(F.col("new_url"))), F.struct(F.col("new_url").alias("url"), F.col("change_kind").alias("kind"))),
+    )
+    count = lambda k: F.count_if(F.col("m.kind") == k).alias(k)
+    urls = (
+        changes.select("snapshot_no", "distributor", F.explode(F.filter(moved, lambda m: m.isNotNull())).alias("m"))
+        .groupBy("snapshot_no", "distributor", F.col("m.url").alias("url"))
+        .agg(count("added"), count("removed"), count("changed"))
+    )
+    rows = url_names(snapshots, deliveries).groupBy("snapshot_no", "distributor", "url").agg(
+        F.sum("old_rows").alias("old_rows"),
+        F.sum("new_rows").alias("new_rows"),
+        F.count_if((F.col("new_rows") == 0) & F.col("name").isNotNull()).alias("only_old_names"),
+        F.count_if((F.col("old_rows") == 0) & F.col("name").isNotNull()).alias("only_new_names"),
     )
     on = F.expr("a.distributor = b.distributor and a.snapshot_no = b.snapshot_no and a.url <=> b.url")
-    return (
-        names.alias("a")
-        .join(counts.alias("b"), on)
-        .select(
-            "a.snapshot_no",
-            "a.distributor",
-            "a.url",
-            "b.old_rows",
-            "b.new_rows",
-            F.array_join(F.array_sort(F.array_except("a.o", "a.n")), " | ").alias("only_old_names"),
-            F.array_join(F.array_sort(F.array_except("a.n", "a.o")), " | ").alias("only_new_names"),
-        )
-    )
+    return urls.alias("a").join(rows.alias("b"), on).select("a.*", "b.old_rows", "b.new_rows", "b.only_old_names", "b.only_new_names")
+
+
+def url_only_names(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """snapshot_no, distributor, url, side (old or new), name, rows: the names that a url has on one side only."""
+    n = url_names(snapshots, deliveries).where("name is not null and (old_rows = 0 or new_rows = 0)")
+    side = F.when(F.col("new_rows") == 0, "old").otherwise("new")
+    return n.select("snapshot_no", "distributor", "url", side.alias("side"), "name", (F.col("old_rows") + F.col("new_rows")).alias("rows"))
 
 
 def url_row_counts(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -215,12 +223,10 @@ def url_row_counts(snapshots: DataFrame, deliveries: DataFrame) -> DataFrame:
 
     Before is the distributor's preceding delivery, so a snapshot it did not deliver reports nothing.
     """
-    w = Window.partitionBy("distributor").orderBy("snapshot_no")
-    known = deliveries.select("distributor", "snapshot_no").where("distributor is not null and snapshot_no is not null").distinct()
-    seq = known.withColumn("_prev", F.lag("snapshot_no").over(w)).withColumn("_next", F.lead("snapshot_no").over(w))
-    listed = snapshots.groupBy("distributor", "snapshot_no", "url").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(seq), ["distributor", "snapshot_no"])
+    seq = delivery_sequence(deliveries, "distributor", "snapshot_no").withColumnsRenamed({"_source": "distributor", "_snapshot": "snapshot_no"})
+    listed = snapshots.groupBy("distributor", "snapshot_no", "url").agg(F.count(F.lit(1)).alias("n")).join(bounded(seq, MAX_BROADCAST, "deliveries"), ["distributor", "snapshot_no"])
     none = F.lit(0).cast("bigint")
-    new = listed.where("_prev is not null").select("distributor", "snapshot_no", "url", none.alias("o"), F.col("n").alias("k"))
+    new = listed.where("_seq > 1").select("distributor", "snapshot_no", "url", none.alias("o"), F.col("n").alias("k"))
     old = listed.where("_next is not null").select("distributor", F.col("_next").alias("snapshot_no"), "url", F.col("n").alias("o"), none.alias("k"))
     g = new.unionByName(old).groupBy("distributor", "snapshot_no", "url").agg(F.sum("o").alias("old_rows"), F.sum("k").alias("new_rows"))
     outcome = F.when(F.col("old_rows") == 0, "added").when(F.col("new_rows") == 0, "missing").when(F.col("old_rows") != F.col("new_rows"), "row_count").otherwise("same")

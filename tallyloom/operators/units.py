@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.binding import let
@@ -262,8 +262,9 @@ def infer_column_units(
     countable row has residual null and unique false. `unique` says that no other combination
     comes within `tie`.
 
-    The combinations form a literal array (their number is checked), and rows are reduced to
-    one partial sum per combination before the shuffle.
+    Combinations differ in the sum of their log factors only, so one pass adds up the residuals
+    for each distinct sum (their number is checked), map side, and the combinations are ranked
+    on one row per group.
     """
     columns = list(candidates)
     combos = list(itertools.product(*[sorted(candidates[c].items()) for c in columns]))
@@ -275,7 +276,6 @@ def infer_column_units(
         [sum(e * math.log(dict(zip(columns, combo))[c][1]) for c, e in identity.items() if c in columns) for identity in identities]
         for combo in combos
     ]
-    lit_shifts = F.array(*[F.array(*[F.lit(x) for x in row]) for row in shifts])
     base = []
     for identity in identities:
         ok = None
@@ -284,28 +284,25 @@ def infer_column_units(
             ok = (F.col(c) > 0) if ok is None else ok & (F.col(c) > 0)
             total = total + F.lit(float(e)) * F.ln(F.col(c).cast("double"))
         base.append(F.when(ok, total))
-    spread = df.select(F.col(group).alias("_g"), F.array(*base).alias("_b")).select(
-        "_g", "_b", F.posexplode(lit_shifts).alias("_combo", "_s")
+    # one sum per identity and distinct shift: rows are neither repeated nor shuffled
+    distinct = [sorted({row[i] for row in shifts}) for i in range(len(identities))]
+    sums = [F.sum(F.abs(F.col(f"_b{i}") + F.lit(x))).alias(f"_t{i}_{j}") for i, xs in enumerate(distinct) for j, x in enumerate(xs)]
+    counts = [F.count(f"_b{i}").alias(f"_n{i}") for i in range(len(identities))]
+    summed = df.select(F.col(group).alias("_g"), *[b.alias(f"_b{i}") for i, b in enumerate(base)]).groupBy("_g").agg(*sums, *counts)
+    n = sum((F.col(f"_n{i}") for i in range(len(identities))), F.lit(0))
+
+    def residual(row: Sequence[float]) -> Column:
+        parts = [F.coalesce(F.col(f"_t{i}_{distinct[i].index(x)}"), F.lit(0.0)) for i, x in enumerate(row)]
+        return F.when(n > 0, sum(parts, F.lit(0.0)) / n)
+
+    scored = F.array(
+        *[F.struct(residual(row).isNull().alias("none"), residual(row).alias("r"), F.lit(k).alias("combo"), F.array(*[F.lit(u) for u, _ in combo]).alias("u")) for k, (row, combo) in enumerate(zip(shifts, combos))]
     )
-    residuals = F.filter(F.transform("_b", lambda x, i: F.abs(x + F.element_at("_s", i + 1))), lambda x: x.isNotNull())
-    summed = (
-        spread.withColumn("_r", residuals)
-        .groupBy("_g", "_combo")
-        .agg(
-            F.sum(F.aggregate("_r", F.lit(0.0), lambda a, x: a + x)).alias("_t"),
-            F.sum(F.size("_r")).alias("_n"),
-        )
-        .withColumn("residual", F.when(F.col("_n") > 0, F.col("_t") / F.col("_n")))
-    )
-    w = Window.partitionBy("_g")
-    ranked = summed.withColumn("_rank", F.row_number().over(w.orderBy(F.col("residual").asc_nulls_last(), "_combo"))).withColumn(
-        "_second", F.lead("residual").over(w.orderBy(F.col("residual").asc_nulls_last(), "_combo"))
-    )
-    names = F.array(*[F.array(*[F.lit(u) for u, _ in combo]) for combo in combos])
-    chosen = ranked.where("_rank = 1").withColumn("_u", F.element_at(names, F.col("_combo") + 1))
-    return chosen.select(
+    ranked = summed.select("_g", F.slice(F.array_sort(scored), 1, 2).alias("_s"))
+    best, second = F.get("_s", F.lit(0)), F.get("_s", F.lit(1))
+    return ranked.select(
         F.col("_g").alias(group),
-        *[F.element_at("_u", i + 1).alias(f"{c}_unit") for i, c in enumerate(columns)],
-        "residual",
-        F.coalesce(F.col("residual").isNotNull() & (F.col("_second").isNull() | (F.col("_second") - F.col("residual") > tie)), F.lit(False)).alias("unique"),
+        *[F.get(best["u"], F.lit(i)).alias(f"{c}_unit") for i, c in enumerate(columns)],
+        best["r"].alias("residual"),
+        F.coalesce(best["r"].isNotNull() & (second["r"].isNull() | (second["r"] - best["r"] > tie)), F.lit(False)).alias("unique"),
     )

@@ -19,6 +19,10 @@ def p1_url_report(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.url_report(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery"))
 
 
+def p1_url_names(spark: SparkSession, d: str) -> DataFrame:
+    return snapshots.url_only_names(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return units.pair_spec_amounts(table(spark, d, "pair_spec")).select("pair_id", "field", "amount")
 
@@ -59,6 +63,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_url_report": p1_url_report,
+    "p1_url_names": p1_url_names,
     "p4_found": p4_found,
     "p4_resolution": p4_resolution,
     "p4_column_units": p4_column_units,
@@ -69,17 +74,32 @@ _ONE = "row_number() over (partition by snapshot_no, distributor, listing_id ord
 _CONTENT = (
     "(trim(regexp_replace(name, '\\s+', ' ', 'g')), coalesce(list_sort(map_entries(variants)), []), reference, category, cast(round(price_tax_excluded * 100) as bigint))"
 )
+_CHANGES = f"""
+    seq as (select distributor, snapshot_no, row_number() over w as i, lead(snapshot_no) over w as next_no
+            from (select distinct distributor, snapshot_no from snapshot_delivery) window w as (partition by distributor order by snapshot_no)),
+    r as (select s.snapshot_no, s.distributor, listing_id, url, trim(regexp_replace(name, '\\s+', ' ', 'g')) as name, cast({_CONTENT} as varchar) as c, i, next_no
+          from (select *, {_ONE} from catalog_snapshot) s join seq on seq.distributor = s.distributor and seq.snapshot_no = s.snapshot_no where n = 1),
+    o as (select distributor, next_no as snap, listing_id, url, name, c from r where next_no is not null),
+    k as (select distributor, snapshot_no as snap, listing_id, url, name, c from r where i > 1),
+    f as (select coalesce(k.snap, o.snap) as snapshot_no, coalesce(k.distributor, o.distributor) as distributor, coalesce(k.listing_id, o.listing_id) as listing_id, o.url as old_url, k.url as new_url,
+                 case when o.listing_id is null then 'added' when k.listing_id is null then 'removed' else 'changed' end as change_kind
+          from k full join o on k.distributor = o.distributor and k.snap = o.snap and k.listing_id = o.listing_id
+          where o.listing_id is null or k.listing_id is null or k.c <> o.c)"""
+_NAMES = """
+    names as (select snap, distributor, url, name, sum(x) as old_rows, sum(y) as new_rows from (select snap, distributor, url, name, 1 as x, 0 as y from o union all select snap, distributor, url, name, 0, 1 from k) group by 1, 2, 3, 4)"""
+_COMBOS = "(values ('eur', 'eur', 1.0, 1.0), ('eur', 'cent', 1.0, 0.01), ('eur', 'keur', 1.0, 1000.0), ('keur', 'eur', 1000.0, 1.0), ('keur', 'cent', 1000.0, 0.01), ('keur', 'keur', 1000.0, 1000.0))"
 SQL = {
-    "p1_found": f"""
-        with seq as (select distributor, snapshot_no, row_number() over w as i, lead(snapshot_no) over w as next_no
-                     from (select distinct distributor, snapshot_no from snapshot_delivery) window w as (partition by distributor order by snapshot_no)),
-        r as (select s.snapshot_no, s.distributor, listing_id, cast({_CONTENT} as varchar) as c, i, next_no
-              from (select *, {_ONE} from catalog_snapshot) s join seq on seq.distributor = s.distributor and seq.snapshot_no = s.snapshot_no where n = 1),
-        o as (select distributor, next_no as at, listing_id, c from r where next_no is not null),
-        k as (select distributor, snapshot_no as at, listing_id, c from r where i > 1)
-        select coalesce(k.at, o.at) as snapshot_no, coalesce(k.listing_id, o.listing_id) as listing_id,
-               case when o.listing_id is null then 'added' when k.listing_id is null then 'removed' else 'changed' end as change_kind
-        from k full join o on k.distributor = o.distributor and k.at = o.at and k.listing_id = o.listing_id
-        where o.listing_id is null or k.listing_id is null or k.c <> o.c""",
-    "p4_column_units": "select distinct l_returnflag, 'eur' as price_unit, 'unit' as quantity_unit, 'cent' as rate_unit, true as \"unique\" from lineitem",
+    "p1_found": f"with {_CHANGES} select snapshot_no, listing_id, change_kind from f",
+    "p1_url_names": f"with {_CHANGES}, {_NAMES} select snap as snapshot_no, distributor, url, case when new_rows = 0 then 'old' else 'new' end as side, name, cast(old_rows + new_rows as bigint) as rows from names where name is not null and (old_rows = 0 or new_rows = 0)",
+    "p1_url_report": f"""with {_CHANGES}, {_NAMES},
+        u as (select snapshot_no, distributor, url, change_kind from (select *, old_url as url from f where change_kind <> 'added' union all
+              select *, new_url from f where change_kind <> 'removed' and not (change_kind = 'changed' and old_url is not distinct from new_url))),
+        a as (select snapshot_no, distributor, url, count(*) filter (change_kind = 'added') as added, count(*) filter (change_kind = 'removed') as removed, count(*) filter (change_kind = 'changed') as changed from u group by 1, 2, 3),
+        n as (select snap, distributor, url, cast(sum(old_rows) as bigint) as old_rows, cast(sum(new_rows) as bigint) as new_rows, count(*) filter (new_rows = 0 and name is not null) as only_old_names, count(*) filter (old_rows = 0 and name is not null) as only_new_names from names group by 1, 2, 3)
+        select a.*, old_rows, new_rows, only_old_names, only_new_names from a join n on a.snapshot_no = n.snap and a.distributor = n.distributor and a.url is not distinct from n.url""",
+    "p4_column_units": f"""with c(price_unit, rate_unit, p, q) as {_COMBOS},
+        r as (select l_returnflag, price_unit, rate_unit, avg(abs(ln(l_extendedprice * p) - ln(l_extendedprice / l_quantity * 100 * q) - ln(l_quantity))) as residual
+              from lineitem, c where l_extendedprice > 0 and l_quantity > 0 group by 1, 2, 3),
+        k as (select *, row_number() over w as n, lead(residual) over w - residual as gap from r window w as (partition by l_returnflag order by residual, price_unit, rate_unit))
+        select l_returnflag, price_unit, 'unit' as quantity_unit, rate_unit, coalesce(gap > 1e-6, true) as "unique" from k where n = 1""",
 }

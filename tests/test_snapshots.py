@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from tallyloom.operators import snapshots
 
 SCHEMA = "snapshot_no int, captured_at timestamp, listing_id bigint, distributor string, url string, name string, variants map<string,string>, reference string, category string, price_tax_excluded double, change_kind string"
@@ -59,10 +61,24 @@ def test_against_brute_force(spark):
 
 
 def test_url_report(spark):
-    s = spark.createDataFrame([row(1, 1), row(2, 2), row(1, 3), row(2, 3, name="m")], SCHEMA)
+    same = lambda r, url: (*r[:4], url, *r[5:])
+    rows = [row(1, 1), row(2, 2), row(1, 3), row(2, 3, name="m"), same(row(1, 4, name="q"), "v"), same(row(2, 4, name="r"), "v"), same(row(1, 5, name="q"), "v"), same(row(2, 5, name=" q "), "v")]
+    s = spark.createDataFrame(rows, SCHEMA)
     d = spark.createDataFrame([(1, "a"), (2, "a")], "snapshot_no int, distributor string")
-    got = {r.url: (r.old_rows, r.new_rows, r.only_old_names, r.only_new_names) for r in snapshots.url_report(s, d).collect()}
-    assert got == {"u1": (1, 0, "n", ""), "u2": (0, 1, "", "n"), "u3": (1, 1, "n", "m")}
+    got = {r.url: (r.added, r.removed, r.changed, r.old_rows, r.new_rows, r.only_old_names, r.only_new_names) for r in snapshots.url_report(s, d).collect()}
+    # the name q of url v stays on both sides through the unchanged listing 5
+    assert got == {"u1": (0, 1, 0, 1, 0, 1, 0), "u2": (1, 0, 0, 0, 1, 0, 1), "u3": (0, 0, 1, 1, 1, 1, 1), "v": (0, 0, 1, 2, 2, 0, 1)}
+    names = sorted((r.url, r.side, r.name, r.rows) for r in snapshots.url_only_names(s, d).collect())
+    assert names == [("u1", "old", "n", 1), ("u2", "new", "n", 1), ("u3", "new", "m", 1), ("u3", "old", "n", 1), ("v", "new", "r", 1)]
+
+
+def test_keys_of_other_types_and_sparse_ones(spark):
+    for kind, key in (("string", lambda i: f"k{i}"), ("bigint", lambda i: i * 10**12)):
+        rows = [(1, "a", key(i), "x", 0) for i in range(50)] + [(2, "a", key(i), "y" if i == 7 else "x", 0) for i in range(1, 51)]
+        df = spark.createDataFrame(rows, f"no int, src string, id {kind}, v string, o int")
+        d = spark.createDataFrame([(1, "a"), (2, "a")], "no int, src string")
+        got = snapshots.snapshot_changes(df, d, source="src", snapshot="no", key="id", order="o", content=[F.col("v")], block_rows=16, chunk_rows=4)
+        assert sorted((r.id, r.change_kind) for r in got.collect()) == sorted([(key(0), "removed"), (key(50), "added"), (key(7), "changed")])
 
 
 def test_row_counts_of_every_delivery_and_none_of_undelivered_snapshots(spark):
