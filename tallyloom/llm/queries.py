@@ -79,3 +79,15 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_redacted": p9_redacted,
     "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}
+
+_LOOKS = "".join(unify.LATIN_LOOK)
+_MARKS = "".join(c for c in unify.MARK_LOOK if c != "ǃ")
+_ODD = (
+    "regexp_matches(v, '[\\p{Cf}\\x{034F}\\x{115F}\\x{1160}\\x{3164}\\x{FFA0}\\x{2800}\\x{17B4}\\x{17B5}\\x{180B}-\\x{180E}\\x{FE00}-\\x{FE0F}\\x{00}-\\x{1F}\\x{7F}-\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]') "
+    f"or nfc_normalize(v) <> v or regexp_matches(v, '[\\x{{FF01}}-\\x{{FFEF}}\\x{{1D400}}-\\x{{1D7FF}}\\x{{FB00}}-\\x{{FB06}}{_MARKS}]') "
+    "or len(list_filter(regexp_extract_all(v, '[\\p{L}\\p{M}]+'), lambda t: (regexp_matches(t, '\\p{Latin}') and "
+    f"regexp_matches(t, '[{_LOOKS}]')) or regexp_full_match(t, '[{_LOOKS}]+'))) > 0"
+)
+SQL = {
+    "p3_found": f"select row_id, field from (select row_id, 'name' as field, name as v from product union all select row_id, 'reference', reference from product) where v is not null and ({_ODD})",
+}

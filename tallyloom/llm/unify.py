@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -24,6 +25,14 @@ LATIN_LOOK = {
     "ύ": "ú", "ϲ": "c", "ϳ": "j", "η": "n", "τ": "t",
     # Armenian
     "Ս": "U", "Օ": "O", "Լ": "L", "ս": "u", "օ": "o", "ո": "n", "հ": "h", "ց": "g", "զ": "q", "ք": "p", "յ": "j", "ւ": "i",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭹ": "Y", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G", "Ꮒ": "h",
+    "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏻ": "G", "Ᏼ": "B",
+    # Coptic
+    "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓒ": "d", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L",
+    "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
     # Latin letters of other uses
     "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "ʏ": "y", "ᴏ": "o", "ᴄ": "c", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s", "ʜ": "H",
 }
@@ -33,30 +42,29 @@ MEANT_AS_SUCH = set("ΩÅµªº™℠№℃℉…")
 _FILLERS = set("͏ᅟᅠ឴឵᠋᠌᠍᠎⠀ㅤﾠ")
 _LOOK_OF: dict[str, dict[str, str]] = {}
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
-#: A value within this class has nothing to bring to another form.
-USUAL_CLASS = (
-    "^[\\x20-\\x7e\\u00a1-\\u00ac\\u00ae-\\u0130\\u0132-\\u024f\\u1e00-\\u1eff\\u2013-\\u2015\\u2018-\\u201f\\u2020-\\u2022\\u2026\\u20ac"
-    "\\u2122\\u2116\\u2126\\u03a9\\u2605\\u2606\\u2190-\\u21ff\\u2500-\\u27bf]*$"
-)
+# Scripts whose shared letters are looked up, and the writing systems that mix scripts.
+_TRIED = "Latin Greek Cyrillic Armenian Hebrew Arabic Syriac Thaana Devanagari Bengali Georgian Hangul Cherokee Coptic Lisu Han Hiragana Katakana Bopomofo".split()
+_SYSTEMS = {"HAN": ["JPAN", "KORE", "HANB"], "HIRAGANA": ["JPAN"], "KATAKANA": ["JPAN"], "HANGUL": ["KORE"], "BOPOMOFO": ["HANB"]}
+_EXTENSIONS = {name.upper(): regex.compile(rf"\p{{scx={name}}}") for name in _TRIED}
+_SCRIPTS: dict[str, frozenset[str] | None] = {}
 
 
 def scripts(ch: str) -> frozenset[str] | None:
-    """The resolved script set of a letter; None for the characters of every script."""
-    known = _SCRIPTS.get(ch)
-    if known is None and ch not in _SCRIPTS:
-        name = unicodedata.name(ch, "")
-        head = name.split(" ", 1)[0]
-        if unicodedata.category(ch)[0] == "M" or head in ("MODIFIER", "FEMININE", "MASCULINE", "MICRO", "OHM"):
-            known = None
-        elif head == "CJK" or head in ("HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA"):
-            known = frozenset({"HAN", "JPAN"}) if head == "CJK" else frozenset({"JPAN"})
-        else:
-            known = frozenset({head})
-        _SCRIPTS[ch] = known
-    return known
+    """The resolved script set of a letter: its script extensions and the writing systems that use
+    them; None for the characters of every script."""
+    if ch not in _SCRIPTS:
+        _SCRIPTS[ch] = _resolved(ch)
+    return _SCRIPTS[ch]
 
 
-_SCRIPTS: dict[str, frozenset[str] | None] = {}
+def _resolved(ch: str) -> frozenset[str] | None:
+    head = unicodedata.name(ch, "").split(" ", 1)[0]
+    if unicodedata.category(ch)[0] == "M" or head in ("MODIFIER", "FEMININE", "MASCULINE", "MICRO", "OHM"):
+        return None
+    found = {name for name, pattern in _EXTENSIONS.items() if pattern.match(ch)}
+    if not found:
+        return frozenset({head}) if regex.match(r"\p{L}", ch) and not regex.match(r"\p{scx=Common}", ch) else None
+    return frozenset(found.union(*[_SYSTEMS.get(name, ()) for name in found]))
 
 
 def look_in(ch: str, script: str) -> str | None:
@@ -156,6 +164,31 @@ def folded(text: str) -> str:
     return "".join(c for c in plain if not unicodedata.combining(c))
 
 
+def _keeps(ch: str) -> bool:
+    """Whether a character comes through `consistent` as it is in any value of such characters only."""
+    cat = unicodedata.category(ch)
+    if cat[0] == "M" or cat in ("Cs", "Cn", "Co") or unicodedata.combining(ch) or consistent(ch) != ch or unicodedata.normalize("NFC", ch) != ch:
+        return False
+    return cat[0] != "L" or (ch not in LATIN_LOOK and scripts(ch) in (None, frozenset({"LATIN"})))
+
+
+@lru_cache(maxsize=1)
+def usual_class() -> str:
+    """The pattern of the values that `consistent` leaves alone, found by asking it for every character.
+
+    No letter of it is of another script than Latin or looks like one of another use, and none
+    joins its neighbour, so a value of such characters changes only if one of them does alone.
+    """
+    ranges: list[list[int]] = []
+    for code in range(0x20, 0x10000):
+        if _keeps(chr(code)):
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "^[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]*$"
+
+
 def _udf(fn, kind: str = "string"):
     @F.pandas_udf(kind)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -194,7 +227,7 @@ def disguised_values(df: DataFrame, ids: list[str], columns: list[str]) -> DataF
     values = (
         df.select(*ids, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_v"))
         .select(*ids, "_v.field", "_v.value")
-        .where(F.col("value").isNotNull() & ~F.col("value").rlike(USUAL_CLASS))
+        .where(F.col("value").isNotNull() & ~F.col("value").rlike(usual_class()))
     )
     return values.withColumn("normal", consistent_col(F.col("value"))).where("normal <> value")
 
@@ -203,5 +236,5 @@ def normalized(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     """ids and the columns in their consistent form; nulls stay null."""
     return df.select(
         *ids,
-        *[F.when(F.col(c).rlike(USUAL_CLASS), F.col(c)).otherwise(consistent_col(F.when(~F.col(c).rlike(USUAL_CLASS), F.col(c)))).alias(c) for c in columns],
+        *[F.when(F.col(c).rlike(usual_class()), F.col(c)).otherwise(consistent_col(F.when(~F.col(c).rlike(usual_class()), F.col(c)))).alias(c) for c in columns],
     )

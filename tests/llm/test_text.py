@@ -14,6 +14,25 @@ def test_consistent_forms():
         assert unify.consistent(want) == want
 
 
+def test_letters_of_other_scripts():
+    cases = {"ᏟᎪᏢ": "CAP", "ꓐrand": "Brand", "ⲟil": "oil", "ſale": "sale", "Kit ǃ": "Kit !", "ĳs": "ijs", "ゴー": "ゴー", "雲海": "雲海", "Ǆ": "DŽ"}
+    for given, want in cases.items():
+        assert unify.consistent(given) == want, given
+    assert unify.scripts("ー") == {"HIRAGANA", "KATAKANA", "JPAN"} and unify.scripts("雲") >= {"HAN", "KORE"} and unify.scripts("7") is None
+
+
+def test_a_value_of_the_usual_class_never_changes(spark):
+    import re
+
+    rng = random.Random(1)
+    usual = re.compile(unify.usual_class())
+    pool = [chr(c) for c in range(0x20, 0x3000) if usual.match(chr(c))]
+    assert not [w for w in ("".join(rng.choices(pool, k=10)) for _ in range(3000)) if unify.consistent(w) != w]
+    values = ["ſale", "ĳs", "Kit ǃ", "ǆ", "Ŀ", "ŉ", "plain", "Çeşme", None]
+    df = spark.createDataFrame(list(enumerate(values)), "row_id int, name string")
+    assert {r.row_id: r.name for r in unify.normalized(df, ["row_id"], ["name"]).collect()} == {i: v and unify.consistent(v) for i, v in enumerate(values)}
+
+
 def test_disguised_values(spark):
     long = "a" * 50_000 + "​"
     df = spark.createDataFrame([(1, "Роԁ", None, "x"), (2, "Дым", "", "x"), (3, long, "ok", "x"), (3, long, "ok", "x")], "row_id bigint, name string, reference string, value string")
