@@ -76,15 +76,25 @@ def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], salt_from: str, salts: int = 8, how: str = "left") -> DataFrame:
-    """Join rows to a table of distinct keys when one key may hold a third of the rows.
+def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], salt_from: str, salts: int | None = None, how: str = "left") -> DataFrame:
+    """Join rows to a table when one key may hold a third of the rows.
 
     Each lookup row is repeated once per salt and each row takes the salt of a hash of
-    salt_from, so a hot key is spread over that many tasks whatever AQE decides.
+    salt_from, so a hot key is spread over that many tasks whatever AQE decides. By default there
+    are as many salts as cores, within 8 and 64.
     """
-    spread = lookup.withColumn("_salt", F.explode(F.array([F.lit(i) for i in range(salts)])))
+    if salts is None:
+        salts = max(8, min(64, rows.sparkSession.sparkContext.defaultParallelism))
+    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
         rows.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
         .join(spread, [*keys, "_salt"], how)
         .drop("_salt")
     )
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], salt_from: str, max_rows: int, how: str = "inner") -> DataFrame:
+    """rows joined to a lookup whose size is counted here: broadcast up to max_rows rows, salted beyond."""
+    if lookup.limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(lookup), keys, how)
+    return salted_lookup(rows, lookup, keys, salt_from, how=how)
