@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.binding import let
-from tallyloom.session import bounded, checkpointed
+from tallyloom.session import checkpointed, lookup_join
 
 #: Words of a window and of a shingle; one edit is allowed per EDIT_EVERY words.
 WINDOW, SHINGLE, EDIT_EVERY = 20, 5, 10
@@ -20,7 +20,7 @@ MAX_BROADCAST = 400_000
 # Accented letters and the letters they are compared as.
 _ACCENTED = "àáâãäåāăąçćĉċčďèéêëēĕėęěĝğġģĥìíîïĩīĭįĵķĺļľñńņňòóôõöōŏőŕŗřśŝşšţťùúûüũūŭůűųŵýÿŷźżž"
 _PLAIN = "aaaaaaaaacccccdeeeeeeeeegggghiiiiiiiijklllnnnnoooooooorrrssssttuuuuuuuuuuwyyyzzz"
-_TAG = r"<[^<>]{0,200}>|&(?:[a-z]{2,8}|#[0-9]{1,6}|#x[0-9a-f]{1,5});"
+_TAG = r"</?[a-z!][^<>]*>|&(?:[a-z]+[0-9]*|#[0-9]+|#x[0-9a-f]+);"
 
 
 def words_of(text: Column) -> Column:
@@ -44,7 +44,7 @@ def shingles(ws: Column, sizes: tuple[int, ...] = (SHINGLE,)) -> Column:
 
     def of(w: Column, k: int) -> Column:
         n = F.size(w)
-        runs = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.array_join(F.slice(w, i, k), " ")).alias("h")))
+        runs = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct((i + 1).alias("pos"), F.xxhash64(F.lit(k), *[F.get(w, i + j) for j in range(k)]).alias("h")))
         return F.when(n >= k, runs).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
 
     return let(ws, lambda w: F.concat(*[of(w, k) for k in sizes]))
@@ -140,7 +140,7 @@ def leaked(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_
     vocabulary = item_shingles.select("h").distinct()
     docs = documents.select(F.col(doc_id).alias("_d"), F.col(text).alias("_t")).where(F.col("_t").isNotNull() & F.col("_d").isNotNull())
     runs = docs.select("_d", F.inline(shingles(words_of(F.col("_t")), (SHINGLE, *short))))
-    hits = checkpointed(runs.join(bounded(vocabulary, MAX_BROADCAST, "item shingles"), "h"))
+    hits = checkpointed(lookup_join(runs, vocabulary, ["h"], "_d", MAX_BROADCAST))
     df = hits.groupBy("h").agg(F.approx_count_distinct("_d", 0.01).alias("df"))
     ranked = item_shingles.join(df, "h", "left").select("_i", "_n", "pos", "h", F.coalesce("df", F.lit(0)).alias("df"))
     kept_of_window = WINDOW - WINDOW // EDIT_EVERY
@@ -156,11 +156,12 @@ def leaked(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_
     )
     prefixes = grouped.select("_i", "_n", F.inline(F.array_distinct(F.flatten(windows)))).select("_i", "_n", F.col("pos").alias("_ip"), "h")
     anchors = (
-        hits.join(bounded(prefixes, MAX_BROADCAST, "prefix shingles"), "h")
+        lookup_join(hits, prefixes, ["h"], "_d", MAX_BROADCAST)
         .groupBy("_d", "_i")
         .agg(F.array_sort(F.collect_set(F.struct((F.col("_ip") - 1).alias("i"), (F.col("pos") - 1).alias("j")))).alias("_a"))
     )
-    wanted = anchors.join(docs, "_d").select("_d", "_i", "_a", words_of(F.col("_t")).alias("_dw")).join(bounded(its, MAX_BROADCAST // 20, "items"), "_i")
+    words_once = docs.join(anchors.select("_d").distinct(), "_d", "left_semi").select("_d", words_of(F.col("_t")).alias("_dw"))
+    wanted = lookup_join(anchors.join(words_once, "_d").select("_d", "_i", "_a", "_dw"), its, ["_i"], "_d", MAX_BROADCAST // 20)
     positional = F.size("_dw") >= F.least(F.lit(WINDOW), F.size("_iw")) - F.floor(F.least(F.lit(WINDOW), F.size("_iw")) / EDIT_EVERY)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -129,8 +129,24 @@ def test_leaked(spark):
     assert leaks.leaked(d.limit(0), e).count() == 0 and leaks.leaked(d, e.limit(0)).count() == 0
 
 
+def test_a_long_tag_inside_a_leak(spark):
+    item = [f"palabra{i}" for i in range(24)]
+    tag = '<a title="' + "muchas otras cosas " * 20 + '">'
+    d = spark.createDataFrame([(1, " ".join([*item[:12], tag, *item[12:]]))], "doc_id bigint, text string")
+    e = spark.createDataFrame([(10, " ".join(item))], "item_id bigint, text string")
+    assert len(tag) > 300 and leaks.leaked(d, e).count() == 1
+
+
+def test_more_items_than_fit_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "MAX_BROADCAST", 20)
+    item = " ".join(f"palabra{i}" for i in range(30))
+    d = spark.createDataFrame([(i, f"{i} {item}") for i in range(40)], "doc_id bigint, text string")
+    e = spark.createDataFrame([(10, item), (11, "una sola frase corta de seis")], "item_id bigint, text string")
+    assert leaks.leaked(d, e).count() == 40
+
+
 def test_words_agree(spark):
-    t = "Água-9 <br/>Ñandú&nbsp;x_y  ÉTÉ​z"
+    t = "Água-9 <br/>Ñandú&nbsp;x_y 3 < 5 y 7 > 6 ÉTÉ​z"
     row = spark.createDataFrame([(t,)], "t string").select(leaks.words_of(leaks.F.col("t"))).first()[0]
     assert row == leaks.words(t)
 
@@ -144,5 +160,10 @@ def test_mix(spark):
     assert {r.source for r in mix} == {"a", "b"}
     assert all(0 <= r.copies <= {"a": 3, "b": 1}[r.source] for r in mix)
     tokens = {s: sum(r.tokens * r.copies for r in mix if r.source == s) for s in "ab"}
-    assert abs(tokens["a"] / sum(tokens.values()) - 0.625) < 0.03
+    assert abs(tokens["a"] / sum(tokens.values()) - 0.625) < 0.002
+    for s in "ab":  # up to every size, copies and rates differ by less than one
+        seen = 0.0
+        for size in sorted({r.tokens for r in mix if r.source == s}):
+            seen += sum(r.copies - r.rate for r in mix if r.source == s and r.tokens == size)
+            assert abs(seen) < 1.01
     assert mixing.mixed(df.limit(0), t).count() == 0
