@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.unify import folded_col
-from tallyloom.session import bounded, checkpointed, salted_lookup
+from tallyloom.session import checkpointed, lookup_join, salted_lookup
 
 # Words round a brand that are not part of it, and digits typed for letters.
 LEGAL = r"(?:s ?l ?u?|s ?a ?s?|ltda?|lda|gmbh|inc|llc|bv|srl|technology co|co)"
 BEFORE = r"(?:by|de la marca|marca|fabricante|brand|de)"
 AFTER = r"(?:oficial|official|vape|espana|spain|iberia|sales|store|shop)"
 LOOK_DIGITS = ("01345", "oieas")
-#: Jaccard over letters and letter pairs from which a pair is a candidate.
-THRESHOLD = 0.55
-#: The canonical list is broadcast up to this many token rows; a longer one is shuffled.
+#: Spellings of fewer letters must be met exactly.
+SHORTEST_WITH_ERROR = 5
+#: The canonical list is broadcast up to this many token rows; a longer one is joined by salted keys.
 MAX_BROADCAST = 500_000
 
 
@@ -34,12 +34,14 @@ def key_of(text: Column) -> Column:
 
 
 def token_set(compact: str) -> list[str]:
-    """Letters and letter pairs, repeats numbered, so that a set stands for the multiset."""
+    """Letters and letter pairs, repeats numbered, so that a set stands for the multiset; turned forms keep their mark."""
+    mark = "~" if compact.startswith("~") else ""
+    compact = compact.removeprefix("~")
     seen: dict[str, int] = {}
     out = []
     for x in [*compact, *(compact[i : i + 2] for i in range(len(compact) - 1))]:
         seen[x] = seen.get(x, 0) + 1
-        out.append(f"{x}#{seen[x]}")
+        out.append(f"{mark}{x}#{seen[x]}")
     return out
 
 
@@ -61,46 +63,49 @@ def one_error(a: str, b: str) -> int:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def tokens_of(keys: pd.Series) -> pd.Series:
-    return keys.map(lambda k: token_set(k.replace(" ", "")))
+def tokens_of(forms: pd.Series) -> pd.Series:
+    return forms.map(token_set)
 
 
 @F.pandas_udf(T.IntegerType())
-def typing_distance(keys: pd.Series, spelled: pd.Series, kinds: pd.Series) -> pd.Series:
-    """Typing errors between key and spelling, words in either order for full spellings."""
+def typing_errors(keys: pd.Series, forms: pd.Series) -> pd.Series:
+    return pd.Series([one_error(k, f) for k, f in zip(keys, forms)])
 
-    def one(key: str, form: str, kind: int) -> int:
-        d = one_error(key.replace(" ", ""), form.replace(" ", ""))
-        if d and kind < 10 and " " in key and " " in form:
-            d = min(d, one_error("".join(sorted(key.split())), "".join(sorted(form.split()))))
-            if d and form.startswith(key) and len(key) >= form.index(" ") + 2:
-                d = 0  # a beginning that reaches past the first word
-        return d
 
-    return pd.Series([one(k, f, i) for k, f, i in zip(keys, spelled, kinds)])
+def least_jaccard(letters: Column) -> Column:
+    """The Jaccard similarity that one typing error leaves to a spelling of so many letters, at least.
+
+    A replaced letter or two swapped neighbours leave 2n - 4 of the 2n - 1 letters and pairs on
+    either side; a letter too many or too few leaves more.
+    """
+    return F.when(letters < SHORTEST_WITH_ERROR, 1.0).otherwise((2 * letters - 4) / (2 * letters + 2))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: float | None = None) -> DataFrame:
     """left_id, right_id, jaccard of every pair of token sets at or over the threshold.
 
-    left(id, tokens), right(id, tokens) with distinct tokens. Tokens are ordered by their
-    global rarity; two sets can reach the threshold only if their prefixes of
+    left(id, tokens), right(id, tokens) with distinct tokens; without a threshold both have a
+    column `least`, and a pair must reach that of either side. Tokens are ordered by their global
+    rarity; two sets can reach a threshold only if their prefixes of
     size - ceil(threshold * size) + 1 share a token, so only prefixes are joined. A pair is
     dropped early when its sizes differ too much or when, at the position of a shared prefix
     token, the tokens left on either side cannot make up the overlap; the Jaccard of the rest
     is computed from the whole sets. Empty sets pair with nothing.
     """
+    if threshold is not None:
+        left, right = (x.withColumn("least", F.lit(float(threshold))) for x in (left, right))
     both = left.select(F.explode("tokens").alias("t")).unionAll(right.select(F.explode("tokens").alias("t")))
     counted = both.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     # an ordinal that grows with the frequency: unique by the token's own hash in the low bits
     rank = F.shiftleft(F.least("df", F.lit(2**31 - 1)).cast("bigint"), 32) + F.pmod(F.xxhash64("t"), F.lit(2**32))
     rarity = counted.select("t", rank.alias("k"))
+    # as many partitions as cores at least: what follows multiplies the rows
+    parts = max(left.sparkSession.sparkContext.defaultParallelism, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def ordered(side: DataFrame) -> DataFrame:
-        """id and the sorted ordinals of its tokens, rarest first."""
-        return checkpointed(
-            side.select("id", F.explode("tokens").alias("t")).join(rarity, "t").groupBy("id").agg(F.array_sort(F.collect_list("k")).alias("ts"))
-        )
+        """id, least and the sorted ordinals of its tokens, rarest first."""
+        sets = side.select("id", "least", F.explode("tokens").alias("t")).join(rarity, "t").groupBy("id", "least").agg(F.array_sort(F.collect_list("k")).alias("ts"))
+        return checkpointed(sets.repartition(parts, "id"))
 
     left, right = ordered(left), ordered(right)
 
@@ -109,80 +114,99 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
         return side.select(
             F.col("id").alias(f"{name}_id"),
             n.alias(f"{name}_n"),
-            F.posexplode(F.slice("ts", F.lit(1), (n - F.ceil(n * threshold) + 1).cast("int"))).alias(f"{name}_pos", "t"),
+            F.col("least").alias(f"{name}_least"),
+            F.posexplode(F.slice("ts", F.lit(1), (n - F.ceil(n * F.col("least") - 1e-9) + 1).cast("int"))).alias(f"{name}_pos", "t"),
         )
 
     a, b = prefixed(left, "left"), prefixed(right, "right")
-    need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("left_n") + F.col("right_n")))
+    least = F.greatest("left_least", "right_least")
+    need = F.ceil(least / (1 + least) * (F.col("left_n") + F.col("right_n")) - 1e-9)
     room = F.least(F.col("left_n") - F.col("left_pos"), F.col("right_n") - F.col("right_pos"))
     candidates = (
-        a.join(bounded(b, MAX_BROADCAST, "prefix tokens"), "t")
+        lookup_join(a, b, ["t"], "left_id", MAX_BROADCAST)
         .where(
-            (F.col("left_n") >= F.col("right_n") * threshold)
-            & (F.col("right_n") >= F.col("left_n") * threshold)
+            (F.col("left_n") >= F.col("right_n") * least - 1e-9)
+            & (F.col("right_n") >= F.col("left_n") * least - 1e-9)
             # the first shared prefix token has at most min(pos) shared tokens before it
             & (room + F.least("left_pos", "right_pos") >= need)
         )
         .select("left_id", "right_id")
         .distinct()
     )
-    full = candidates.join(left.select(F.col("id").alias("left_id"), F.col("ts").alias("lt")), "left_id").join(
-        bounded(right.select(F.col("id").alias("right_id"), F.col("ts").alias("rt")), MAX_BROADCAST, "token sets"), "right_id"
-    )
+    full = lookup_join(
+        candidates.join(left.select(F.col("id").alias("left_id"), F.col("ts").alias("lt"), F.col("least").alias("ll")), "left_id"),
+        right.select(F.col("id").alias("right_id"), F.col("ts").alias("rt"), F.col("least").alias("rl")), ["right_id"], "left_id", MAX_BROADCAST,
+    )
     shared = F.size(F.array_intersect("lt", "rt"))
     return (
         full.withColumn("jaccard", shared / (F.size("lt") + F.size("rt") - shared))
-        .where(F.col("jaccard") >= threshold)
+        .where(F.col("jaccard") >= F.greatest("ll", "rl") - 1e-9)
         .select("left_id", "right_id", "jaccard")
     )
 
 
-def spellings(reference: DataFrame, id_col: str, names: list[str]) -> DataFrame:
-    """id, key, kind of every spelling of each entry: full names (kind under 10) and first words that only one entry has (10)."""
-    full = reference.select(
-        F.col(id_col).alias("id"), F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), folded_col(F.col(c)).alias("n")) for i, c in enumerate(names)])).alias("s")
-    ).select("id", key_of(F.col("s.n")).alias("key"), "s.kind")
-    full = full.where("key is not null and key <> ''").groupBy("id", "key").agg(F.min("kind").alias("kind"))
-    w = Window.partitionBy("key")
-    lone = (
-        full.select("id", F.split("key", " ")[0].alias("key"))
-        .distinct()
-        .withColumn("owners", F.count(F.lit(1)).over(w))
-        .where((F.col("owners") == 1) & (F.length("key") >= 4))
-        .select("id", "key", F.lit(10).alias("kind"))
-    )
-    return full.unionByName(lone).groupBy("id", "key").agg(F.min("kind").alias("kind"))
+def _letters(key: Column) -> Column:
+    return F.replace(key, F.lit(" "), F.lit(""))
+
 
+def _turned(key: Column) -> Column:
+    """The letters of a key with its words in alphabetical order, marked; null for a single word."""
+    words = F.split(key, " ")
+    return F.when(F.size(words) > 1, F.concat(F.lit("~"), F.array_join(F.array_sort(words), "")))
 
-def map_to_canonical(texts: DataFrame, reference: DataFrame, id_col: str, names: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """texts(text) of distinct values -> text, id, jaccard, distance; id is null where none is meant.
 
-    Candidates come from the set-similarity join of the distinct keys; a candidate is accepted
-    when its compact key, or the key with its words sorted, is at most one typing error (letter
-    replaced, left out, doubled, added, or two neighbours swapped) from a spelling of the entry,
-    none for spellings under five letters, or when it is the beginning of a full spelling and
-    reaches past its first word. The smallest distance wins, then the fuller kind of spelling,
-    the larger Jaccard and the smaller id, so ties are resolved alike on every run.
+def spellings(reference: DataFrame, id_col: str, names: list[str]) -> DataFrame:
+    """entry, form, kind, least: what each entry may be written as.
+
+    Full names (kind 0, 1, ..), also with their words in alphabetical order (form marked ~);
+    beginnings of a full name that reach past its first word (20) and first words (10), where
+    only one entry has them. least is the Jaccard similarity a text must reach; a beginning must
+    be met exactly.
+    """
+    full = reference.select(
+        F.col(id_col).alias("entry"), F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), folded_col(F.col(c)).alias("n")) for i, c in enumerate(names)])).alias("s")
+    ).select("entry", key_of(F.col("s.n")).alias("key"), "s.kind")
+    full = checkpointed(full.where("key is not null and key <> ''").groupBy("entry", "key").agg(F.min("kind").alias("kind")))
+    natural = full.select("entry", _letters(F.col("key")).alias("form"), "kind")
+    turned = full.select("entry", _turned(F.col("key")).alias("form"), "kind").where("form is not null")
+    first = F.split("key", " ")[0]
+    lone = full.where(F.length(first) >= 4).select("entry", first.alias("form"), F.lit(10).alias("kind"))
+    beyond = F.sequence(F.length(first) + 2, F.length("key") - 1)
+    begun = full.where(F.length("key") > F.length(first) + 2).select("entry", F.explode(F.transform(beyond, lambda n: F.substring(F.col("key"), F.lit(1), n))).alias("k")).select("entry", _letters(F.col("k")).alias("form"), F.lit(20).alias("kind"))
+    sole = lone.unionByName(begun).distinct().withColumn("owners", F.count(F.lit(1)).over(Window.partitionBy("form", "kind"))).where("owners = 1").drop("owners")
+    forms = natural.unionByName(turned).unionByName(sole).groupBy("entry", "form").agg(F.min("kind").alias("kind"))
+    return forms.withColumn("least", F.when(F.col("kind") == 20, 1.0).otherwise(least_jaccard(F.length(F.ltrim(F.col("form"), F.lit("~"))))))
+
+
+def map_to_canonical(texts: DataFrame, reference: DataFrame, id_col: str, names: list[str]) -> DataFrame:
+    """texts(text) of distinct values -> text, id, jaccard, errors; id is null where none is meant.
+
+    Candidates are the pairs of the set-similarity join of the distinct keys and the spellings,
+    over letters and letter pairs, from the Jaccard similarity that one typing error leaves. An
+    exact check then asks for at most one typing error (letter replaced, left out, doubled, added,
+    or two neighbours swapped), none for spellings under five letters and for beginnings. The
+    largest Jaccard wins, then the fuller kind of spelling and the smaller id, so ties are
+    resolved alike on every run.
     """
     keyed = checkpointed(texts.select("text", folded_col(F.col("text")).alias("f")).select("text", key_of(F.col("f")).alias("key")))
-    forms = checkpointed(spellings(reference, id_col, names).withColumnRenamed("id", "entry"))
-    sets = lambda keys: keys.select(F.col("key").alias("id"), tokens_of(F.col("key")).alias("tokens"))
-    left = checkpointed(sets(keyed.select("key").where("key <> ''").distinct()))
-    right = checkpointed(sets(forms.select("key").distinct()))
-    pairs = similar_pairs(left, right, threshold).withColumnRenamed("left_id", "key")
-    measured = pairs.join(
-        bounded(forms.select(F.col("key").alias("right_id"), "entry", "kind"), MAX_BROADCAST, "spellings"), "right_id"
-    )
-    measured = measured.withColumn("distance", typing_distance("key", "right_id", "kind"))
-    allowed = F.when(F.length(F.replace(F.col("right_id"), F.lit(" "), F.lit(""))) < 5, 0).otherwise(1)
-    w = Window.partitionBy("key").orderBy("distance", "kind", F.desc("jaccard"), "entry")
-    best = (
-        measured.where(F.col("distance") <= allowed)
-        .withColumn("r", F.row_number().over(w))
-        .where("r = 1")
-        .select("key", F.col("entry").alias("id"), "jaccard", "distance")
+    forms = checkpointed(spellings(reference, id_col, names))
+    keys = keyed.select("key").where("key <> ''").distinct()
+    written = checkpointed(
+        keys.select("key", F.explode(F.filter(F.array(_letters(F.col("key")), _turned(F.col("key"))), lambda f: f.isNotNull())).alias("form"))
     )
-    return keyed.join(best, "key", "left").select("text", "id", "jaccard", "distance")
+    n = F.length(F.ltrim(F.col("form"), F.lit("~")))
+    # the spelling met with an error has at least one letter less
+    own = F.when(n < SHORTEST_WITH_ERROR - 1, 1.0).otherwise(least_jaccard(F.greatest(F.lit(SHORTEST_WITH_ERROR), n - 1)))
+    left = written.select(F.col("form").alias("id"), own.alias("least")).distinct().withColumn("tokens", tokens_of("id"))
+    right = forms.groupBy(F.col("form").alias("id")).agg(F.min("least").alias("least")).withColumn("tokens", tokens_of("id"))
+    pairs = similar_pairs(checkpointed(left), checkpointed(right)).withColumn("errors", typing_errors("left_id", "right_id"))
+    entries = forms.select(F.col("form").alias("right_id"), "entry", "kind", F.col("least").alias("l"))
+    measured = lookup_join(pairs.where("errors < 2"), entries, ["right_id"], "left_id", MAX_BROADCAST).where("errors = 0 or l < 1")
+    # two words in another order show the same letters turned
+    met = measured.withColumnRenamed("left_id", "form").join(written, "form")
+    w = Window.partitionBy("key").orderBy(F.desc("jaccard"), "kind", "entry")
+    best = met.withColumn("r", F.row_number().over(w)).where("r = 1").select("key", F.col("entry").alias("id"), "jaccard", "errors")
+    return keyed.join(best, "key", "left").select("text", "id", "jaccard", "errors")
 
 
 def brand_texts(product: DataFrame) -> DataFrame:
@@ -199,7 +223,7 @@ def brand_texts(product: DataFrame) -> DataFrame:
 
 
 def product_brands(product: DataFrame, brand_ref: DataFrame) -> DataFrame:
-    """row_id, field, pos, text, brand_id (-1 where no listed brand is meant), jaccard, distance.
+    """row_id, field, pos, text, brand_id (-1 where no listed brand is meant), jaccard, errors.
 
     Null and blank texts and elements give no row but elements keep their position; repeated
     rows give their rows again; an empty list of brands gives -1 throughout. Each distinct
@@ -208,4 +232,4 @@ def product_brands(product: DataFrame, brand_ref: DataFrame) -> DataFrame:
     rows = brand_texts(product)
     mapped = map_to_canonical(rows.select("text").distinct(), brand_ref.where("brand_id is not null"), "brand_id", ["brand_name", "legal_name"])
     out = salted_lookup(rows, mapped, ["text"], "row_id")
-    return out.select("row_id", "field", "pos", "text", F.coalesce(F.col("id"), F.lit(-1)).cast("int").alias("brand_id"), "jaccard", "distance")
+    return out.select("row_id", "field", "pos", "text", F.coalesce(F.col("id"), F.lit(-1)).cast("int").alias("brand_id"), "jaccard", "errors")

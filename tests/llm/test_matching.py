@@ -18,6 +18,24 @@ def test_brand_mapping(spark):
     assert got == texts
 
 
+def test_five_letters_and_beginnings(spark):
+    ref = spark.createDataFrame([(1, "Abcde", None), (2, "Zomira Fabrica", None), (3, "Zomira Factor", None), (4, "Fghi", None)], "brand_id int, brand_name string, legal_name string")
+    texts = {"abxde": 1, "acbde": 1, "abcd": 1, "abcdee": 1, "abxye": None, "Zomira Fa": None, "Zomira Fab": 2, "Fabrica Zomira": 2, "fabrica zomirra": 2, "Fghi": 4, "Fgh": None, "": None, None: None}
+    got = {r.text: r.id for r in canonical.map_to_canonical(spark.createDataFrame([(t,) for t in texts], "text string"), ref, "brand_id", ["brand_name", "legal_name"]).collect()}
+    assert got == texts
+
+
+def test_every_single_error_reaches_the_least_jaccard():
+    rnd = random.Random(7)
+    for _ in range(400):
+        n = rnd.randrange(5, 14)
+        name = "".join(rnd.choice("abcdefgh") for _ in range(n))
+        i = rnd.randrange(n - 1)
+        for other in (name[:i] + name[i + 1 :], name[:i] + "z" + name[i + 1 :], name[:i] + "z" + name[i:], name[:i] + name[i] + name[i:], name[:i] + name[i + 1] + name[i] + name[i + 2 :]):
+            a, b = set(canonical.token_set(name)), set(canonical.token_set(other))
+            assert canonical.one_error(other, name) < 2 and len(a & b) / len(a | b) >= (2 * n - 4) / (2 * n + 2) - 1e-9
+
+
 def test_brand_rows(spark):
     ref = spark.createDataFrame([(4, "Koplia", None)], "brand_id int, brand_name string, legal_name string")
     p = spark.createDataFrame(
