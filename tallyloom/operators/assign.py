@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import checkpointed
+from tallyloom.session import checkpointed, release
 
 
 def best_and_alternatives(pairs: DataFrame, left: str, right: str, score: str, tie: str, alternatives: int = 5) -> DataFrame:
@@ -23,55 +23,48 @@ def best_and_alternatives(pairs: DataFrame, left: str, right: str, score: str, t
     )
 
 
-def greedy_one_to_one(edges: DataFrame, left: str, right: str, order: Sequence[Column], rounds: int = 25) -> DataFrame:
+def greedy_one_to_one(edges: DataFrame, left: str, right: str, order: Sequence[tuple[str, bool]]) -> DataFrame:
     """The edges that sequential greedy in the strict order keeps.
 
     An edge is kept iff no better edge at either end is kept. Each round keeps the edges that
-    rank first at both their ends and deletes all edges that touch a kept end; the lineage is
-    cut after every round. order must end in a unique key. What is left after `rounds` rounds
-    (a chain of ever worse neighbours) is finished per connected component.
+    rank first at both their ends and deletes all edges that touch a kept end, until none is
+    left; the best of all edges goes in every round, so it ends. The rank at an end is the least
+    order struct there (an aggregate, not a sort), the lineage is cut after every round and the
+    former round's files deleted. order is (column, whether descending) and must end in a unique
+    key; descending columns are numbers, and no order column is null.
     """
-    live = checkpointed(edges)
-    kept = edges.limit(0)
-    for _ in range(rounds):
-        ranked = live.withColumn("_l", F.row_number().over(Window.partitionBy(left).orderBy(*order))).withColumn(
-            "_r", F.row_number().over(Window.partitionBy(right).orderBy(*order))
-        )
-        won = checkpointed(ranked.where("_l = 1 and _r = 1").drop("_l", "_r"))
-        kept = kept.unionByName(won)
-        live = checkpointed(live.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
-        if live.isEmpty():
-            return kept
-    return kept.unionByName(_rest(live, left, right, order))
-
-
-def _rest(live: DataFrame, left: str, right: str, order: Sequence[Column]) -> DataFrame:
-    """Sequential greedy on the components that are left, one component per group.
-
-    Components come from label propagation over shared ends until no label changes; what
-    reaches this point is chains, so each is small beside the input.
+    live = checkpointed(edges.withColumn("_o", F.struct(*[(-F.col(c) if down else F.col(c)).alias(f"k{i}") for i, (c, down) in enumerate(order)])))
+    kept = None
+    while not live.isEmpty():
+        first = lambda end: live.groupBy(end).agg(F.min("_o").alias("_o"))
+        won = checkpointed(live.join(first(left), [left, "_o"], "left_semi").join(first(right), [right, "_o"], "left_semi"))
+        kept = won if kept is None else kept.unionByName(won)
+        rest = checkpointed(live.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
+        release(live)
+        live = rest
+    return (live if kept is None else kept).select(*edges.columns)
+
+
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """node, component (its least node) of every node of an undirected graph.
+
+    Every round each node takes the least label among itself, its neighbours and its label's own
+    label (pointer jumping), so a chain of n nodes needs about log n rounds, not n. Lineage is cut
+    after every round and the former checkpoint deleted. Null ends take no part.
     """
-    cols = live.columns
-    labelled = checkpointed(live.withColumn("_c", F.xxhash64(left, right)))
+    known = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    both = checkpointed(known.select(F.col(a).alias("node"), F.col(b).alias("peer")).unionAll(known.select(F.col(b).alias("node"), F.col(a).alias("peer"))).distinct())
+    labels = checkpointed(both.groupBy("node").agg(F.least(F.col("node"), F.min("peer")).alias("component")))
     while True:
-        moved = labelled.withColumn("_n", F.least(F.min("_c").over(Window.partitionBy(left)), F.min("_c").over(Window.partitionBy(right))))
-        moved = checkpointed(moved)
-        changed = not moved.where("_n < _c").isEmpty()
-        labelled = moved.withColumn("_c", F.col("_n")).drop("_n")
-        if not changed:
-            break
-    ranked = labelled.withColumn("_o", F.row_number().over(Window.partitionBy("_c").orderBy(*order)))
-
-    def keep(pdf):
-        used_l, used_r, rows = set(), set(), []
-        for i, (a, b) in enumerate(zip(pdf.sort_values("_o")[left], pdf.sort_values("_o")[right])):
-            if a not in used_l and b not in used_r:
-                used_l.add(a)
-                used_r.add(b)
-                rows.append(i)
-        return pdf.sort_values("_o").iloc[rows][cols]
-
-    return ranked.groupBy("_c").applyInPandas(keep, live.schema)
+        offered = both.join(labels.select(F.col("node").alias("peer"), "component"), "peer").groupBy("node").agg(F.min("component").alias("_o"))
+        near = labels.join(offered, "node").select("node", "component", F.least("component", "_o").alias("_n"))
+        jump = labels.select(F.col("node").alias("_n"), F.col("component").alias("_j"))
+        moved = checkpointed(near.join(jump, "_n").select("node", F.least("_n", "_j").alias("component"), (F.least("_n", "_j") < F.col("component")).alias("_moved")))
+        release(labels)
+        labels = moved
+        if moved.where("_moved").isEmpty():
+            release(both)
+            return labels.drop("_moved")
 
 
 def representative(rows: DataFrame, group: Sequence[str], name: str) -> DataFrame:

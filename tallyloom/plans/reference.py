@@ -292,7 +292,7 @@ def q_alternatives(spark: SparkSession, d: str) -> DataFrame:
 def q_greedy_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Exact greedy one-to-one of the block pairs; tested against brute force."""
     edges = _scored(spark, d).where("score >= 0.72").select("a_id", "b_id", "score")
-    return assign.greedy_one_to_one(edges, "a_id", "b_id", [F.desc("score"), F.asc("a_id"), F.asc("b_id")])
+    return assign.greedy_one_to_one(edges, "a_id", "b_id", [("score", True), ("a_id", False), ("b_id", False)])
 
 
 @query(

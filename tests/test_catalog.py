@@ -33,8 +33,8 @@ def test_similarity(spark):
 
 def test_greedy_equals_sequential(spark):
     rnd = random.Random(3)
-    for rounds in (25, 1):
-        edges = sorted({(rnd.randrange(9), rnd.randrange(9)): rnd.randrange(4) / 4 for _ in range(40)}.items())
+    for size in (9, 25):
+        edges = sorted({(rnd.randrange(size), rnd.randrange(size)): rnd.randrange(4) / 4 for _ in range(40)}.items())
         rows = [(a, b, w) for (a, b), w in edges]
         kept, left, right = set(), set(), set()
         for a, b, w in sorted(rows, key=lambda e: (-e[2], e[0], e[1])):
@@ -43,10 +43,20 @@ def test_greedy_equals_sequential(spark):
                 left.add(a)
                 right.add(b)
         df = spark.createDataFrame(rows, "a int, b int, w double")
-        got = assign.greedy_one_to_one(df, "a", "b", [F.desc("w"), F.asc("a"), F.asc("b")], rounds=rounds).collect()
+        got = assign.greedy_one_to_one(df, "a", "b", [("w", True), ("a", False), ("b", False)]).collect()
         assert {(r.a, r.b) for r in got} == kept
 
 
+def test_greedy_on_a_chain_and_components(spark):
+    chain = spark.createDataFrame([(i, i + d, 100.0 - 2 * i - d) for i in range(30) for d in (0, 1)], "a int, b int, w double")
+    got = assign.greedy_one_to_one(chain, "a", "b", [("w", True), ("a", False), ("b", False)]).collect()
+    assert {(r.a, r.b) for r in got} == {(i, i) for i in range(30)}
+    assert assign.greedy_one_to_one(chain.limit(0), "a", "b", [("w", True), ("a", False), ("b", False)]).collect() == []
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (102, 101), (None, 5)], "x int, y int")
+    assert {(r.node, r.component) for r in assign.components(edges, "x", "y").collect()} == {(i, 1) for i in range(1, 61)} | {(100, 100), (101, 100), (102, 100)}
+    assert assign.components(edges.limit(0), "x", "y").collect() == []
+
+
 def test_merges(spark):
     m = spark.createDataFrame([(1, 10), (1, 20), (2, 30), (2, 40), (3, 50), (3, 60)], "g int, id int")
     deps = spark.createDataFrame([(20,), (20,), (50,), (60,)], "id int")
