@@ -137,6 +137,9 @@ def stated_edition(description: str) -> list[str]:
 def parse(name: str | None, description: str | None, variants: dict[str, str] | None, brands: frozenset[str] | set[str] = frozenset()) -> dict:
     """The attributes of one listing; missing ones are None (edition and model are never).
 
+    The model is what is left of the name; without a name what the description says, and where
+    nothing is left, all words of the name but the advertising.
+
     brands: the brand words of the listing, folded; they are no part of the model.
     """
     n = folded(name or "").replace("™", " ").replace("®", " ")
@@ -178,8 +181,10 @@ def parse(name: str | None, description: str | None, variants: dict[str, str] |
     foreign = {folded(w) for w in re.findall(r"[^\W\d_]+", consistent(name or "")) if not w.isascii()}
     if sum(w not in foreign for w in model) >= 2:
         model = [w for w in model if w not in foreign]  # words of other languages meant as such decorate a name
-    if said and set(said) <= set(tokens):
+    if said and (set(said) <= set(tokens) or not n.strip()):
         model = said
+    if not model:
+        model = tokens or re.findall(r"[a-z0-9]+", clean)
     named = _BRAND_IN_DESCRIPTION.search(d)
     return {
         "model": " ".join(sorted(set(model))), "edition": " ".join(marks), "volume": volume, "strength": mg, "ohm": ohm, "pack": pack, "colour": colour,

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import itertools
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,46 +14,72 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.listings import parse
 from tallyloom.llm.unify import folded, folded_col
-from tallyloom.session import checkpointed, salted_lookup
-
-#: A brand text is known if at least one row in so many carries it, so there are at most that many per column.
-KNOWN_BRAND_SHARE = 5_000
+from tallyloom.operators.assign import components
+from tallyloom.session import checkpointed, lookup_join, salted_lookup
+
+#: A word of names is a brand word if the brand texts of so many of the rows that have it say it too.
+BRAND_SHARE = 0.3
+#: Rarity-weighted Jaccard of the model words from which two listings are compared.
+SIMILAR = 0.8
+#: The table of brand words is broadcast up to this many rows, and joined by salted keys beyond.
+MAX_BROADCAST = 500_000
 ATTRIBUTES = ("volume", "strength", "ohm", "colour", "brand")
 _SIG = ["model", "edition", "volume", "strength", "ohm", "pack", "colour"]
 _WORDS = re.compile(r"[a-z0-9&]+")
 
 
-def brand_lexicon(product: DataFrame, brand_ref: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """(words of the listed brands and of brand texts common in the rows, those of several listed brands).
+def _words(c: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(c, F.lit("[a-z0-9&]+"), F.lit(0)))
+
 
-    A text is common if one row in KNOWN_BRAND_SHARE carries it, which bounds their number.
+def brand_words(product: DataFrame, brand_ref: DataFrame) -> DataFrame:
+    """word, generic: the words of the listed brands, and those that brand texts say of a row whose name has them.
+
+    A word counts if at least two rows and BRAND_SHARE of the rows with it in the name have it in a
+    brand text as well; a share, so the answer does not depend on the size of the table. generic
+    says that several listed brands share the word. Null names and brand texts say nothing.
     """
-    listed = [r[0] for r in brand_ref.select("brand_name").where("brand_name is not null").limit(100_000).collect()]
-    texts = product.select(F.explode(F.array("brand", "commercial_brand")).alias("b")).where("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    n = max(2, product.count() // KNOWN_BRAND_SHARE)
-    common = [r[0] for r in texts.groupBy(F.trim(folded_col(F.col("b"))).alias("b")).agg(F.sum("n").alias("n")).where(F.col("n") >= n).select("b").collect()]
-    owners = Counter(w for t in {folded(t) for t in listed} for w in set(_WORDS.findall(t)))
-    return frozenset(w for t in [*listed, *common] for w in _WORDS.findall(folded(t))), frozenset(w for w, k in owners.items() if k > 1)
+    listed = (
+        brand_ref.select(folded_col(F.col("brand_name")).alias("t")).where("t is not null").distinct()
+        .select("t", F.explode(_words(F.col("t"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("owners"))
+    )
+    # no brand text holds the separator, so one fold serves all of a row's texts
+    texts = F.concat_ws(" | ", "brand", "commercial_brand", "brand_candidates")
+    rows = product.select(_words(folded_col(F.col("name"))).alias("n"), _words(folded_col(texts)).alias("b")).where("n is not null")
+    said = (
+        rows.select(F.explode("n").alias("word"), "b").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("b", F.col("word"))).alias("k"))
+        .where((F.col("k") >= 2) & (F.col("k") >= F.col("n") * BRAND_SHARE)).select("word")
+    )
+    return listed.join(said, "word", "full_outer").select("word", F.coalesce(F.col("owners") > 1, F.lit(False)).alias("generic"))
+
+
+def with_brand_words(product: DataFrame, words: DataFrame) -> DataFrame:
+    """product with _known, the brand words of its name, and _generic, those of several brands."""
+    names = product.select("name").where("name is not null").distinct()
+    flat = names.select("name", F.explode(_words(folded_col(F.col("name")))).alias("word"))
+    found = lookup_join(flat, words, ["word"], "name", MAX_BROADCAST).groupBy("name").agg(
+        F.collect_list("word").alias("_known"), F.collect_list(F.when(F.col("generic"), F.col("word"))).alias("_generic")
+    )
+    return salted_lookup(product, found, ["name"], "row_id")
 
 
-def brand_word(texts: list[str], name: str, model: str, generic: frozenset[str] | set[str]) -> str | None:
+def brand_word(texts: list[str], name: str | None, model: str, generic: frozenset[str] | set[str]) -> str | None:
     """The longest word of the brand texts that the name confirms and that no second brand shares."""
-    in_name = set(_WORDS.findall(folded(name))) - set(model.split()) - generic
+    in_name = set(_WORDS.findall(folded(name or ""))) - set(model.split()) - generic
     words = {w for t in texts for w in _WORDS.findall(folded(t)) if len(w) > 3}
     return max(words & in_name, key=lambda w: (len(w), w), default=None)
 
 
-def attributes(product: DataFrame, lexicon: tuple[frozenset[str], frozenset[str]]) -> DataFrame:
-    """row_id, seller and what each listing says of its item; listings without a model are left out."""
+def attributes(product: DataFrame, words: DataFrame) -> DataFrame:
+    """row_id, seller and what each listing says of its item; listings that say nothing of a model are left out."""
     schema = "row_id bigint, seller string, model string, edition string, volume double, strength double, ohm double, pack int, colour string, brand string"
-    words = product.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, generic = words.value
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 texts = [t for t in (r.brand, r.commercial_brand, *(r.brand_candidates if r.brand_candidates is not None else ())) if t]
+                known, generic = (set(x) if x is not None else set() for x in (r.known, r.generic))
                 p = parse(r.name, r.description, dict(r.variants) if r.variants is not None else None, known)
                 if not p["model"]:
                     continue
@@ -63,25 +88,52 @@ def attributes(product: DataFrame, lexicon: tuple[frozenset[str], frozenset[str]
                 out.append((r.row_id, r.seller, p["model"], p["edition"], p["volume"], p["strength"], p["ohm"], p["pack"], p["colour"] if device else None, brand))
             yield pd.DataFrame(out, columns=["row_id", "seller", *_SIG, "brand"]).astype({"pack": "Int32"})
 
-    return product.selectExpr(
-        "row_id", "distributor as seller", "name", "description", "variants", "brand", "commercial_brand", "brand_candidates"
-    ).where("row_id is not null and seller is not null").mapInPandas(run, schema)
+    rows = product.select("row_id", F.col("distributor").alias("seller"), "name", "description", "variants", "brand", "commercial_brand", "brand_candidates")
+    return (
+        with_brand_words(rows.where("row_id is not null and seller is not null"), words)
+        .withColumnsRenamed({"_known": "known", "_generic": "generic"})
+        .mapInPandas(run, schema)
+    )
 
 
-def score(a: dict, b: dict) -> float | None:
-    """Weight of a pair of the same block, None where a known attribute differs."""
-    total = 1.0
+def scored_pairs(nodes: DataFrame) -> DataFrame:
+    """a, sa, b, sb, weight of the node pairs of different sellers that may be one item.
+
+    Prefix-filtered join: model words weigh by their rarity over all nodes, ln(1 + nodes / nodes
+    with the word), and a node's prefix is its rarest words up to where the rest weighs less than
+    SIMILAR of the whole; two nodes as similar as that share a prefix word. Only nodes of one
+    edition and pack meet. The weight is the weighted Jaccard of the model words plus one for
+    each attribute both state alike, less a quarter for one that only one of them states; a pair
+    that states an attribute differently is none.
+    """
+    flat = nodes.select("node", F.explode(F.array_distinct(F.split("model", " "))).alias("w"))
+    total = float(nodes.count())
+    rarity = flat.groupBy("w").agg(F.count(F.lit(1)).alias("_df")).select("w", F.log1p(F.lit(total) / F.col("_df")).alias("x"))
+    weighed = flat.join(rarity, "w").groupBy("node").agg(F.array_sort(F.collect_list(F.struct((-F.col("x")).alias("x"), "w"))).alias("ws"))
+    full = checkpointed(nodes.join(weighed, "node").withColumn("whole", F.aggregate("ws", F.lit(0.0), lambda a, t: a - t["x"])))
+    before = F.transform("ws", lambda t, i: F.struct(t["w"].alias("w"), F.aggregate(F.slice(F.col("ws"), F.lit(1), i), F.lit(0.0), lambda a, u: a - u["x"]).alias("before")))
+    # the words from the i-th on weigh whole - before; while that is enough for the overlap, the i-th belongs to the prefix
+    prefix = F.transform(F.filter(before, lambda t: F.col("whole") - t["before"] >= F.col("whole") * SIMILAR - 1e-9), lambda t: t["w"])
+    side = full.select("node", "seller", "edition", F.coalesce("pack", F.lit(0)).alias("pack"), *ATTRIBUTES, "ws", "whole", F.explode(prefix).alias("w"))
+    a, b = (side.select("edition", "pack", "w", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "seller", *ATTRIBUTES, "ws", "whole")]) for n in "ab")
+    unlike = F.lit(False)
+    agreement = F.lit(0.0)
     for k in ATTRIBUTES:
-        x, y = a[k], b[k]
-        if x is None and y is None:
-            continue
-        if x is None or y is None:
-            total -= 0.25
-        elif x != y:
-            return None
-        else:
-            total += 1.0
-    return total
+        x, y = F.col(f"{k}_a"), F.col(f"{k}_b")
+        unlike = unlike | F.coalesce(x != y, F.lit(False))
+        agreement = agreement + F.when(x.isNull() & y.isNull(), 0.0).when(x.isNull() | y.isNull(), -0.25).otherwise(1.0)
+    shared = F.aggregate(F.array_intersect("ws_a", "ws_b"), F.lit(0.0), lambda s, t: s - t["x"])
+    jaccard = shared / (F.col("whole_a") + F.col("whole_b") - shared)
+    met = a.join(b, ["edition", "pack", "w"]).where((F.col("seller_a") < F.col("seller_b")) & ~unlike)
+    # of the prefix words two nodes share only the first lets them meet, so a pair comes once
+    first = F.element_at(F.array_intersect(F.transform("ws_a", lambda t: t["w"]), F.transform("ws_b", lambda t: t["w"])), 1)
+    return (
+        met.where(first == F.col("w"))
+        .select(F.col("node_a").alias("a"), F.col("seller_a").alias("sa"), F.col("node_b").alias("b"), F.col("seller_b").alias("sb"), jaccard.alias("j"), agreement.alias("g"))
+        .where(F.col("j") >= SIMILAR - 1e-9)
+        .select("a", "sa", "b", "sb", (F.col("j") + F.col("g")).alias("weight"))
+        .where("weight > 0")
+    )
 
 
 def assignment(weights: np.ndarray) -> list[tuple[int, int]]:
@@ -122,34 +174,29 @@ def assignment(weights: np.ndarray) -> list[tuple[int, int]]:
     return [(match[j] - 1, j - 1) for j in range(1, size + 1) if match[j] <= n and j <= m and weights[match[j] - 1, j - 1] > 0]
 
 
-def group_block(nodes: list[dict]) -> dict[int, int]:
-    """node id -> item id (least node id of its group) for the nodes of one block.
+def group_edges(edges: list[dict]) -> dict[int, int]:
+    """node id -> item id (least node id of its group) for the scored pairs of one component.
 
-    Per pair of sellers and connected component of acceptable pairs, a maximum-weight matching.
+    Per pair of sellers and connected component of their pairs, a maximum-weight matching.
     Matches are merged from the heaviest down; one that would put two nodes of a seller into a
     group, and so contradicts the matches round a cycle, is refused. Ties go by node ids.
     """
-    nodes = sorted(nodes, key=lambda x: x["node"])
-    by_seller: dict[str, list[dict]] = defaultdict(list)
-    for x in nodes:
-        by_seller[x["seller"]].append(x)
+    between: dict[tuple[str, str], dict[tuple[int, int], float]] = defaultdict(dict)
+    seller: dict[int, str] = {}
+    for e in edges:
+        between[e["sa"], e["sb"]][e["a"], e["b"]] = e["weight"]
+        seller[e["a"]], seller[e["b"]] = e["sa"], e["sb"]
     matches: list[tuple[float, int, int]] = []
-    for s, t in itertools.combinations(sorted(by_seller), 2):
-        left, right = by_seller[s], by_seller[t]
-        edges: dict[tuple[int, int], float] = {}
-        for i, a in enumerate(left):
-            for j, b in enumerate(right):
-                if (w := score(a, b)) is not None and w > 0:
-                    edges[i, j] = w
-        for ls, rs in _components(edges):
+    for pair in sorted(between):
+        weights = between[pair]
+        for ls, rs in _components(weights):
             if len(ls) == 1 and len(rs) == 1:
                 pairs = [(0, 0)]
             else:
-                matrix = np.array([[edges.get((i, j), 0.0) for j in rs] for i in ls])
-                pairs = assignment(matrix)
-            matches += [(-edges[ls[i], rs[j]], left[ls[i]]["node"], right[rs[j]]["node"]) for i, j in pairs]
-    parent = {x["node"]: x["node"] for x in nodes}
-    sellers = {x["node"]: {x["seller"]} for x in nodes}
+                pairs = assignment(np.array([[weights.get((i, j), 0.0) for j in rs] for i in ls]))
+            matches += [(-weights[ls[i], rs[j]], ls[i], rs[j]) for i, j in pairs]
+    parent = {n: n for n in seller}
+    sellers = {n: {s} for n, s in seller.items()}
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -163,7 +210,7 @@ def group_block(nodes: list[dict]) -> dict[int, int]:
             ra, rb = min(ra, rb), max(ra, rb)
             parent[rb] = ra
             sellers[ra] |= sellers[rb]
-    return {x["node"]: root(x["node"]) for x in nodes}
+    return {n: root(n) for n in sorted(seller)}
 
 
 def _components(edges: dict[tuple[int, int], float]) -> list[tuple[list[int], list[int]]]:
@@ -192,41 +239,42 @@ def _components(edges: dict[tuple[int, int], float]) -> list[tuple[list[int], li
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("item", T.LongType())])))
-def _grouped(blocks: pd.Series) -> pd.Series:
-    return pd.Series([[{"node": n, "item": i} for n, i in group_block([_clean(x) for x in b]).items()] for b in blocks])
-
-
-def _clean(x: dict) -> dict:
-    return {k: None if v is None or v != v else v for k, v in x.items()}
+def _grouped(batches: pd.Series) -> pd.Series:
+    return pd.Series([[{"node": n, "item": i} for n, i in group_edges(list(edges)).items()] for edges in batches])
 
 
 def item_groups(product: DataFrame, brand_ref: DataFrame) -> DataFrame:
     """row_id, seller, item_id: one row per listing whose item another seller offers too.
 
     A seller's listings with the same attributes (repeated captures) are one node before
-    anything is compared, so copies cost nothing. Nodes are blocked by model, edition and pack;
-    a block holds at most one node per seller and combination of the remaining measures, not per
-    row. Blocks of a single seller end in the JVM; each other one is scored, assigned and
-    merged by group_block.
-
-    Null names, sellers and ids, and names without model words give no row. Null descriptions,
-    variants and brands leave attributes unknown: an unknown one neither agrees nor conflicts.
+    anything is compared, so copies cost nothing. Scored pairs of nodes come from scored_pairs.
+    A pair whose ends have no other is a group; the other pairs are gathered per connected
+    component, assigned and merged by group_edges. A component holds the pairs of nodes, not of
+    rows.
+
+    Null sellers and ids give no row. A null name leaves the model to what the description says,
+    and a name without model words to all its words; a listing that says neither gives no row. Null
+    descriptions, variants and brands leave attributes unknown: an unknown one neither agrees nor
+    conflicts.
     """
-    rows = checkpointed(attributes(product, brand_lexicon(product, brand_ref)))
+    rows = checkpointed(attributes(product, checkpointed(brand_words(product, brand_ref))))
     sig: Column = F.to_json(F.struct("seller", *_SIG), {"ignoreNullFields": "false"})
     keyed = rows.withColumn("sig", sig)
     usual = keyed.where("brand is not null").groupBy("sig").agg(F.mode("brand", True).alias("usual"))
     branded = salted_lookup(keyed, usual, ["sig"], "row_id").withColumn("brand", F.coalesce("brand", "usual")).withColumn("key", F.concat_ws("|", "sig", "brand"))
     branded = checkpointed(branded.select("row_id", "seller", *_SIG, "brand", "key"))
-    nodes = branded.groupBy("key", "seller", *_SIG, "brand").agg(F.min("row_id").alias("node"))
-    blocks = (
-        nodes.groupBy("model", "edition", "pack")
-        .agg(F.collect_list(F.struct("node", "seller", *ATTRIBUTES)).alias("b"))
-        .where(F.size(F.array_distinct(F.transform("b", lambda x: x["seller"]))) > 1)
-    )
-    assigned = blocks.select(F.explode(_grouped("b")).alias("g")).select("g.node", "g.item")
-    shared = assigned.join(assigned.groupBy("item").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "item").select("node", F.col("item").alias("item_id"))
-    members = nodes.select("key", "node").join(shared, "node").select("key", "item_id")
+    nodes = checkpointed(branded.groupBy("key", "seller", *_SIG, "brand").agg(F.min("row_id").alias("node")))
+    pairs = checkpointed(scored_pairs(nodes.drop("key")))
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    ends = pairs.join(degree.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(degree.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    ends = checkpointed(ends)
+    alone = ends.where("na = 1 and nb = 1").select(F.explode(F.array("a", "b")).alias("node"), F.least("a", "b").alias("item_id"))
+    tied = ends.where("na > 1 or nb > 1").drop("na", "nb")
+    labels = components(tied.select("a", "b"), "a", "b")
+    grouped = tied.join(labels.select(F.col("node").alias("a"), "component"), "a").groupBy("component").agg(F.collect_list(F.struct("a", "sa", "b", "sb", "weight")).alias("e"))
+    assigned = grouped.select(F.explode(_grouped("e")).alias("g")).select("g.node", F.col("g.item").alias("item_id"))
+    shared = assigned.join(assigned.groupBy("item_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"), "item_id").select("node", "item_id")
+    members = nodes.select("key", "node").join(alone.unionByName(shared), "node").select("key", "item_id")
     return salted_lookup(branded.select("row_id", "seller", "key"), members, ["key"], "row_id", how="inner").select("row_id", "seller", "item_id")
 
 

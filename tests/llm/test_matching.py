@@ -84,3 +84,65 @@ def test_item_groups(spark):
     got = sorted(tuple(r) for r in same_item.item_pairs(same_item.item_groups(df, ref)).collect())
     assert got == [(1, 3), (2, 3), (4, 5)]
     assert same_item.item_groups(df.limit(0), ref).count() == 0
+
+
+_PRODUCT = "row_id bigint, distributor string, name string, brand string, commercial_brand string, brand_candidates array<string>, description string, variants map<string,string>, item_id string"
+
+
+def _catalogue():
+    """80 items of two sellers; half of the second seller's names carry a word no list knows."""
+    rnd = random.Random(8)
+    syllables = ["ka", "lu", "mi", "to", "ne", "ra", "so", "fi", "du", "pe"]
+    names = list({("".join(rnd.choices(syllables, k=3)), "".join(rnd.choices(syllables, k=2))) for _ in range(80)})
+    rows, want = [], set()
+    for i, (x, y) in enumerate(names):
+        rows.append((i + 1, "a", f"Koplia {x} {y} Sales 10ml 20mg", "Koplia"))
+        rows.append((i + 1001, "b", f"{x} {y} {'superventas ' if i % 2 else ''}Nic Salt 1cl 2%", "koplia"))
+        want.add((i + 1, i + 1001))
+    return rows, want
+
+
+def test_words_of_no_list_and_groups_of_a_tenfold_table(spark):
+    rows, want = _catalogue()
+    ref = spark.createDataFrame([(1, "Koplia")], "brand_id int, brand_name string")
+    frame = lambda rs: spark.createDataFrame([(*r, None, None, None, None, "x") for r in rs], _PRODUCT)
+    pairs = lambda rs: {tuple(r) for r in same_item.item_pairs(same_item.item_groups(frame(rs), ref)).collect()}
+    assert pairs(rows) == want
+    tenfold = [(i + 10_000 * k, *r) for k in range(10) for i, *r in rows]
+    got = pairs(tenfold)
+    assert {p for p in got if max(p) < 10_000} == want and len(got) == 100 * len(want)
+
+
+def test_listing_without_a_name_or_model_words(spark):
+    ref = spark.createDataFrame([(1, "Koplia")], "brand_id int, brand_name string")
+    rows = [(1, "a", None, "Koplia", None, None, "Descubre Rapati Boreal: una mezcla. Contenido: 10 ml.", None, "x"), (2, "b", "Rapati Boreal Sales 10ml", "Koplia", None, None, None, None, "x"),
+            (3, "a", "Koplia Kit", "Koplia", None, None, None, None, "x"), (4, "b", "Kit Koplia", "Koplia", None, None, None, None, "x"), (5, "b", None, None, None, None, None, None, "x")]
+    got = {tuple(r) for r in same_item.item_pairs(same_item.item_groups(spark.createDataFrame(rows, _PRODUCT), ref)).collect()}
+    assert got == {(1, 2), (3, 4)}
+
+
+def test_brand_words_are_a_share_of_the_rows(spark):
+    ref = spark.createDataFrame([(1, "Zor Labs"), (2, "Mip Labs"), (3, None)], "brand_id int, brand_name string")
+    rows = [(i, "a", "Kanto Rapati ice", "Kanto" if i % 2 else None) for i in range(10)] + [(20, "a", "ice dos", "ice")]
+    df = spark.createDataFrame([(*r, None, None, None, None, "x") for r in rows], _PRODUCT)
+    assert {(r.word, r.generic) for r in same_item.brand_words(df, ref).collect()} == {("kanto", False), ("zor", False), ("mip", False), ("labs", True)}
+
+
+def test_scored_pairs_against_brute_force(spark):
+    rnd = random.Random(6)
+    nodes = [(i, rnd.choice("abc"), " ".join(sorted(set(rnd.choices([f"w{k}" for k in range(9)], k=rnd.randrange(1, 4))))), "", rnd.choice([None, 10.0, 20.0]), None, None, None, None, None) for i in range(90)]
+    df = spark.createDataFrame(nodes, "node bigint, seller string, model string, edition string, volume double, strength double, ohm double, pack int, colour string, brand string")
+    count = {}
+    for n in nodes:
+        for w in n[2].split():
+            count[w] = count.get(w, 0) + 1
+    weight = lambda ws: sum(np.log1p(90 / count[w]) for w in ws)
+    want = {}
+    for x, y in itertools.permutations(nodes, 2):
+        a, b = set(x[2].split()), set(y[2].split())
+        j = weight(a & b) / weight(a | b)
+        if x[1] < y[1] and j >= same_item.SIMILAR and not (x[4] and y[4] and x[4] != y[4]):
+            g = 1.0 if x[4] and y[4] else 0.0 if not x[4] and not y[4] else -0.25
+            want[x[0], y[0]] = round(j + g, 6)
+    got = {(r.a, r.b): round(r.weight, 6) for r in same_item.scored_pairs(df).collect()}
+    assert got == want and len(want) > 20
