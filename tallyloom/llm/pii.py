@@ -7,9 +7,11 @@ about them survives.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import hmac
 import re
+import secrets
 from collections.abc import Iterator
 
 import pandas as pd
@@ -78,6 +80,8 @@ _CONTROL = "TRWAGMYFPDXBNJZSQVHLCKE"
 DNI = re.compile(r"(?<![\w.\-/])(\d{8}|\d{2}\.\d{3}\.\d{3})[ -]?([A-Za-z])(?![\w])")
 NIE = re.compile(r"(?<![\w.\-/])([XYZxyz])[ -]?(\d{7}|\d\.\d{3}\.\d{3})[ -]?([A-Za-z])(?!\w)")
 NINO = re.compile(r"(?<![\w.\-/])([A-Za-z]{2}) ?(\d{2}) ?(\d{2}) ?(\d{2}) ?([A-Da-d])(?!\w)")
+SOCIAL = re.compile(r"(?<![\w.\-/])(\d{2})([ /-])(\d{7,8})\2(\d{2})(?![\w]|[-/.]\d)")
+DATE = re.compile(r"(?<![\w.\-/])(\d{1,2})([/.-])(\d{1,2})\2(\d{4})(?![\w]|[-/.]\d)")
 PASSPORT = re.compile(r"(?<![\w.\-/])([A-Z]{2,3})[ -]?(\d{6})(?![\w]|[-/.]\d)")
 
 # --- addresses ---------------------------------------------------------------------------
@@ -105,7 +109,22 @@ ADDRESS_EN = re.compile(
 
 # --- persons -----------------------------------------------------------------------------
 _GIVEN = {n.lower() for n in GIVEN_NAMES}
-_GIVEN_ALT = "|".join(sorted((re.escape(n) for n in _GIVEN), key=len, reverse=True))
+
+
+def _trie(words: set[str]) -> str:
+    """A pattern of exactly these words that shares their beginnings, longest match first."""
+    heads: dict[str, set[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], set()).add(w[1:])
+    if not heads:
+        return ""
+    parts = [re.escape(h) + _trie(rest) for h, rest in sorted(heads.items())]
+    body = parts[0] if len(parts) == 1 and "" not in words else "(?:" + "|".join(parts) + ")"
+    return body + ("?" if "" in words else "")
+
+
+_GIVEN_ALT = _trie(_GIVEN)
 GIVEN = re.compile(rf"(?<![\w@.+'’-])(?:{_GIVEN_ALT})(?:{_SP}(?:{_GIVEN_ALT}))?(?![\w@+])(?!-\w+[@(\[]|[.+_]\w)", re.IGNORECASE)
 _TITLE = rf"[{_U}][{_L}'’]{{2,}}(?:-[{_U}][{_L}'’]{{2,}})?"
 _UPPER = rf"[{_U}'’]{{3,}}(?:-[{_U}'’]{{3,}})?"
@@ -115,6 +134,19 @@ _LINK_OF = {"T": r"(?:de|del|de la|y|e|i|da|do|dos)", "U": r"(?:DE|DEL|DE LA|Y|E
 _FOLLOW = {k: re.compile(rf"{_SP}({w})(?:{_SP}({_LINK_OF[k]}){_SP}({w})|{_SP}({w}))?(?![\w@])") for k, w in _WORD_OF.items()}
 _BEFORE = {k: re.compile(rf"(?:({w}){_SP}(?:({_LINK_OF[k]}){_SP})?)?({w}),{_SP}$") for k, w in _WORD_OF.items()}
 INITIAL = re.compile(rf"(?<![\w.@'’-])(?<!\d{_SP})(?<![º°ª]{_SP})[{_U}]\.{_SP}?(?:({_TITLE}(?:{_SP}(?:de|del|y|e|da|do){_SP}{_TITLE}|{_SP}{_TITLE})?)|({_UPPER}(?:{_SP}(?:DE|Y|E){_SP}{_UPPER}|{_SP}{_UPPER})?)|([{_L}'’]{{5,}}-[{_L}'’]{{5,}}))(?![\w@])")
+# Words that say that a person's name follows; after the first kind a colon or comma
+# must stand, after the second a point or colon may, after the third only a blank.
+_CUES = (
+    r"contacto|contact|contato|dest(?:inatario)?|att|attn|firmado|signed|assinado|titular|cliente|customer|factura|fatura|billing|saludos?|regards|cumprimentos|obrigad[oa]|atentamente|sincerely|sinceramente|thanks|gracias|comercial",
+    r"dest|att|attn|sr|sra|srta|sres|mr|mrs|ms|dña|rep",
+    r"a nombre de|em nome de|on behalf of|in the name of|me llamo|chamo-me|my name is|soy|sou|recogerá|recogió|levantou|atendió|atendeu|según|don|doña|dona|señora?|senhora?",
+)
+CONTEXT = re.compile(
+    rf"(?i:(?<![\w@])(?:(?:{_CUES[0]}){_SP}?[:,]|(?:{_CUES[1]})[.:]{{0,2}}|(?:{_CUES[2]})))[ \u00a0\n]{{1,2}}"
+    rf"((?:{_TITLE}(?:{_SP}(?:{_LINK_OF['T']}){_SP}{_TITLE}|{_SP}{_TITLE}){{1,2}})|(?:{_UPPER}(?:{_SP}{_UPPER}){{1,2}}))(?![\w@])"
+)
+# Capitalised words after such a cue that name a group, a thing or a place.
+_NOT_GIVEN = set("equipo team equipa servicio serviço service departamento department atención atendimento tienda loja shop store calle avenida rua plaza el la los las o os as the your su tu".split())
 _PREV_WORD = re.compile(rf"([\w'’]+)\.?{_SP}*$")
 
 
@@ -140,12 +172,26 @@ def valid_dni(digits: str, letter: str) -> bool:
     return _CONTROL[int(digits) % 23] == letter.upper()
 
 
+def valid_social(province: str, number: str, control: str) -> bool:
+    """The control digits of a Spanish social-security number."""
+    n = int(number)
+    whole = n + int(province) * 10_000_000 if n < 10_000_000 else int(province + number)
+    return 1 <= int(province) <= 66 and whole % 97 == int(control)
+
+
+def valid_date(day: str, month: str, year: str) -> dt.date | None:
+    try:
+        return dt.date(int(year), int(month), int(day))
+    except ValueError:
+        return None
+
+
 def _overlaps(spans: list[tuple[int, int, str]], a: int, b: int) -> bool:
     return any(x < b and a < y for x, y, _ in spans)
 
 
-def find(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of every finding, in order and without overlaps."""
+def find(text: str | None, dates: bool = False) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of every finding, in order and without overlaps; calendar dates only if asked for."""
     if not text:
         return []
     spans: list[tuple[int, int, str]] = []
@@ -169,8 +215,15 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
             add(m.start(), m.end(), "id_number")
     for m in NINO.finditer(text):
         add(m.start(), m.end(), "id_number")
+    for m in SOCIAL.finditer(text):
+        if valid_social(m.group(1), m.group(3), m.group(4)):
+            add(m.start(), m.end(), "id_number")
     for m in PASSPORT.finditer(text):
         add(m.start(), m.end(), "id_number")
+    if dates:
+        for m in DATE.finditer(text):
+            if valid_date(m.group(1), m.group(3), m.group(4)):
+                add(m.start(), m.end(), "date")
     for m in PHONE.finditer(text):
         add(m.start(), m.end(), "phone")
     _persons(text, add)
@@ -186,7 +239,7 @@ def _persons(text: str, add) -> None:
         case = _case(m.group(0))
         if case is None:
             continue
-        prev = _PREV_WORD.search(text, max(0, m.start() - 40), m.start())
+        prev = _PREV_WORD.search(text, _back(text, m.start(), 2), m.start())
         if prev and prev.group(1).lower() in ROLES_OF_NON_PERSONS:
             continue
         after = _FOLLOW[case].match(text, m.end())
@@ -199,9 +252,9 @@ def _persons(text: str, add) -> None:
             add(m.start(), end, "person")
             taken = end
             continue
-        before = _BEFORE[case].search(text[max(0, m.start() - 70) : m.start()])
+        offset = _back(text, m.start(), 6)
+        before = _BEFORE[case].search(text[offset : m.start()])
         if before and _surname(before.group(3), case):
-            offset = max(0, m.start() - 70)
             start = offset + before.start(3)
             if before.group(1) and _surname(before.group(1), case) and _starts_name(before.group(1), case):
                 start = offset + before.start(1)
@@ -214,6 +267,20 @@ def _persons(text: str, add) -> None:
         case = "U" if m.group(2) else "T" if m.group(1) else "l"
         if _surname(word, case) and len(word) > 3:
             add(m.start(), m.end(), "person")
+    for m in CONTEXT.finditer(text):
+        words = m.group(1).lower().split()
+        if words[0] not in _NOT_GIVEN and not any(w in NOT_SURNAME and len(w) > 3 for w in words):
+            add(m.start(1), m.end(1), "person")
+
+
+def _back(text: str, end: int, blanks: int) -> int:
+    """Where the text before `end` begins that holds so many blanks."""
+    for _ in range(blanks):
+        end = max(text.rfind(c, 0, max(0, end - 1)) for c in " \u00a0\n") + 1
+        if end <= 0:
+            return 0
+        end -= 1
+    return max(0, end)
 
 
 # Capitalised words that introduce a name but are no part of it.
@@ -286,7 +353,8 @@ def pseudonym(found: str, kind: str, key: bytes) -> str:
     """The pseudonym of one finding: same value, same pseudonym, whatever its notation.
 
     Phones keep their written format and country prefix, identity numbers their format with the
-    control letter recomputed where there is one; other kinds get a short keyed tag.
+    control letter or digits recomputed where there are any, dates their format and century; other
+    kinds get a short keyed tag.
     """
     if kind == "phone":
         digits = re.sub(r"\D", "", found)
@@ -304,9 +372,19 @@ def pseudonym(found: str, kind: str, key: bytes) -> str:
         total = sum(c.isdigit() for c in found)
         own = re.sub(r"\D", "", found)
         return _in_format(found, own[: total - len(national)] + swapped)
+    if kind == "date":
+        day, mark, month, year = DATE.match(found).groups()
+        first = dt.date(int(year) // 100 * 100, 1, 1)
+        moved = first + dt.timedelta(days=pseudonym_date((dt.date(int(year), int(month), int(day)) - first).days, key))
+        return f"{moved.day:0{len(day)}d}{mark}{moved.month:0{len(month)}d}{mark}{moved.year}"
     if kind == "id_number":
         digits = re.sub(r"\D", "", found)
         letters = re.sub(r"[^A-Za-z]", "", found).upper()
+        if social := SOCIAL.fullmatch(found):
+            province, mark, number, _ = social.groups()
+            moved = feistel(number, key, "social")
+            whole = int(moved) + int(province) * 10_000_000 if int(moved) < 10_000_000 else int(province + moved)
+            return f"{province}{mark}{moved}{mark}{whole % 97:02d}"
         swapped = feistel(digits, key, "id" + (letters[:-1] if len(digits) in (7, 8) else letters))
         out = _in_format(found, swapped)
         if len(digits) in (7, 8) and len(letters) in (1, 2):
@@ -319,12 +397,12 @@ def pseudonym(found: str, kind: str, key: bytes) -> str:
     return hmac.new(key, f"{kind}|{plain}".encode(), hashlib.sha256).hexdigest()[:8]
 
 
-def redact(text: str | None, key: bytes) -> str | None:
+def redact(text: str | None, key: bytes, dates: bool = False) -> str | None:
     """The text with every finding replaced by `[KIND pseudonym]`, otherwise unchanged."""
     if text is None:
         return None
     out, at = [], 0
-    for a, b, kind in find(text):
+    for a, b, kind in find(text, dates):
         out += [text[at:a], f"[{kind.upper()} {pseudonym(text[a:b], kind, key)}]"]
         at = b
     out.append(text[at:])
@@ -332,32 +410,40 @@ def redact(text: str | None, key: bytes) -> str | None:
 
 
 # --- operators ---------------------------------------------------------------------------
-def found(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, kind, found_text: distinct findings of every document, exactly as written.
+def pseudonym_key(spark) -> bytes:
+    """The secret in the session setting spark.tallyloom.pseudonymKey; without it one made for this call only."""
+    own = spark.conf.get("spark.tallyloom.pseudonymKey", None)
+    return own.encode() if own else secrets.token_bytes(32)
+
+
+def personal_data(documents: DataFrame, key: bytes, dates: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, kind, found_text, pseudonym: distinct findings of every document, exactly as written, and what replaces them.
 
-    Null and empty texts give no row. Texts are read whole, one document at a time, so a very
-    long one needs memory for itself only; documents never meet, and nothing but the findings
-    is shuffled (to make them distinct where an id is repeated).
+    Equal values have one pseudonym in all documents, whatever their notation. Null and empty
+    texts give no row. Texts are read whole, one document at a time, so a very long one needs
+    memory for itself only; documents never meet, and nothing but the findings is shuffled (to
+    make them distinct where an id is repeated).
     """
-    schema = f"{id_col} bigint, kind string, found_text string"
+    schema = f"`{id_col}` bigint, kind string, found_text string, pseudonym string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for i, t in zip(pdf["_id"], pdf["_text"]):
-                rows += {(i, kind, t[a:b]) for a, b, kind in find(t)}
-            yield pd.DataFrame(rows, columns=[id_col, "kind", "found_text"]) if rows else pd.DataFrame({id_col: pd.Series(dtype="int64"), "kind": pd.Series(dtype="object"), "found_text": pd.Series(dtype="object")})
+                rows += {(i, kind, t[a:b], pseudonym(t[a:b], kind, key)) for a, b, kind in find(t, dates)}
+            out = pd.DataFrame(rows, columns=[id_col, "kind", "found_text", "pseudonym"], dtype="object")
+            yield out.astype({id_col: "int64"})
 
     picked = documents.selectExpr(f"cast(`{id_col}` as bigint) as _id", f"`{text_col}` as _text").where("_text is not null and _id is not null")
     return picked.mapInPandas(run, schema).distinct()
 
 
-def redacted(documents: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redacted(documents: DataFrame, key: bytes, dates: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and the text with typed placeholders; null texts stay null, repeated rows stay."""
-    schema = f"{id_col} bigint, {text_col} string"
+    schema = f"`{id_col}` bigint, `{text_col}` string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({id_col: pdf["_id"], text_col: [redact(t, key) for t in pdf["_text"]]})
+            yield pd.DataFrame({id_col: pdf["_id"], text_col: [redact(t, key, dates) for t in pdf["_text"]]})
 
     return documents.selectExpr(f"cast(`{id_col}` as bigint) as _id", f"`{text_col}` as _text").mapInPandas(run, schema)

@@ -59,15 +59,24 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.found(table(spark, d, "documents"))
+    return pii.personal_data(table(spark, d, "documents"), pii.pseudonym_key(spark)).select("doc_id", "kind", "found_text")
+
+
+def p9_links(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents hold the same value, per kind; values stay hidden behind their pseudonyms."""
+    found = pii.personal_data(table(spark, d, "documents"), pii.pseudonym_key(spark))
+    per_value = found.groupBy("kind", "pseudonym").agg(F.countDistinct("doc_id").alias("documents"))
+    return per_value.groupBy("kind", "documents").agg(F.count(F.lit(1)).alias("values"))
 
 
 def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redacted(table(spark, d, "documents"), PSEUDONYM_KEY)
+    return pii.redacted(table(spark, d, "documents"), pii.pseudonym_key(spark))
 
 
-#: The key of the registered query; a deployment passes its own secret.
-PSEUDONYM_KEY = b"tallyloom example key"
+def p9_redacted_dates(spark: SparkSession, d: str) -> DataFrame:
+    """p9_redacted with calendar dates replaced as well."""
+    return pii.redacted(table(spark, d, "documents"), pii.pseudonym_key(spark), dates=True)
+
 
 QUERIES = {
     "p5_found": p5_found,
@@ -77,8 +86,14 @@ QUERIES = {
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
     "p9_found": p9_found,
+    "p9_links": p9_links,
     "p9_redacted": p9_redacted,
-    "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_normalized": p3_normalized}
+    "p9_redacted_dates": p9_redacted_dates,
+    "p2_found": p2_found,
+    "p2_unmatched": p2_unmatched,
+    "p3_found": p3_found,
+    "p3_normalized": p3_normalized,
+}
 
 _LOOKS = "".join(unify.LATIN_LOOK)
 _MARKS = "".join(c for c in unify.MARK_LOOK if c != "ǃ")

@@ -76,9 +76,23 @@ def test_feistel_and_redaction():
     assert red.startswith("tel. [PHONE ") and red.endswith("] y fin")
 
 
+def test_names_by_context_numbers_and_dates():
+    found = lambda t, **k: {(kind, t[a:b]) for a, b, kind in pii.find(t, **k)}
+    assert found("Un saludo, Zbigniew Kowalski. Sr. Xavier Dupont, a nombre de Ngozi Okafor y factura: LIEV SHREIBER") == {("person", "Zbigniew Kowalski"), ("person", "Xavier Dupont"), ("person", "Ngozi Okafor"), ("person", "LIEV SHREIBER")}
+    assert found("Saludos, Equipo Vapeo. Es mi cuenta de cliente. Lodeno Lite encaja. gracias Zosugo Halo") == set()
+    ok = f"28/12345678/{int('2812345678') % 97:02d}"
+    assert found(f"afiliación {ok} y 28/12345678/99 lote") == {("id_number", ok)}
+    assert pii.valid_social(*[pii.pseudonym(ok, "id_number", b"k").split("/")[i] for i in (0, 1, 2)])
+    assert found("nacido el 29/02/1980, no el 30/02/1980", dates=True) == {("date", "29/02/1980")} and found("29/02/1980") == set()
+    moved = pii.pseudonym("29/02/1980", "date", b"k")
+    assert pii.DATE.fullmatch(moved) and moved == pii.pseudonym("29/02/1980", "date", b"k") != "29/02/1980" and 1900 <= int(moved[-4:]) <= 2000
+    far = "Ana" + "x" * 80
+    assert ("person", f"Mendieta-{far.capitalize()}, Hugo") in found(f"según Mendieta-{far.capitalize()}, Hugo.")
+
+
 def test_pii_operator(spark):
     df = spark.createDataFrame([(1, "tel. 614450421 o 614450421", "k"), (1, "tel. 614450421 o 614450421", "k"), (2, None, "k"), (3, "", "k")], "doc_id bigint, text string, kind string")
-    assert [tuple(r) for r in pii.found(df).collect()] == [(1, "phone", "614450421")]
+    assert [tuple(r)[:3] for r in pii.personal_data(df, b"k").collect()] == [(1, "phone", "614450421")]
     assert pii.redacted(df, b"k").count() == 4
 
 
