@@ -36,7 +36,7 @@ def captured_features() -> Column:
     named, primary = F.concat_ws(" ", "name", values, *refs), F.concat_ws(" ", "name", values, *refs, "url")
     whole = T.numbered(F.concat_ws(" ", "name", values, *refs, *brand_texts, F.concat_ws(" ", "breadcrumb_path"), "url"))
     model_text = T.numbered(F.concat_ws(" ", "name", *refs, "url"))
-    kind = S.product_type(F.col("name"), F.col("category"))
+    kind = S.product_kind(*[F.col(c) for c in ("name", "category", "category_id", "reference", "synthetic_reference", "variants")])
     group = F.lit(None).cast("string")
     for name, kinds in GROUPS.items():
         group = F.when(kind.isin(*kinds), F.lit(name)).otherwise(group)
@@ -44,7 +44,7 @@ def captured_features() -> Column:
     skip = F.array_union(F.array(*[F.lit(w) for w in [*STOP, *NAME_STOP]]), words(*brand_texts))
     names = F.filter(words(named), lambda w: ~F.array_contains(skip, w) & ~w.rlike(r"^\d+(?:ml|mg|pcs?|ohm|w|mah)?$"))
     markers = F.flatten(F.array(*[F.transform(F.regexp_extract_all(model_text, F.lit(p), F.lit(0)), lambda m: F.regexp_replace(m, "[^a-z0-9]+", "")) for p in MODELS]))
-    colours = F.transform(F.filter(F.map_entries("variants"), lambda e: T.variant_key(e["key"]) == "color"), lambda e: T.compact(e["value"]))
+    colours = F.transform(F.filter(F.map_entries("variants"), lambda e: T.variant_name(e["key"]) == "color"), lambda e: T.compact(e["value"]))
     flavour = T.numbered(primary)
     return F.struct(
         words(primary).alias("title"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyloom.functions.binding import let
-from tallyloom.functions.text import numbered, plain
+from tallyloom.functions.text import fold, numbered, plain
 
 # Words that say nothing about which device it is.
 GENERIC = "kit pod coil coils resistencia resistencias cartucho cartuchos cartridge starter device dispositivo pack de con para by the y uds pcs new original".split()
@@ -136,47 +136,84 @@ def confidence_label(percent: Column) -> Column:
     return F.when(percent >= 90, "high").when(percent >= 70, "medium").otherwise("low")
 
 
-# Product types by the first pattern that fits name and category.
-TYPE_RULES = [
-    ("pouch", r"\bpouch"), ("cbd", r"\bcbd\b"), ("aroma_concentrate", r"aroma|concentrad|concentrate|longfill|shortfill|alquimia|\bdiy\b"),
-    ("base_booster", r"\bbase\b|booster|nicokit"), ("nicotine_salt", r"\bsales\b|\bsalts?\b"), ("eliquid", r"e-?liquid|liquido"),
-    ("disposable", r"desechable|disposable"), ("pod_replacement", r"replacement pod|pod (?:de )?recambio|cartucho|cartridge"),
-    ("coil", r"\bcoils?\b|resistencia"), ("atomizer_tank", r"\btank\b|atomizador|\brta\b|\brda\b"), ("kit_device", r"\bkit\b|dispositivo|\bdevice\b|\baio\b"),
-    ("mod_device", r"\bmod\b"), ("battery_charger", r"bateria|battery|cargador|charger"), ("accessory", r"cotton|algodon|drip tip|adapta|adapter"),
+LIQUID = ["aroma_concentrate", "eliquid", "nicotine_salt", "base_booster"]
+HARDWARE = ["kit_device", "mod_device"]
+PARTS = ["pod_replacement", "coil", "pyrex", "atomizer_tank"]
+
+
+# Product types in the order they are tried. A rule is a type and the pattern of the text;
+# the four with a condition of their own are written out in product_kind.
+_COUNTED = r"\b(?:\d+\s*pcs|\d+\s*pc|\d+\s*unidades?|pack\s*\d+)\b"
+_FIRST = [
+    ("pouch", r"\b(?:pouch|pouches|nicotine pouch)\b"), ("cbd", r"\bcbd\b"),
+    ("aroma_concentrate", r"\b(?:aroma|aromas|concentrado|concentrate|longfill|shortfill|shake and vape|alquimia|diy)\b"),
+    ("base_booster", r"\b(?:base|bases|booster|nicokit|base neutra)\b"),
+    ("nicotine_salt", r"\b(?:sales|salts|nic salt|nicotine salts|salt nic|sales de nicotina)\b"),
+    ("eliquid", r"\b(?:liquido|liquidos|liquid|liquids|e-liquid|eliquid|e liquid)\b"),
+]
+_MIDDLE = [
+    ("kit_device", r"\+\s*(?:itank|xtank|tank|atomizador|clearomizador|rta|rdta|rda)|\bcon\s+(?:itank|xtank|tank|atomizador|clearomizador)\b"),
+    ("pyrex", r"\b(?:pyrex|glass|cristal)\b|deposito\s+de\s+pyrex"), ("atomizer_tank", r"\b(?:atomizador|atomizadores|tank|tanks|clearomizador|rta|rda|rdta)\b"),
+    ("coil", r"\b(?:coil|coils|resistencia|resistencias)\b"),
+    ("pod_replacement", r"\b(?:empty pod|replacement pod|pod replacement|cartridge|cartucho|pods? vacios?|pods? recambio|pack ?\d+|\d+\s*pcs|\d+\s*pc)\b"),
+]
+_LAST = [
+    ("kit_device", r"\b(?:pod kit|kit pod|starter kit|kit|pod system|dispositivo|device|aio)\b"), ("disposable", r"\b(?:desechable|disposable)\b"),
+    ("battery_charger", r"\b(?:bateria|battery|cargador|charger|pila)\b"), ("accessory", r"\b(?:algodon|cotton|drip tip|boquilla|accesorio|adapter|adaptador)\b"),
 ]
-LIQUID = ["aroma_concentrate", "base_booster", "nicotine_salt", "eliquid"]
-HARDWARE = ["kit_device", "mod_device", "disposable"]
-PARTS = ["pod_replacement", "coil", "atomizer_tank"]
 
 
-def product_type(*texts: Column) -> Column:
-    t = plain(F.concat_ws(" ", *texts))
+def reference_prefix(reference: Column) -> Column:
+    """The first letter of a reference where a blank, point or dash follows it; else empty."""
+    return F.regexp_extract(fold(reference), r"^([a-z])[\s.-]", 1)
 
-    def first(x: Column) -> Column:
+
+def product_kind(name: Column, category: Column, category_id: Column, reference: Column, synthetic: Column, variants: Column) -> Column:
+    """The product type: the first of 19 rules that fits, unknown if none does."""
+    some = lambda c: F.nullif(c, F.lit(""))
+    facts = F.struct(
+        fold(F.concat_ws(" ", *[some(c) for c in (name, category, category_id, reference, synthetic)])).alias("t"),
+        fold(F.array_join(F.transform(F.map_entries(variants), lambda e: F.concat_ws(" ", e["key"], e["value"])), " ")).alias("v"),
+        F.coalesce(reference_prefix(reference), F.lit("")).alias("p"),
+    )
+
+    def first(f: Column) -> Column:
+        t = f["t"]
+        rules = [(n, t.rlike(p)) for n, p in _FIRST]
+        rules.append(("pod_replacement", t.rlike(r"\bpod\b") & t.rlike(_COUNTED) & F.coalesce(f["v"].rlike(r"\b(?:ohm|ohmios|resistencia)\b"), F.lit(False))))
+        rules.append(("kit_device", f["p"] == "k"))
+        rules += [(n, t.rlike(p)) for n, p in _MIDDLE]
+        rules.append(("mod_device", f["p"] == "m"))
+        rules.append(("mod_device", t.rlike(r"\b(?:mod|mods|box mod|solo mod)\b") & ~t.rlike(r"\b(?:kit|pod kit|starter kit)\b")))
+        rules += [(n, t.rlike(p)) for n, p in _LAST]
         out = None
-        for name, pattern in TYPE_RULES:
-            out = F.when(x.rlike(pattern), F.lit(name)) if out is None else out.when(x.rlike(pattern), F.lit(name))
+        for n, hit in rules:
+            out = F.when(hit, F.lit(n)) if out is None else out.when(hit, F.lit(n))
         return out.otherwise("unknown")
 
-    return let(t, first)
+    return let(facts, first)
 
 
 def type_group(kind: Column) -> Column:
-    return F.when(kind.isin(*LIQUID), "liquid").when(kind.isin(*HARDWARE), "hardware").when(kind.isin(*PARTS), "part").otherwise(kind)
+    return F.when(kind.isin(*PARTS), "hardware_repuesto").when(kind.isin(*HARDWARE), "hardware_dispositivo").when(kind.isin(*LIQUID), "liquidos").otherwise(F.coalesce(F.nullif(kind, F.lit("")), F.lit("unknown")))
 
 
-# Commercial categories by the first word that fits.
+# Commercial categories by what the categories and the type contain, in order.
 COMMERCIAL = [
-    ("DESECHABLES", "desech|disposable"), ("RESISTENCIAS", "coil|resistencia"), ("ALQUIMIAS", "aroma|alquimia|concentra"),
-    ("NICOTINA", "nicotin|pouch|sales"), ("LIQUIDOS", "liquid|eliquid"), ("MAQUINAS", "kit|pod|mod|device|dispositivo"),
+    ("DESECHABLES", ["desech", "disposable"]), ("RESISTENCIAS", ["coil", "resistencia"]), ("ALQUIMIAS", ["aroma", "alquimia", "concentrate"]),
+    ("NICOTINA", ["nicotine", "nicotina", "pouch", "sales"]), ("LIQUIDOS", ["eliquid", "liquid", "líquido", "liquido"]),
+    ("MAQUINAS", ["kit_device", "mod_device", "pod_replacement", "atomizer_tank", "pyrex"]),
 ]
 
 
 def commercial_category(*texts: Column) -> Column:
+    """category, its sources, type and type group in one text; accents count."""
+
     def first(x: Column) -> Column:
         out = None
-        for name, pattern in COMMERCIAL:
-            out = F.when(x.rlike(pattern), F.lit(name)) if out is None else out.when(x.rlike(pattern), F.lit(name))
+        for name, held in COMMERCIAL:
+            hit = x.rlike("|".join(held))
+            out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
         return out.otherwise("OTROS")
 
-    return let(plain(F.concat_ws(" ", *texts)), first)
+    return let(F.lower(F.concat_ws(" ", *texts)), first)

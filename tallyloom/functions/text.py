@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.binding import let
 
-# Accented letters and the letters they are compared as.
-ACCENTED = "áàâäãéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ"
-PLAIN = "aaaaaeeeeiiiiooooouuuuncAAAAAEEEEIIIIOOOOOUUUUNC"
+
+def _unaccented() -> dict[str, str]:
+    """Every accented letter and the letter under its accents."""
+    out = {}
+    for code in range(0xC0, 0x2000):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and not unicodedata.combining(parts[0]) and all("\u0300" <= c <= "\u036f" for c in parts[1:]):
+            out[chr(code)] = parts[0]
+    return out
+
+
+ACCENTED, PLAIN = ("".join(x) for x in zip(*_unaccented().items()))
+#: What counts as a blank.
+BLANK = "[\\s\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]"
 # Dimension names and what they are called in the output.
-VARIANT_KEYS = [
-    ("color", r"colou?r"), ("pod_type", r"pod.?type|tipo de pod"), ("nicotina", r"nicotin|^mg$"), ("capacidad", r"capacidad|tama[nñ]o|size|^ml$"),
-    ("resistencia", r"resistencia|ohm"), ("base_ratio", r"base.?ratio|compuesto base|vg.?pg|pg.?vg"), ("sabor", r"sabor|flavou?r"), ("cafeina", r"cafein|caffein"),
-]
+VARIANT_NAMES = [
+    ("color", ["color", "colour"]),
+    ("reference_color", ["reference color", "reference colour", "color referencia", "colour reference", "color de referencia"]),
+    ("pod_type", ["tipo de pod", "tipo pod", "pod type", "type of pod"]),
+    ("resistencia", ["ohm", "ohmios", "resistencia"]),
+    ("capacidad", ["capacidad", "ml", "tamano", "size"]),
+    ("nicotina", ["nicotina", "mg", "sales de nicotina"]),
+    ("base_ratio", ["vgpg", "pgvg", "vg/pg", "pg/vg", "compuesto base"]),
+    ("sabor", ["elige sabor", "sabor", "flavor", "flavour"]),
+    ("cafeina", ["cafeina"]),
+]
+
+
+def unaccented(c: Column) -> Column:
+    """Lower case without accents."""
+    return F.lower(F.regexp_replace(F.translate(c, ACCENTED, PLAIN), "[\u0300-\u036f]", ""))
 
 
 def fold(c: Column) -> Column:
     """Lower case without accents, trimmed; blanks inside stay."""
-    return F.trim(F.lower(F.translate(c, ACCENTED, PLAIN)))
+    return F.regexp_replace(unaccented(c), f"^{BLANK}+|{BLANK}+$", "")
 
 
 def plain(c: Column) -> Column:
-    return F.trim(F.regexp_replace(fold(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(unaccented(c), f"{BLANK}+", " "))
 
 
 def roman(c: Column) -> Column:
@@ -62,10 +84,6 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def truncated(c: Column, longest: int) -> Column:
-    return F.substring(blank_to_null(c), 1, longest)
-
-
 def short_text(c: Column, longest: int) -> Column:
     """Blanks collapsed; cut with an ellipsis where longer."""
     t = F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -77,12 +95,6 @@ def listed(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "[|,]"), F.trim), lambda x: x != "")
 
 
-def first_spellings(values: Column) -> Column:
-    """The distinct values by their plain form, first spelling and order kept."""
-    keys = F.transform(values, plain)
-    return F.filter(values, lambda v, i: (F.array_position(keys, plain(v)) == i + 1) & (plain(v) != ""))
-
-
 def strip_suffixes(name: Column, values: Column) -> Column:
     """name without ` - value` endings, longest values first."""
     ordered = F.array_sort(values, lambda a, b: F.length(b) - F.length(a))
@@ -96,14 +108,13 @@ def strip_suffixes(name: Column, values: Column) -> Column:
     )
 
 
-def variant_key(c: Column) -> Column:
-    """The canonical name of a dimension; others keep their slug with underscores."""
-    k = plain(c)
+def variant_name(c: Column) -> Column:
+    """The canonical name of a dimension; others keep their folded name, blank ones are `variante`."""
+    k = fold(c)
     out = None
-    for name, pattern in VARIANT_KEYS:
-        hit = k.rlike(pattern)
-        out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
-    return out.otherwise(F.regexp_replace(k, "[^a-z0-9]+", "_"))
+    for name, spelled in VARIANT_NAMES:
+        out = F.when(k.isin(*spelled), F.lit(name)) if out is None else out.when(k.isin(*spelled), F.lit(name))
+    return out.otherwise(F.coalesce(F.nullif(k, F.lit("")), F.lit("variante")))
 
 
 def sorted_entries(m: Column) -> Column:
@@ -178,12 +189,3 @@ def coalesce_filled(*cols: Column) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cols])
 
 
-def replace_all(c: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    for a, b in pairs:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
-def ends_of(c: Column) -> Column:
-    """First and last word of a text, once evaluated."""
-    return let(F.split(plain(c), " "), lambda w: F.concat_ws(" ", w[0], F.element_at(w, -1)))

@@ -21,7 +21,7 @@ def variant_summary(rows: DataFrame, group: str, variants: str) -> DataFrame:
     """Per group and dimension the number of distinct values and the values, sorted."""
     flat = rows.select(group, F.explode(variants).alias("k", "v")).where("v is not null")
     return (
-        flat.groupBy(group, T.variant_key(F.col("k")).alias("dimension"))
+        flat.groupBy(group, T.variant_name(F.col("k")).alias("dimension"))
         .agg(F.array_sort(F.collect_set(T.plain(F.col("v")))).alias("s"))
         .select(group, "dimension", F.size("s").alias("value_count"), F.array_join("s", " | ").alias("value_list"))
     )

@@ -10,7 +10,7 @@ from tallyloom.functions import rescue as R
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.operators import assign, candidates, catalog, snapshots
-from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_hw, sql_key, sql_numbers, sql_plain, sql_similarity, sql_status, sql_type, sql_weight
+from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_group, sql_hw, sql_key, sql_numbers, sql_plain, sql_similarity, sql_status, sql_type, sql_weight
 from tallyloom.session import table
 from tallyloom.sources import files
 
@@ -59,7 +59,7 @@ def q_short_text(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_variant_keys(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "product").select("row_id", F.explode("variants").alias("k", "v"))
-    return p.select("row_id", T.variant_key(F.col("k")).alias("dimension"), F.trim("v").alias("value"))
+    return p.select("row_id", T.variant_name(F.col("k")).alias("dimension"), F.trim("v").alias("value"))
 
 
 @query(
@@ -120,18 +120,20 @@ def q_measure_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "product").select("row_id", render("ml").alias("ml"), render("mg").alias("mg"), render("ohm").alias("ohm"))
 
 
-@query(
-    f"with t as (select {sql_type('name', 'category')} as product_type from product) select product_type, case when product_type in ('aroma_concentrate','base_booster','nicotine_salt','eliquid') then 'liquid' "
-    "when product_type in ('kit_device','mod_device','disposable') then 'hardware' when product_type in ('pod_replacement','coil','atomizer_tank') then 'part' else product_type end as type_group, count(*) as n from t group by 1, 2"
-)
+def _kinds(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "product")
+    return p.withColumn("product_type", S.product_kind(*[F.col(c) for c in ("name", "category", "category_id", "reference", "synthetic_reference", "variants")]))
+
+
+@query(f"with t as (select {sql_type()} as product_type from product) select product_type, {sql_group('product_type')} as type_group, count(*) as n from t group by 1, 2")
 def q_type_classify(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "product").select(S.product_type(F.col("name"), F.col("category")).alias("product_type"))
-    return t.groupBy("product_type", S.type_group(F.col("product_type")).alias("type_group")).agg(F.count(F.lit(1)).alias("n"))
+    return _kinds(spark, d).groupBy("product_type", S.type_group(F.col("product_type")).alias("type_group")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"select row_id, {sql_category('category', 'name')} as commercial from product")
+@query(f"with t as (select row_id, category, {sql_type()} as product_type from product) select row_id, {sql_category('category', 'product_type', sql_group('product_type'))} as commercial from t")
 def q_commercial_category(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "product").select("row_id", S.commercial_category(F.col("category"), F.col("name")).alias("commercial"))
+    kind = F.col("product_type")
+    return _kinds(spark, d).select("row_id", S.commercial_category(F.col("category"), kind, S.type_group(kind)).alias("commercial"))
 
 
 @query(
