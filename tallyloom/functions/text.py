@@ -43,7 +43,12 @@ def unaccented(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Lower case without accents, trimmed; blanks inside stay."""
-    return F.regexp_replace(unaccented(c), f"^{BLANK}+|{BLANK}+$", "")
+    return trimmed(unaccented(c))
+
+
+def trimmed(c: Column) -> Column:
+    """Without blanks of any kind at either end."""
+    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
 
 
 def plain(c: Column) -> Column:

@@ -29,12 +29,12 @@ def some(c: Column) -> Column:
 
 def parts_of(c: Column) -> Column:
     """The trimmed non-blank elements of an array."""
-    return F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), F.trim), lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), T.trimmed), lambda x: x.isNotNull() & (x != ""))
 
 
 def own_variants(m: Column) -> Column:
     """map of canonical dimension to trimmed value; blank values are left out, of equal dimensions the last counts."""
-    named = F.transform(F.map_entries(m), lambda e: F.struct(T.variant_name(e["key"]).alias("key"), F.trim(e["value"]).alias("value")))
+    named = F.transform(F.map_entries(m), lambda e: F.struct(T.variant_name(e["key"]).alias("key"), T.trimmed(e["value"]).alias("value")))
     filled = F.filter(named, lambda e: e["value"].isNotNull() & (e["value"] != ""))
 
     def last(es: Column) -> Column:
@@ -55,8 +55,8 @@ def variant_signature(own: Column) -> Column:
 def stripped_title(name: Column, variants: Column) -> Column:
     """The name without ` - value` endings of its own variants, longest first; blanks collapsed."""
     values = F.array_sort(parts_of(F.map_values(variants)), lambda a, b: F.length(b) - F.length(a))
-    cut = F.aggregate(values, F.trim(name), lambda acc, v: F.regexp_replace(acc, F.concat(F.lit(r"(?i)\s+-\s+\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E$")), F.lit("")))
-    return F.coalesce(some(F.trim(F.regexp_replace(cut, r"\s+", " "))), name)
+    cut = F.aggregate(values, T.trimmed(name), lambda acc, v: F.regexp_replace(acc, F.concat(F.lit(r"(?i)\s+-\s+\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E$")), F.lit("")))
+    return F.coalesce(some(T.trimmed(F.regexp_replace(cut, f"{T.BLANK}+", " "))), name)
 
 
 def breadcrumb_brand(path: Column) -> Column:

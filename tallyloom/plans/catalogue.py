@@ -45,7 +45,7 @@ _SAID = [
     f"""with {Q.OWN}, {Q.PROFILE}, {Q.REPS},
     sk as (select distributor, brand_or_none, base_key, base_url, k, list_sort(list(distinct v)) as vs, min({{'a': nv.row_id, 'b': nv.first}}) as f from nv join prof using (row_id) group by all),
     sm as (select distributor, brand_or_none, base_key, base_url, string_agg(k || ': ' || len(vs), '; ' order by f) as variant_summary, string_agg(k || ': ' || array_to_string(vs, ' | '), '; ' order by f) as variant_values from sk group by all),
-    r2 as (select r.*, variant_summary, variant_values, array_to_string({Q._PARTS.format('breadcrumb_path')}, ' > ') as crumbs from rep r left join sm s on r.distributor is not distinct from s.distributor and r.brand_or_none = s.brand_or_none and r.base_key = s.base_key and r.base_url = s.base_url)
+    r2 as (select r.*, variant_summary, variant_values, array_to_string({Q._parts('breadcrumb_path')}, ' > ') as crumbs from rep r left join sm s on r.distributor is not distinct from s.distributor and r.brand_or_none = s.brand_or_none and r.base_key = s.base_key and r.base_url = s.base_url)
     select base_id as id, distributor, base_url as url, title, concat_ws('. ', nullif(title, ''), {', '.join(f"case when coalesce({c}, '') <> '' then '{label}' || {c} end" for label, c in _SAID)}) as description,
            coalesce(category, '') as category, source_categories, coalesce(brand_found, '') as brand, array_to_string(brands, ' | ') as brand_candidates, coalesce(commercial_brand, '') as commercial_brand, coalesce(product_line, '') as product_line,
            crumbs as breadcrumb_path, coalesce(meta_description, '') as meta_description, product_type, coalesce(reference, '') as reference, coalesce(synthetic_reference, '') as synthetic_reference, base_key, variant_count,

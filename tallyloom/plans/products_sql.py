@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from tallyloom.plans.sql import sql_fold, sql_key, sql_type
+from tallyloom.plans.sql import BLANK, sql_fold, sql_key, sql_type
 
 _NORMREF = "regexp_replace(upper({}), '[^A-Z0-9]+', '', 'g')"
 _ALNUM = "regexp_replace({}, '[^a-z0-9]+', '', 'g')"
-_PARTS = "list_filter(list_transform(coalesce({}, []), lambda x: trim(x)), lambda x: x is not null and x <> '')"
+_PARTS = "list_filter(list_transform(coalesce(#, []), lambda x: regexp_replace(x, '^" + BLANK + "+|" + BLANK + "+$', '', 'g')), lambda x: x is not null and x <> '')"
+
+
+def _parts(c: str) -> str:
+    return _PARTS.replace("#", c)
+
+
 _HEADINGS = (
     "'inicio','productos','producto','alquimia','aromas','aroma','liquidos','liquidos electronicos','sales','sales de nicotina','kits','kits pod system','pod system','pods','resistencias',"
     "'recambios','desechables','mods','mod electronico','atomizadores','accesorios'"
 )
-_CRUMB = f"list_filter({_PARTS.format('breadcrumb_path')}, lambda x: {sql_fold('x')} not in ({_HEADINGS}))[-1]"
+_CRUMB = f"list_filter({_parts('breadcrumb_path')}, lambda x: {sql_fold('x')} not in ({_HEADINGS}))[-1]"
 
 
 def normref(c: str) -> str:
@@ -20,18 +26,18 @@ def normref(c: str) -> str:
 
 OWN = f"""
     nv as (select row_id, k, arg_max(v, i) as v, min(i) as first from (
-             select row_id, {sql_key('e.key')} as k, trim(e.value) as v, e.i from (
+             select row_id, {sql_key('e.key')} as k, regexp_replace(e.value, '^{BLANK}+|{BLANK}+$', '', 'g') as v, e.i from (
                select row_id, unnest(list_transform(map_entries(variants), lambda x, i: {{'key': x.key, 'value': x.value, 'i': i}})) as e from product where variants is not null))
            where v is not null and v <> '' group by 1, 2)"""
 
 PROFILE = f"""
-    p0 as (select *, list_transform(list_sort(list_transform({_PARTS.format('map_values(variants)')}, lambda v, i: {{'n': -length(v), 'i': i, 'v': v}})), lambda s: s.v) as vals from product),
-    p1 as (select *, case when name is null then null else coalesce(nullif(trim(regexp_replace(list_reduce(list_prepend(trim(name), coalesce(vals, [])), lambda acc, v: regexp_replace(acc, '\\s+-\\s+' || regexp_escape(v) || '$', '', 'i')), '\\s+', ' ', 'g')), ''), name) end as title from p0),
-    p2 as (select *, {_PARTS.format("regexp_split_to_array(translate(title, '–—', '--'), '\\s+-\\s+|-\\s+')")} as pieces, {_CRUMB} as crumb from p1),
-    p3 as (select *, list_max(list_filter(list_transform(pieces, lambda x, i: case when regexp_matches(x, '(?i)\\b(?:\\d+\\s*(?:mg|ml|mah|ohm|w)|\\d+\\s*/\\s*\\d+)\\b') then null else i end), lambda i: i is not null)) as at from p2),
-    p4 as (select * exclude (at, vals, pieces), coalesce({_PARTS.format('brand_candidates')}[1], nullif(commercial_brand, ''), nullif(brand, ''), case when at >= 2 then pieces[at] end, crumb) as brand_found,
+    p0 as (select *, list_transform(list_sort(list_transform({_parts('map_values(variants)')}, lambda v, i: {{'n': -length(v), 'i': i, 'v': v}})), lambda s: s.v) as vals from product),
+    p1 as (select *, case when name is null then null else coalesce(nullif(trim(regexp_replace(list_reduce(list_prepend(regexp_replace(name, '^{BLANK}+|{BLANK}+$', '', 'g'), coalesce(vals, [])), lambda acc, v: regexp_replace(acc, '\\s+-\\s+' || regexp_escape(v) || '$', '', 'i')), '{BLANK}+', ' ', 'g')), ''), name) end as title from p0),
+    p2 as (select *, {_parts("regexp_split_to_array(translate(title, '–—', '--'), '\\s+-\\s+|-\\s+')")} as pieces, {_CRUMB} as crumb from p1),
+    p3 as (select *, list_max(list_filter(list_transform(pieces, lambda x, i: case when regexp_matches(x, '(?i)\\b(?:\\d+\\s*(?:mg|ml|mah|ohm|w)|\\d+\\s*/\\s*\\d+)\\b') then null else i end), lambda i: i is not null)) as tail_at from p2),
+    p4 as (select * exclude (tail_at, vals, pieces), coalesce({_parts('brand_candidates')}[1], nullif(commercial_brand, ''), nullif(brand, ''), case when tail_at >= 2 then pieces[tail_at] end, crumb) as brand_found,
                   split_part(coalesce(url, ''), '#', 1) as base_url from p3),
-    p5 as (select *, {_PARTS.format('coalesce(brand_candidates, []) || [commercial_brand, brand_found, crumb]')} as bs from p4),
+    p5 as (select *, {_parts('coalesce(brand_candidates, []) || [commercial_brand, brand_found, crumb]')} as bs from p4),
     prof as (select *, coalesce(nullif({normref("coalesce(nullif(synthetic_reference, ''), reference, '')")}, ''), {normref('base_url')}) as base_key, coalesce(nullif(brand_found, ''), 'NO_BRAND') as brand_or_none, {sql_type()} as product_type,
                     list_filter(bs, lambda v, i: {_ALNUM.format(sql_fold('v'))} <> '' and list_position(list_transform(bs, lambda w: {_ALNUM.format(sql_fold('w'))}), {_ALNUM.format(sql_fold('v'))}) = i) as brands from p5)"""
 
