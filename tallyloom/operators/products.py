@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
+from tallyloom.functions import variants as V
 from tallyloom.functions.binding import let
 from tallyloom.functions.similarity import product_kind
 from tallyloom.session import salted_lookup
@@ -235,3 +236,37 @@ def variant_rows(product: DataFrame) -> DataFrame:
         *[blank(F.try_element_at("own", F.lit(k))).alias(k) for k in DIMENSIONS], F.col("liquid.contenido_ml").alias("contenido_ml"), F.col("liquid.bote_ml").alias("bote_ml"),
         blank(F.col("derived.matched_reference_color")).alias("derived_reference_color"),
     )
+
+
+FIELDS = ["color", "reference_color", "derived_reference_color", "effective_color", "nicotina", "capacidad", "contenido_ml", "bote_ml", "resistencia", "base_ratio", "sabor", "cafeina", "tamano", "pod_type", "product_type"]
+
+
+def variant_fields(variants: DataFrame) -> DataFrame:
+    """One row per variant id (its first captured row) with the dimensions that are compared."""
+    first = variants.groupBy("id").agg(F.min_by(F.struct(*[c for c in variants.columns if c != "id"]), "row_id").alias("v")).select("id", "v.*")
+    return first.withColumns(V.derived_fields()).select("id", "base_id", "title", "url", "variant_label", *FIELDS)
+
+
+def best_variants(pairs: DataFrame, fields: DataFrame, threshold: float = 0.72) -> DataFrame:
+    """Per matched pair of bases and variant of its side A the best variant of side B.
+
+    pairs(a_base, b_base) are distinct matched bases, fields the variants of both sides. Variants of a
+    base are one per signature, so repeated captures are scored once. The largest confidence wins,
+    then label and id. Under the threshold the A variant stays without partner and confidence 0;
+    a pair of which a base has no variants is one row `missing_variants`.
+    """
+    own = F.struct(*FIELDS)
+    side = lambda n: fields.select(F.col("base_id").alias(f"{n}_base"), F.col("id").alias(f"{n}_id"), F.col("variant_label").alias(f"{n}_label"), own.alias(f"{n}_v"))
+    met = pairs.select("a_base", "b_base").distinct().join(side("a"), "a_base").join(side("b"), "b_base")
+    scored = met.select("a_base", "b_base", "a_id", "b_id", "b_label", V.variant_score(F.col("a_v"), F.col("b_v")).alias("s"))
+    order = F.struct((-F.col("s.confidence")).alias("c"), "b_label", "b_id")
+    best = scored.groupBy("a_base", "b_base", "a_id").agg(F.min(F.struct(order.alias("o"), F.col("s.decision").alias("d"))).alias("m"))
+    fits = -F.col("m.o.c") >= threshold
+    matched = best.select(
+        "a_base", "b_base", "a_id", F.when(fits, F.col("m.o.b_id")).alias("b_id"), F.when(fits, F.col("m.d")).otherwise("a_variant_without_b_variant").alias("decision"), F.when(fits, -F.col("m.o.c")).otherwise(0.0).alias("confidence")
+    )
+    known = fields.select("base_id").distinct()
+    both = pairs.select("a_base", "b_base").distinct().join(known.select(F.col("base_id").alias("a_base")), "a_base", "left_semi").join(known.select(F.col("base_id").alias("b_base")), "b_base", "left_semi")
+    none = F.lit(None).cast("string")
+    missing = pairs.select("a_base", "b_base").distinct().join(both, ["a_base", "b_base"], "left_anti")
+    return matched.unionByName(missing.select("a_base", "b_base", none.alias("a_id"), none.alias("b_id"), F.lit("missing_variants").alias("decision"), F.lit(0.0).alias("confidence")))

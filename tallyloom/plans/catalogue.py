@@ -61,3 +61,71 @@ _VARIANTS = f"with {Q.OWN}, {Q.PROFILE}, {Q.REPS}, {Q.VARIANTS}"
 @query(f"{_VARIANTS} select * from vr")
 def q_variant_rows(spark: SparkSession, d: str) -> DataFrame:
     return products.variant_rows(table(spark, d, "product"))
+
+
+@query(f"{_VARIANTS}, {Q.FIELDS} select * from vf")
+def q_variant_fields(spark: SparkSession, d: str) -> DataFrame:
+    return products.variant_fields(products.variant_rows(table(spark, d, "product")))
+
+
+_BASES = """
+    side as (select row_id, base_id from vr),
+    pairs as (select distinct coalesce(x.base_id, 'unknown:' || a_url) as a_base, coalesce(y.base_id, 'unknown:' || b_url) as b_base
+              from variant_match m left join side x on x.row_id = try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) left join side y on y.row_id = try_cast(regexp_extract(b_variant_id, '(\\d+)$', 1) as bigint)
+              where a_variant_id is not null and b_variant_id is not null)"""
+
+
+def _fields(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(matched bases, fields of all variants): bases are matched where variant_match has a pair of their variants."""
+    v = products.variant_rows(table(spark, d, "product"))
+    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
+    m = table(spark, d, "variant_match").where("a_variant_id is not null and b_variant_id is not null").select(row("a_variant_id").alias("a_row"), row("b_variant_id").alias("b_row"), "a_url", "b_url")
+    side = lambda n: v.select(F.col("row_id").alias(f"{n}_row"), F.col("base_id").alias(f"{n}_known"))
+    named = lambda n: F.coalesce(f"{n}_known", F.concat(F.lit("unknown:"), f"{n}_url")).alias(f"{n}_base")
+    pairs = m.join(side("a"), "a_row", "left").join(side("b"), "b_row", "left").select(named("a"), named("b")).distinct()
+    return pairs, products.variant_fields(v)
+
+
+_BEST = f"{_VARIANTS}, {Q.FIELDS}, {_BASES}, {Q.SCORES}"
+
+
+@query(f"{_BEST} select * from vm")
+def q_variant_best(spark: SparkSession, d: str) -> DataFrame:
+    return products.best_variants(*_fields(spark, d))
+
+
+def _status(decision, confidence):
+    return (
+        F.when(decision.isin("a_variant_without_b_variant", "missing_variants"), "a_only")
+        .when((decision == "variant_match") & (confidence >= 0.95), "valid")
+        .when((decision == "possible_variant_match") & (confidence >= 0.85), "probable")
+        .when(confidence <= 0, "impossible")
+        .otherwise("discarded_low_confidence")
+    )
+
+
+@query(
+    f"{_BEST}, st as (select *, case when decision in ('a_variant_without_b_variant', 'missing_variants') then 'a_only' when decision = 'variant_match' and confidence >= 0.95 then 'valid' when decision = 'possible_variant_match' and confidence >= 0.85 then 'probable' when confidence <= 0 then 'impossible' else 'discarded_low_confidence' end as status from vm) "
+    "select status, decision, count(*) as variants, count(distinct a_base) as bases, count(distinct b_id) as partners, count(*) filter (confidence >= 0.95) as sure, count(*) filter (b_id is null) as alone, round(avg(confidence), 6) as mean_confidence, "
+    "min(confidence) as least_confidence, max(confidence) as most_confidence, sum(cast(floor(0.72::double * confidence * 1000 + 0.5) as bigint)) as final_thousandths, count(distinct a_id) as a_variants from st group by 1, 2"
+)
+def q_variant_status(spark: SparkSession, d: str) -> DataFrame:
+    """The twelve counts of a match dataset by status and decision."""
+    best = products.best_variants(*_fields(spark, d))
+    c = F.col("confidence")
+    return best.groupBy(_status(F.col("decision"), c).alias("status"), "decision").agg(
+        F.count(F.lit(1)).alias("variants"), F.countDistinct("a_base").alias("bases"), F.countDistinct("b_id").alias("partners"), F.count_if(c >= 0.95).alias("sure"), F.count_if(F.col("b_id").isNull()).alias("alone"),
+        F.round(F.avg(c), 6).alias("mean_confidence"), F.min(c).alias("least_confidence"), F.max(c).alias("most_confidence"), F.sum(F.floor(F.lit(0.72) * c * 1000 + 0.5).cast("bigint")).alias("final_thousandths"), F.countDistinct("a_id").alias("a_variants"),
+    )
+
+
+@query(
+    f"{_BEST}, u as (select p.b_base, p.a_base, f.id from pairs p join vf f on f.base_id = p.b_base where f.id not in (select b_id from vm where b_id is not null)) "
+    "select b_base, id as b_id, min(a_base) as emitted_by from u group by 1, 2"
+)
+def q_b_only(spark: SparkSession, d: str) -> DataFrame:
+    """Variants of matched B bases that no A variant took, each once, by the first base that has it."""
+    pairs, fields = _fields(spark, d)
+    taken = products.best_variants(pairs, fields).where("b_id is not null").select(F.col("b_id").alias("id"))
+    all_b = pairs.join(fields.select(F.col("base_id").alias("b_base"), "id"), "b_base")
+    return all_b.join(taken.distinct(), "id", "left_anti").groupBy("b_base", F.col("id").alias("b_id")).agg(F.min("a_base").alias("emitted_by"))

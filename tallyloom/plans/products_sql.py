@@ -90,3 +90,87 @@ VARIANTS = f"""
                   case when kind in {_LIQUIDS} then coalesce(c, '') else coalesce(nullif(contenido_ml, ''), nullif(contenido, ''), '') end as contenido_ml,
                   case when kind in {_LIQUIDS} then coalesce(case when nic and {_size('b2')} > 10 then case when {_size('c')} <= 10 then c end else b2 end, '') else coalesce(nullif(bote_ml, ''), nullif(capacidad_bote, ''), '') end as bote_ml,
                   coalesce(derived.matched_reference_color, '') as derived_reference_color from v3)"""
+
+
+def american(c: str) -> str:
+    from tallyloom.plans.sql import sql_plain
+
+    return f"replace({sql_plain(f'coalesce({c}, {chr(39) * 2})')}, 'colour', 'color')"
+
+
+def mended(c: str) -> str:
+    return f"replace(replace(regexp_replace({american(c)}, '\\bartic\\b', 'arctic', 'g'), 'graffitti', 'graffiti'), 'grey', 'gray')"
+
+
+def words(c: str) -> str:
+    return f"list_filter(regexp_split_to_array({mended(c)}, '[^a-z0-9]+'), lambda w: w <> '' and w not in ('and', 'y', 'de', 'color', 'oxva', 'uwell', 'vaporesso', 'voopoo'))"
+
+
+def build(c: str) -> str:
+    return f"list_reverse(list_distinct(list_reverse(list_filter({words(c)}, lambda w: w in ('mesh', 'dual', 'corex', 'dtl', 'mtl', 'lush', 'top', 'fill')))))"
+
+
+def build_text(c: str) -> str:
+    """Build words in the order they first appear."""
+    w = f"list_filter({words(c)}, lambda w: w in ('mesh', 'dual', 'corex', 'dtl', 'mtl', 'lush', 'top', 'fill'))"
+    return f"array_to_string(list_filter({w}, lambda x, i: list_position({w}, x) = i), ' ')"
+
+
+def _texts(*ks: str) -> str:
+    return "concat_ws(' ', " + ", ".join(f"nullif({k}, '')" for k in ks) + ")"
+
+
+def _first_ml(*ks: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract({k}, '(?i){_N}\\s*ml', 1), '')" for k in ks) + ")"
+
+
+_WORDED = sql_fold(_texts("variant_label", "capacidad", "resistencia", "title", "base_title", "url"))
+_OHM = f"list_transform(regexp_extract_all({_texts('variant_label', 'title', 'base_title', 'url')}, '(?i){_N}\\s*(?:ohm|Ω)', 1), lambda x: replace(x, ',', '.') || ' ohm')"
+_BUILT = build_text(_texts("variant_label", "title", "base_title", "reference", "synthetic_reference", "url"))
+FIELDS = f"""
+    vf0 as (select * from vr qualify row_number() over (partition by id order by row_id) = 1),
+    vf as (select id, base_id, title, url, variant_label, color, reference_color, derived_reference_color, coalesce(nullif(reference_color, ''), nullif(derived_reference_color, ''), color) as effective_color, nicotina,
+                  coalesce(nullif(capacidad, ''), replace(case when product_type in ('pyrex', 'atomizer_tank', 'pod_replacement') then {_first_ml('variant_label', 'title', 'base_title', 'reference', 'synthetic_reference', 'sku', 'url')}
+                    when product_type in ('eliquid', 'nicotine_salt', 'aroma_concentrate', 'base_booster', 'disposable') then {_first_ml('variant_label', 'title', 'base_title', 'url')} end, ',', '.') || ' ml', '') as capacidad,
+                  contenido_ml, bote_ml,
+                  case when resistencia <> '' then case when len({build('resistencia')}) > 0 or {_BUILT} = '' then resistencia else resistencia || ' ' || {_BUILT} end
+                       when product_type in ('coil', 'pod_replacement') then trim(concat_ws(' ', array_to_string(list_filter({_OHM}, lambda x, i: list_position({_OHM}, x) = i), ' - '), {_BUILT})) else '' end as resistencia,
+                  base_ratio, sabor, cafeina, tamano, coalesce(nullif(pod_type, ''), case when regexp_matches({_WORDED}, '\\bdtl\\b') then 'DTL' when regexp_matches({_WORDED}, '\\bmtl\\b') then 'MTL' end, '') as pod_type, product_type from vf0)"""
+
+_WEIGHTS = [("nicotina", 2.0), ("capacidad", 1.5), ("contenido_ml", 2.0), ("bote_ml", 2.0), ("resistencia", 2.0), ("base_ratio", 1.5), ("sabor", 2.5), ("cafeina", 1.5), ("tamano", 1.0), ("pod_type", 4.0)]
+_LIQUID_PAIR = f"(a.product_type in {_LIQUIDS} or b.product_type in {_LIQUIDS})"
+_REFERENCE = " or ".join(f"{s}.{c} <> ''" for s in "ab" for c in ("reference_color", "derived_reference_color"))
+
+
+def _keyed(c: str) -> str:
+    return f"regexp_replace({mended(c)}, '[^a-z0-9]+', '', 'g')"
+
+
+def _numbers(c: str, unit: str) -> str:
+    return f"list_distinct(list_transform(regexp_extract_all({c}, '(?i){_N}\\s*{unit}', 1), lambda x: cast(replace(x, ',', '.') as double)))"
+
+
+#: Needs pairs(a_base, b_base) before it and the variants of FIELDS.
+SCORES = f"""
+    met as (select a_base, b_base, a.id as a_id, b.id as b_id, b.variant_label as b_label, a, b from pairs p join vf a on a.base_id = p.a_base join vf b on b.base_id = p.b_base),
+    long as (select a_base, b_base, a_id, b_id, b_label, unnest([
+        {{'f': 'color', 'w': case when a.effective_color <> '' or b.effective_color <> '' then 1.0 end, 'x': case when {_REFERENCE} then a.effective_color else a.color end, 'y': case when {_REFERENCE} then b.effective_color else b.color end}},
+        {', '.join("{'f': '" + k + "', 'w': case when (a." + k + " <> '' or b." + k + " <> '')" + (f" and not {_LIQUID_PAIR}" if k == "capacidad" else f" and {_LIQUID_PAIR}" if k.endswith("_ml") else "") + f" then {w} end, 'x': a." + k + ", 'y': b." + k + "}" for k, w in _WEIGHTS)}]) as e from met),
+    vals as (select distinct e.f as f, e.x as x, e.y as y from long where e.w is not null),
+    keyed as (select f, x, y, {_keyed('x')} as kx, {_keyed('y')} as ky, {words('x')} as wx, {words('y')} as wy, {build('x')} as bx, {build('y')} as by_,
+                     {_numbers('x', 'ml')} as mx, {_numbers('y', 'ml')} as my, {_numbers('x', '(?:ohm|Ω)')} as ox, {_numbers('y', '(?:ohm|Ω)')} as oy from vals),
+    jac as (select *, case when len(list_distinct(wx || wy)) > 0 then len(list_filter(wx, lambda w: list_contains(wy, w)))::double / len(list_distinct(wx || wy)) else 0.0 end as j,
+                   contains(kx, ky) or contains(ky, kx) as inside, len(list_filter(list_filter(wx, lambda w: not list_contains(wy, w)) || list_filter(wy, lambda w: not list_contains(wx, w)), lambda w: w not in ('dark', 'light', 'metal', 'metallic'))) = 0 as soft,
+                   case when f = 'resistencia' then ox else mx end as nx, case when f = 'resistencia' then oy else my end as ny from keyed),
+    sims as (select *, case when kx = '' and ky = '' then 1.0 when kx = '' or ky = '' then 0.35 when kx = ky then 1.0 when j >= 0.8 then 0.95 when j >= 0.66 then 0.88 when j >= 0.5 then 0.72 when inside and soft then 0.86 when inside then 0.45 else 0.0 end as base,
+                    case when len(nx) = 0 or len(ny) = 0 then null when len(list_intersect(nx, ny)) = len(nx) and len(nx) = len(ny) then 1.0 when len(list_intersect(nx, ny)) > 0 then 0.72 else 0.0 end as num,
+                    (list_contains(bx, 'corex') and list_contains(by_, 'dual')) or (list_contains(bx, 'dual') and list_contains(by_, 'corex')) or (len(bx) > 0 and len(by_) > 0 and len(list_intersect(bx, by_)) = 0) as opposed from jac),
+    sim as (select f, x, y, cast(case when f in ('capacidad', 'contenido_ml', 'bote_ml') then case when (kx = '') <> (ky = '') then 0.35 else coalesce(num, base) end
+                                 when f = 'resistencia' then coalesce(case when opposed then least(num, 0.72) else num end, base) else base end as double) as s, kx <> '' or ky <> '' as stated from sims),
+    scored as (select a_base, b_base, a_id, b_id, b_label, coalesce(sum(e.w::double) filter (stated), 0) as total, sum(e.w::double * s) filter (stated) as score
+               from long left join sim on e.f = sim.f and e.x = sim.x and e.y = sim.y and e.w is not null group by all),
+    conf as (select *, case when total = 0 then 0.75 else floor(score / total * 100 + 0.5) / 100.0 end as confidence from scored),
+    best as (select *, case when total = 0 then 'base_only' when confidence >= 0.95 then 'variant_match' when confidence >= 0.72 then 'possible_variant_match' else 'no_variant_match' end as d
+             from conf qualify row_number() over (partition by a_base, b_base, a_id order by confidence desc, b_label, b_id) = 1),
+    vm as (select a_base, b_base, a_id, case when confidence >= 0.72 then b_id end as b_id, case when confidence >= 0.72 then d else 'a_variant_without_b_variant' end as decision, case when confidence >= 0.72 then confidence else 0.0 end as confidence from best
+           union all select a_base, b_base, null, null, 'missing_variants', 0.0 from pairs p where not exists (select 1 from vf where base_id = a_base) or not exists (select 1 from vf where base_id = b_base))"""
