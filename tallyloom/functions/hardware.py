@@ -27,7 +27,7 @@ QUALIFIERS = ["koko", "legend", "lite", "max", "mini", "nano", "plus", "primal",
 NUMBERED_KINDS = ["kit_device", "mod_device", "pod_replacement", "atomizer_tank", "pyrex"]
 HEAVY = ["dtl", "ez", "mtl", "rba", "ss"]
 DIRECTIONS = [("top", "side"), ("dtl", "mtl"), ("regular", "pro")]
-PACKS = [r"\bpack\s*(?:de\s*)?(\d+)\b", r"\b(\d+)\s*(?:pcs|pc|pzs|unidades)\b", r"(?:^|[\s.-])p(\d+)(?=$|[\s.-])"]
+PACKS = [r"\bpack\s*(?:de\s*)?(\d+)\b", r"\b(\d+)\s*(?:pcs|pc|pzs|unidades)\b", r"(?:^|[\s.-])p(\d+)(?:$|[\s.-])"]
 
 
 def _split(c: Column) -> Column:
@@ -70,10 +70,16 @@ def product_features(
     """What the score reads of one product; brands are texts, more are further fields of its primary text."""
     none = F.lit(None).cast("string")
     reference, synthetic, base_key, url = (T.blank_to_null(none if c is None else c) for c in (reference, synthetic, base_key, url))
-    primary = T.numbered(F.concat_ws(" ", title, *brands, reference, synthetic, base_key, url, *more))
-    named = T.numbered(F.concat_ws(" ", title, reference, synthetic, url))
-    ref = F.coalesce(reference, synthetic, base_key)
-    brand_words = _split(T.numbered(F.concat_ws(" ", *brands)))
+    texts = F.struct(
+        T.numbered(F.concat_ws(" ", title, *brands, *more, reference, synthetic, base_key, url)).alias("primary"),
+        T.numbered(F.concat_ws(" ", title, reference, synthetic, url)).alias("named"),
+        _split(T.numbered(F.concat_ws(" ", *brands))).alias("brands"),
+    )
+    return let(texts, lambda t: features_of(t["primary"], t["named"], t["brands"], kind, F.coalesce(reference, synthetic, base_key), F.coalesce(base_key, synthetic, reference)))
+
+
+def features_of(primary: Column, named: Column, brand_words: Column, kind: Column, ref: Column, key: Column) -> Column:
+    """product_features from texts that are columns already, so that they are made once."""
     packs = F.flatten(F.array(*[_numbers(primary, p) for p in PACKS]))
     return F.struct(
         _tokens(named, brand_words, kind).alias("tokens"),
@@ -81,7 +87,7 @@ def product_features(
         F.array_distinct(packs).alias("packs"),
         F.coalesce(_subtype(primary, F.coalesce(T.numbered(ref), F.lit("")), kind), F.lit("")).alias("subtype"),
         primary.rlike(r"\b(?:salts?|nicotine\s*salt|sales)\b").alias("salt"),
-        F.nullif(T.compact(T.numbered(F.coalesce(base_key, synthetic, reference))), F.lit("")).alias("key"),
+        F.nullif(T.compact(T.numbered(key)), F.lit("")).alias("key"),
         F.nullif(T.compact(T.numbered(ref)), F.lit("")).alias("ref"),
         F.coalesce(kind == "aroma_concentrate", F.lit(False)).alias("aroma"),
     )

@@ -12,7 +12,7 @@ from tallyloom.session import checkpointed, release
 
 def best_and_alternatives(pairs: DataFrame, left: str, right: str, score: str, tie: str, alternatives: int = 5) -> DataFrame:
     """Per left id the best right id and the next ones as `id:score` joined by `|`."""
-    w = Window.partitionBy(left).orderBy(F.desc(score), tie)
+    w = Window.partitionBy(left).orderBy(F.desc(score), tie, right)
     ranked = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= alternatives + 1)
     rest = F.transform(
         F.filter(F.array_sort(F.collect_list(F.struct("_r", F.col(right).cast("string").alias("id"), F.format_number(score, 2).alias("s")))), lambda x: x["_r"] > 1),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import similarity as S
-from tallyloom.operators import products
+from tallyloom.operators import assign, base_match, products
 from tallyloom.plans import products_sql as Q
 from tallyloom.plans.sql import sql_fold
 from tallyloom.session import table
@@ -42,10 +42,7 @@ _SAID = [
 
 
 @query(
-    f"""with {Q.OWN}, {Q.PROFILE}, {Q.REPS},
-    sk as (select distributor, brand_or_none, base_key, base_url, k, list_sort(list(distinct v)) as vs, min({{'a': nv.row_id, 'b': nv.first}}) as f from nv join prof using (row_id) group by all),
-    sm as (select distributor, brand_or_none, base_key, base_url, string_agg(k || ': ' || len(vs), '; ' order by f) as variant_summary, string_agg(k || ': ' || array_to_string(vs, ' | '), '; ' order by f) as variant_values from sk group by all),
-    r2 as (select r.*, variant_summary, variant_values, array_to_string({Q._parts('breadcrumb_path')}, ' > ') as crumbs from rep r left join sm s on r.distributor is not distinct from s.distributor and r.brand_or_none = s.brand_or_none and r.base_key = s.base_key and r.base_url = s.base_url)
+    f"""with {Q.OWN}, {Q.PROFILE}, {Q.REPS}, {Q.SUMMARY}
     select base_id as id, distributor, base_url as url, title, concat_ws('. ', nullif(title, ''), {', '.join(f"case when coalesce({c}, '') <> '' then '{label}' || {c} end" for label, c in _SAID)}) as description,
            coalesce(category, '') as category, source_categories, coalesce(brand_found, '') as brand, array_to_string(brands, ' | ') as brand_candidates, coalesce(commercial_brand, '') as commercial_brand, coalesce(product_line, '') as product_line,
            crumbs as breadcrumb_path, coalesce(meta_description, '') as meta_description, product_type, coalesce(reference, '') as reference, coalesce(synthetic_reference, '') as synthetic_reference, base_key, variant_count,
@@ -129,3 +126,65 @@ def q_b_only(spark: SparkSession, d: str) -> DataFrame:
     taken = products.best_variants(pairs, fields).where("b_id is not null").select(F.col("b_id").alias("id"))
     all_b = pairs.join(fields.select(F.col("base_id").alias("b_base"), "id"), "b_base")
     return all_b.join(taken.distinct(), "id", "left_anti").groupBy("b_base", F.col("id").alias("b_id")).agg(F.min("a_base").alias("emitted_by"))
+
+
+_HARDWARE = f"with {Q.OWN}, {Q.PROFILE}, {Q.REPS}, {Q.SUMMARY}, {Q.HARDWARE}"
+LEFT, RIGHT = ["brumacat", "calimadis", "humedra"], ["vahoria", "nubarolia"]
+
+
+def _base_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Features of all bases: three distributors are side A, the other two side B."""
+    features = base_match.base_features(products.base_rows(table(spark, d, "product")))
+    return features.where(F.col("distributor").isin(*LEFT)), features.where(F.col("distributor").isin(*RIGHT))
+
+
+def _base_scores(spark: SparkSession, d: str) -> DataFrame:
+    return base_match.scored_bases(*_base_sides(spark, d))
+
+
+@query(f"{_HARDWARE} select distributor, block, subtype, salt, len(tokens) as words, len(caps) as capacities, len(packs) as packs, count(*) as bases, sum(length(array_to_string(tokens, ' '))) as letters from hf group by all")
+def q_block_types(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _base_sides(spark, d)
+    f = a.unionByName(b)
+    return f.groupBy("distributor", "block", F.col("f.subtype").alias("subtype"), F.col("f.salt").alias("salt"), F.size("f.tokens").alias("words"), F.size("f.caps").alias("capacities"), F.size("f.packs").alias("packs")).agg(
+        F.count(F.lit(1)).alias("bases"), F.sum(F.length(F.array_join("f.tokens", " "))).alias("letters")
+    )
+
+
+@query(f"{_HARDWARE} select a_id, b_id, score from hw")
+def q_hw_score(spark: SparkSession, d: str) -> DataFrame:
+    return _base_scores(spark, d).select("a_id", "b_id", "score")
+
+
+_RANKED = f"{_HARDWARE}, r as (select *, row_number() over (partition by a_id order by score desc, b_title, b_id) as n from hw)"
+
+
+@query(f"{_RANKED} select ha.a_id, r.b_id as best, r.score, case when r.b_id is null then 'no_match' else 'match' end as decision from ha left join r on r.a_id = ha.a_id and n = 1")
+def q_best_match(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _base_sides(spark, d)
+    best = assign.best_and_alternatives(base_match.scored_bases(a, b), "a_id", "b_id", "score", "b_title").select("a_id", "best", F.col("best_score").alias("score"))
+    ids = a.select(F.col("id").alias("a_id")).distinct()
+    return ids.join(best, "a_id", "left").select("a_id", "best", "score", F.when(F.col("best").isNull(), "no_match").otherwise("match").alias("decision"))
+
+
+@query(f"{_RANKED} select a_id, string_agg(b_id || ':' || printf('%.2f', score), '|' order by n) filter (n between 2 and 6) as alternatives from r group by 1")
+def q_alternatives(spark: SparkSession, d: str) -> DataFrame:
+    return assign.best_and_alternatives(_base_scores(spark, d), "a_id", "b_id", "score", "b_title").select("a_id", F.nullif("alternatives", F.lit("")).alias("alternatives"))
+
+
+_ROUND = "a{i} as (select *, row_number() over (partition by a_id order by score desc, a_id, b_id) as x, row_number() over (partition by b_id order by score desc, a_id, b_id) as y from l{i}), w{i} as (select a_id, b_id, score from a{i} where x = 1 and y = 1), l{j} as (select a_id, b_id, score from l{i} where a_id not in (select a_id from w{i}) and b_id not in (select b_id from w{i}))"
+
+
+@query(
+    f"{_HARDWARE}, l0 as (select a_id, b_id, score from hw), " + ", ".join(_ROUND.format(i=i, j=i + 1) for i in range(8)) + " " + " union all ".join(f"select * from w{i}" for i in range(8)) + " union all select * from l8"
+)
+def q_greedy_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """One-to-one by sequential greedy; the SQL unrolls eight rounds and keeps what is left visible."""
+    return assign.greedy_one_to_one(_base_scores(spark, d).select("a_id", "b_id", "score"), "a_id", "b_id", [("score", True), ("a_id", False), ("b_id", False)])
+
+
+@query(f"{_RANKED}, f as (select * from r where n = 1) select b_id, arg_min(a_id, {{'s': -score, 'a': a_id}}) as a_id, max(score) as score from f group by b_id")
+def q_best_then_unique(spark: SparkSession, d: str) -> DataFrame:
+    """Each left base gives its best edge; on the right the best of those stays."""
+    best = _base_scores(spark, d).groupBy("a_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "b_title", "b_id")).alias("m"))
+    return best.groupBy(F.col("m.b_id").alias("b_id")).agg(F.min(F.struct("m.s", "a_id")).alias("k")).select("b_id", "k.a_id", (-F.col("k.s")).alias("score"))

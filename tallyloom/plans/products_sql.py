@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.plans.sql import BLANK, sql_fold, sql_key, sql_type
+from tallyloom.plans.sql import BLANK, sql_compact, sql_fold, sql_key, sql_numbered, sql_type
 
 _NORMREF = "regexp_replace(upper({}), '[^A-Z0-9]+', '', 'g')"
 _ALNUM = "regexp_replace({}, '[^a-z0-9]+', '', 'g')"
@@ -49,6 +49,11 @@ REPS = f"""
                    coalesce(nullif(r.distributor, ''), 'SRC') || ':' || coalesce(nullif(r.base_key, ''), {normref('title')}, '') || ':' || right({normref('r.base_url')}, 80) as base_id
             from ranked r join agg a on r.distributor is not distinct from a.distributor and r.brand_or_none = a.brand_or_none and r.base_key = a.base_key and r.base_url = a.base_url where rn = 1)"""
 
+SUMMARY = f"""
+    sk as (select distributor, brand_or_none, base_key, base_url, k, list_sort(list(distinct v)) as vs, min({{'a': nv.row_id, 'b': nv.first}}) as f from nv join prof using (row_id) group by all),
+    sm as (select distributor, brand_or_none, base_key, base_url, string_agg(k || ': ' || len(vs), '; ' order by f) as variant_summary, string_agg(k || ': ' || array_to_string(vs, ' | '), '; ' order by f) as variant_values from sk group by all),
+    r2 as (select r.*, variant_summary, variant_values, array_to_string({_parts('breadcrumb_path')}, ' > ') as crumbs from rep r left join sm s on r.distributor is not distinct from s.distributor and r.brand_or_none = s.brand_or_none and r.base_key = s.base_key and r.base_url = s.base_url)"""
+
 _N = "(\\d+(?:[.,]\\d+)?)"
 
 
@@ -174,3 +179,68 @@ SCORES = f"""
              from conf qualify row_number() over (partition by a_base, b_base, a_id order by confidence desc, b_label, b_id) = 1),
     vm as (select a_base, b_base, a_id, case when confidence >= 0.72 then b_id end as b_id, case when confidence >= 0.72 then d else 'a_variant_without_b_variant' end as decision, case when confidence >= 0.72 then confidence else 0.0 end as confidence from best
            union all select a_base, b_base, null, null, 'missing_variants', 0.0 from pairs p where not exists (select 1 from vf where base_id = a_base) or not exists (select 1 from vf where base_id = b_base))"""
+
+
+_PRIMARY = sql_numbered("concat_ws(' ', nullif(title, ''), nullif(array_to_string(brands, ' | '), ''), nullif(commercial_brand, ''), nullif(product_line, ''), nullif(crumbs, ''), nullif(reference, ''), nullif(synthetic_reference, ''), nullif(base_key, ''), nullif(base_url, ''), nullif(variant_values, ''))")
+_RESPELL = "case w when 'bleu' then 'blue' when 'colour' then 'color' when 'cartridges' then 'cartridge' when 'berries' then 'berry' when 'grapes' then 'grape' when 'fruits' then 'fruit' when 'slices' then 'slice' when 'resistances' then 'resistencia' when 'tips' then 'tip' else w end"
+_NO_MODEL = (
+    "a al and aroma aromas bote by capacidad com cartucho cartridge coil coils con de del deposito dl dla eciglogistica el empty en es fill for fruit full fum glass html http https incluida incluido kit la las los "
+    "longfill concentrado concentrate edition limited mesh meshed ml moon new no nuevo nueva ohm ohmios mao o4v apv pack packs para pc pcs pod pods pyrex recambio replacement repuesto resistencia resistencias serie "
+    "series sin tank updated vaperalia vpm version vacio vacia bar with wonder y"
+).split()
+_CLEAN = "named"
+for _p in (r"\b(\d+)[.,](\d+)\s*ml\b", r"\b\d+(?:[.,]\d+)?\s*ohm\b", r"\b\d+\s*(?:ml|mah|w|pcs|pc|pzs|unidades)\b", r"\bpack\s*(?:de\s*)?\d+\b"):
+    _CLEAN = f"regexp_replace({_CLEAN}, '{_p}', ' ', 'g')"
+_W = "list_sum(list_transform({}, lambda w: case when w in ('dtl', 'ez', 'mtl', 'rba', 'ss') then 1.45::double when regexp_matches(w, '[0-9]') then 1.4 when length(w) <= 2 then 0.75 else 1.0 end))"
+
+
+def _w(lst: str) -> str:
+    return f"coalesce({_W.replace('{}', lst)}, 0.0)"
+
+
+def _first_seen(lst: str) -> str:
+    return f"list_filter({lst}, lambda x, i: list_position({lst}, x) = i)"
+
+
+def _differs(p: str) -> str:
+    fa, fb = (f"list_filter({s}.tokens, lambda w: {p})" for s in "ab")
+    return f"(len(list_filter({fa}, lambda w: not list_contains({fb}, w))) > 0 or len(list_filter({fb}, lambda w: not list_contains({fa}, w))) > 0)"
+
+
+def _clash(x: str, y: str) -> str:
+    return f"(len({x}) > 0 and len({y}) > 0 and len(list_intersect({x}, {y})) = 0)"
+
+
+#: Base pairs with their whole score: needs r2 of SUMMARY; a side is a set of distributors.
+HARDWARE = f"""
+    h0 as (select base_id || '|' || coalesce(brand_found, '') as id, distributor, title, product_type as kind, {_PRIMARY} as prim, {sql_numbered("concat_ws(' ', title, nullif(trim(reference), ''), nullif(trim(synthetic_reference), ''), nullif(trim(base_url), ''))")} as named,
+                  coalesce(nullif(reference, ''), nullif(synthetic_reference, ''), nullif(base_key, ''), '') as ref0, coalesce(nullif(trim(base_key), ''), nullif(trim(synthetic_reference), ''), nullif(trim(reference), '')) as key0,
+                  coalesce(nullif(trim(reference), ''), nullif(trim(synthetic_reference), ''), nullif(trim(base_key), '')) as ref1,
+                  list_filter(regexp_split_to_array({sql_numbered("concat_ws(' ', array_to_string(brands, ' | '), commercial_brand)")}, '[^a-z0-9]+'), lambda w: w <> '') as bw,
+                  list_distinct(list_filter(list_transform(brands, lambda x: {sql_compact('x')}), lambda k: k <> '')) as keys from r2),
+    h1 as (select *, regexp_matches({sql_numbered('ref0')}, '^r[-.\\s]') or regexp_matches(prim, '^\\s*resistencias?\\b') as starts, regexp_matches(prim, '\\bcoils?\\b') as coiled from h0),
+    h2 as (select *, unnest(list_filter([case when starts or coiled or (kind = 'coil' and not (regexp_matches(prim, '\\bpod\\b') and regexp_matches(prim, '\\b(?:replacement|recambio|cartucho|cartridge)\\b'))) then 'coil' end,
+                  case when kind = 'coil' or (kind = 'pod_replacement' and starts) or (kind = 'aroma_concentrate' and regexp_matches(prim, '\\b(?:nicokit|niko|nicotina|nicotine|base\\s*(?:pack|glicerina|pdo|propilenglicol)|glicerina|propilenglicol)\\b')) then null else kind end], lambda x: x is not null)) as block from h1),
+    h3 as (select *, list_transform(list_filter(regexp_split_to_array({_CLEAN}, '[^a-z0-9]+'), lambda w: w <> ''), lambda w: {_RESPELL}) as ws from h2),
+    h4 as (select *, list_filter(ws, lambda w: not list_contains(bw, w) and w not in ({', '.join(f"'{w}'" for w in _NO_MODEL)}) and not regexp_matches(w, '^p\\d+$|^\\d+b$|\\d+ml')
+                  and not (regexp_full_match(w, '[0-9]+') and not (block in ('kit_device', 'mod_device', 'pod_replacement', 'atomizer_tank', 'pyrex') and length(w) = 1)) and not (length(w) = 1 and not regexp_matches(w, '[0-9]') and w not in ('g', 'j', 'm', 'n', 'q', 's', 't', 'x'))) as ts from h3),
+    hf as (select id, distributor, title, block, keys, {_first_seen('ts')} as tokens, list_distinct(list_transform(regexp_extract_all(prim, '\\b(\\d+(?:[.,]\\d+)?)\\s*ml\\b', 1), lambda x: cast(replace(x, ',', '.') as double))) as caps,
+                  list_distinct(list_transform(regexp_extract_all(prim, '\\bpack\\s*(?:de\\s*)?(\\d+)\\b', 1) || regexp_extract_all(prim, '\\b(\\d+)\\s*(?:pcs|pc|pzs|unidades)\\b', 1) || regexp_extract_all(prim, '(?:^|[\\s.-])p(\\d+)(?:$|[\\s.-])', 1), lambda x: cast(x as double))) as packs,
+                  case when block = 'coil' then case when regexp_matches(prim, '\\b(?:adaptador|adapter)\\b') then 'adapter' when regexp_matches(prim, '\\brba\\b') then 'rba' else 'coil' end
+                       when block = 'pod_replacement' then case when regexp_matches({sql_numbered('ref1')}, '^r[-.\\s]') or regexp_matches(prim, '^\\s*resistencias?\\b') then 'coil' when regexp_matches(prim, '\\b(?:adaptador|adapter)\\b') then 'adapter'
+                         when regexp_matches(prim, '\\b(?:boquillas?|drip\\s*tip|filter\\s*tips?|filtro|algodon|pom)\\b') and not regexp_matches(prim, '\\b(?:pod|cartucho|cartridge)\\b') then 'tip' else 'pod' end else block end as subtype,
+                  regexp_matches(prim, '\\b(?:salts?|nicotine\\s*salt|sales)\\b') as salt, nullif({sql_compact(sql_numbered('key0'))}, '') as key, nullif({sql_compact(sql_numbered('ref1'))}, '') as ref, block = 'aroma_concentrate' as aroma from h4),
+    hp as (select distinct a, b from hf a join hf b on a.block = b.block and len(list_intersect(a.keys, b.keys)) > 0 where a.distributor in ('brumacat', 'calimadis', 'humedra') and b.distributor in ('vahoria', 'nubarolia')),
+    hs as (select a.id as a_id, b.id as b_id, b.title as b_title, case
+              when a.subtype <> b.subtype or {_clash('a.caps', 'b.caps')} or (a.aroma and a.salt <> b.salt) or {_clash('a.packs', 'b.packs')} or {_differs("regexp_full_match(w, 'v\\d+[a-z]?')")}
+                or {_differs("w in ('koko', 'legend', 'lite', 'max', 'mini', 'nano', 'plus', 'primal', 'pro') or regexp_full_match(w, 's\\d+[a-z]?')")}
+                or {' or '.join(_clash(f"list_filter(a.tokens, lambda w: w in ('{x}', '{y}'))", f"list_filter(b.tokens, lambda w: w in ('{x}', '{y}'))") for x, y in (('top', 'side'), ('dtl', 'mtl'), ('regular', 'pro')))} then 0.0
+              when a.key = b.key then 1.0
+              when len(list_filter(list_intersect(a.tokens, b.tokens), lambda w: length(w) >= 3 or regexp_matches(w, '[0-9]'))) = 0 or (a.aroma and {_differs('true')}) then 0.0
+              else least(1.0, case when len(list_intersect(a.tokens, b.tokens)) >= 2 and {_w('list_intersect(a.tokens, b.tokens)')} / least({_w('a.tokens')}, {_w('b.tokens')}) >= 0.68 then greatest(raw, 0.72) else raw end
+                   + case when len(list_intersect(a.caps, b.caps)) > 0 then 0.03 else 0.0 end + case when len(list_intersect(a.packs, b.packs)) > 0 then 0.02 else 0.0 end) end::double as score
+           from (select a, b, 0.62 * {_w('list_intersect(a.tokens, b.tokens)')} / {_w('list_distinct(a.tokens || b.tokens)')} + 0.28 * greatest({_w('list_intersect(a.tokens, b.tokens)')} / {_w('a.tokens')}, {_w('list_intersect(a.tokens, b.tokens)')} / {_w('b.tokens')})
+                   + case when contains(array_to_string(a.tokens, ''), array_to_string(b.tokens, '')) or contains(array_to_string(b.tokens, ''), array_to_string(a.tokens, '')) then 0.08 else 0.0 end
+                   + case when contains(a.ref, b.ref) or contains(b.ref, a.ref) then 0.05 else 0.0 end as raw from hp)),
+    hw as (select a_id, b_id, min(b_title) as b_title, round(max(score), 6) as score from hs group by 1, 2 having max(score) >= 0.7199995),
+    ha as (select distinct id as a_id from hf where distributor in ('brumacat', 'calimadis', 'humedra'))"""

@@ -242,72 +242,6 @@ def q_block_pairs(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("brand", "kind").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a_id").alias("a_rows"), F.countDistinct("b_id").alias("b_rows"))
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the distinct name pairs, joined back to the block pairs: names are tokenised and scored once."""
-    a, b = _part_sides(spark, d)
-    pairs = a.join(b.withColumnRenamed("b_size", "size"), ["brand", "kind", "size"])
-    names = pairs.select("a_name", "b_name").distinct()
-    scores = names.withColumns({"ta": S.tokens(F.col("a_name")), "tb": S.tokens(F.col("b_name"))}).select(
-        "a_name", "b_name", F.round(S.hardware_score(F.col("ta"), F.col("tb")), 6).alias("score")
-    )
-    return pairs.join(scores, ["a_name", "b_name"]).select("a_id", "b_id", "brand", "kind", "score")
-
-
-_HW = f"{_SIDES.replace('p_size as b_size', 'p_size as size')}, s as (select a_id, b_id, brand, kind, {sql_hw('a_name', 'b_name')} as score from a join b using (brand, kind, size))"
-
-
-@query(f"{_HW} select score, count(*) as pairs from s group by 1")
-def q_hw_score(spark: SparkSession, d: str) -> DataFrame:
-    return _scored(spark, d).groupBy("score").agg(F.count(F.lit(1)).alias("pairs"))
-
-
-@query(
-    f"{_HW}, r as (select *, row_number() over (partition by a_id order by score desc, b_id) as n from s where score >= 0.72) "
-    "select a.a_id, r.b_id as best, case when r.b_id is null then 'no_match' else 'match' end as decision, r.score from a left join r on r.a_id = a.a_id and r.n = 1"
-)
-def q_best_match(spark: SparkSession, d: str) -> DataFrame:
-    a, _ = _part_sides(spark, d)
-    best = assign.best_and_alternatives(_scored(spark, d).where("score >= 0.72"), "a_id", "b_id", "score", "b_id").select("a_id", "best", F.col("best_score").alias("score"))
-    return a.select("a_id").join(best, "a_id", "left").select("a_id", "best", F.when(F.col("best").isNull(), "no_match").otherwise("match").alias("decision"), "score")
-
-
-@query()
-def q_best_match_full(spark: SparkSession, d: str) -> DataFrame:
-    """q_best_match with the whole score; p_size stands for the capacity. Its parts are tested on the golden cases."""
-    a, b = _part_sides(spark, d)
-    seen = lambda n: H.product_features(F.col(f"{n}_name"), [F.col("brand")], F.col("kind"), more=[F.concat(F.col("size").cast("string"), F.lit(" ml"))])
-    keys = ["brand", "kind", "size"]
-    x, y = a.select("a_id", *keys, seen("a").alias("x")), b.withColumnRenamed("b_size", "size").select("b_id", *keys, seen("b").alias("y"))
-    scored = x.join(y, keys).select("a_id", "b_id", F.round(H.product_pair_score(F.col("x"), F.col("y")), 6).alias("score")).where("score >= 0.72")
-    best = assign.best_and_alternatives(scored, "a_id", "b_id", "score", "b_id").select("a_id", "best", F.col("best_score").alias("score"))
-    return a.select("a_id").join(best, "a_id", "left").select("a_id", "best", F.when(F.col("best").isNull(), "no_match").otherwise("match").alias("decision"), "score")
-
-
-@query(
-    f"{_HW}, r as (select *, row_number() over (partition by a_id order by score desc, b_id) as n from s) select a_id, string_agg(b_id || ':' || printf('%.2f', score), '|' order by n) filter (n between 2 and 6) as alternatives from r group by 1"
-)
-def q_alternatives(spark: SparkSession, d: str) -> DataFrame:
-    return assign.best_and_alternatives(_scored(spark, d), "a_id", "b_id", "score", "b_id").select("a_id", F.nullif("alternatives", F.lit("")).alias("alternatives"))
-
-
-@query()
-def q_greedy_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Exact greedy one-to-one of the block pairs; tested against brute force."""
-    edges = _scored(spark, d).where("score >= 0.72").select("a_id", "b_id", "score")
-    return assign.greedy_one_to_one(edges, "a_id", "b_id", [("score", True), ("a_id", False), ("b_id", False)])
-
-
-@query(
-    f"{_HW}, e as (select a_id, b_id, score, row_number() over (partition by a_id order by score desc, b_id) as n from s where score >= 0.72), f as (select * from e where n = 1) "
-    "select b_id, arg_min(a_id, (-score, a_id)) as a_id, max(score) as score from f group by b_id"
-)
-def q_best_then_unique(spark: SparkSession, d: str) -> DataFrame:
-    """Each left row gives its best edge; on the right the best of those stays."""
-    w, v = Window.partitionBy("a_id").orderBy(F.desc("score"), "b_id"), Window.partitionBy("b_id").orderBy(F.desc("score"), "a_id")
-    best = _scored(spark, d).where("score >= 0.72").withColumn("n", F.row_number().over(w)).where("n = 1")
-    return best.withColumn("m", F.row_number().over(v)).where("m = 1").select("b_id", "a_id", "score")
-
-
 _TFIDF = (
     f"with p as (select p_partkey as id, p_brand, p_type, p_size, unnest(string_split({sql_plain('p_name')} || ' ' || lower(p_type) || ' ' || lower(replace(p_brand, '#', '')), ' ')) as token from part), "
     "tf as (select id, token, count(*) as tf from p group by 1, 2), df as (select token, count(*) as df from tf group by 1), n as (select count(*) as n from part)"
