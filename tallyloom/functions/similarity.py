@@ -65,42 +65,6 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(n > 0, F.size(F.array_intersect(a, b)) / n).otherwise(0.0)
 
 
-def hardware_score(a: Column, b: Column) -> Column:
-    """Weighted Jaccard and containment of two token arrays, with the floor for shared cores."""
-    common, union = F.array_intersect(a, b), F.array_union(a, b)
-    wc, wu, wa, wb = weight_sum(common), weight_sum(union), weight_sum(a), weight_sum(b)
-
-    def scored(s: Column) -> Column:
-        raw = F.when(s["u"] > 0, 0.62 * s["c"] / s["u"] + 0.28 * F.greatest(s["c"] / s["a"], s["c"] / s["b"])).otherwise(0.0)
-        inside = F.array_join(a, " ").contains(F.array_join(b, " ")) | F.array_join(b, " ").contains(F.array_join(a, " "))
-        total = raw + F.when((F.size(a) > 0) & (F.size(b) > 0) & inside, 0.08).otherwise(0.0)
-        core = (F.size(common) >= 2) & (s["c"] / F.least(s["a"], s["b"]) >= 0.68)
-        return F.least(F.lit(1.0), F.when(core, F.greatest(total, F.lit(0.72))).otherwise(total))
-
-    weights = F.struct(wc.alias("c"), wu.alias("u"), F.nullif(wa, F.lit(0.0)).alias("a"), F.nullif(wb, F.lit(0.0)).alias("b"))
-    return F.coalesce(let(weights, scored), F.lit(0.0))
-
-
-def value_similarity(a: Column, b: Column) -> Column:
-    """Ladder over two values: 1 equal or both empty, .35 one empty, then by Jaccard, .45 contained, 0."""
-    x, y = F.coalesce(plain(a), F.lit("")), F.coalesce(plain(b), F.lit(""))
-
-    def ladder(s: Column) -> Column:
-        j = jaccard(F.split(s["x"], " "), F.split(s["y"], " "))
-        return (
-            F.when((s["x"] == "") & (s["y"] == ""), 1.0)
-            .when((s["x"] == "") | (s["y"] == ""), 0.35)
-            .when(s["x"] == s["y"], 1.0)
-            .when(j >= 0.8, 0.95)
-            .when(j >= 0.66, 0.88)
-            .when(j >= 0.5, 0.72)
-            .when(s["x"].contains(s["y"]) | s["y"].contains(s["x"]), 0.45)
-            .otherwise(0.0)
-        )
-
-    return let(F.struct(x.alias("x"), y.alias("y")), ladder)
-
-
 def numeric_similarity(a: Column, b: Column, partial: float = 0.72) -> Column:
     """Two number sets: null without numbers on either side, 1 equal, partial overlapping, 0 disjoint."""
     return (
@@ -116,10 +80,6 @@ def sets_conflict(a: Column, b: Column) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
 
 
-def variant_decision(score: Column) -> Column:
-    return F.when(score >= 0.95, "match").when(score >= 0.72, "possible").otherwise("no_match")
-
-
 def status(decision: Column, confidence: Column, a_missing: Column, b_missing: Column) -> Column:
     """Where a variant pair ends: one side only, valid, probable, impossible or discarded."""
     return (

@@ -100,19 +100,6 @@ def listed(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "[|,]"), F.trim), lambda x: x != "")
 
 
-def strip_suffixes(name: Column, values: Column) -> Column:
-    """name without ` - value` endings, longest values first."""
-    ordered = F.array_sort(values, lambda a, b: F.length(b) - F.length(a))
-    return F.aggregate(
-        ordered,
-        F.trim(name),
-        lambda acc, v: F.when(
-            (F.length(v) > 0) & F.endswith(F.lower(acc), F.concat(F.lit(" - "), F.lower(v))),
-            F.rtrim(F.substring(acc, F.lit(1), F.length(acc) - F.length(v) - 3)),
-        ).otherwise(acc),
-    )
-
-
 def variant_name(c: Column) -> Column:
     """The canonical name of a dimension; others keep their folded name, blank ones are `variante`."""
     k = fold(c)

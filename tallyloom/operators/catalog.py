@@ -132,6 +132,11 @@ def ambiguous(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+def numbered_names(rows: DataFrame, name: str, id_col: str) -> DataFrame:
+    """name, id: one number per distinct name in their order. The names are those of the sides of a catalogue, so few."""
+    return rows.select(name).where(F.col(name).isNotNull()).distinct().withColumn(id_col, F.row_number().over(Window.orderBy(name)).cast("bigint"))
+
+
 def upserted(current: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
     """Full state after merging: of repeated incoming keys the first wins, its filled columns
     replace, missing ones keep; rows absent from incoming stay as they are."""

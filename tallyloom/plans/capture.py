@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import hardware, scraped
+from tallyloom.functions import scraped
 from tallyloom.functions import text as T
 from tallyloom.functions import variants as V
+from tallyloom.operators import catalog, loading, products
 from tallyloom.plans import products_sql as Q
 from tallyloom.plans.sql import BLANK, sql_plain
 from tallyloom.session import table
@@ -109,3 +110,228 @@ def q_capture_urls(spark: SparkSession, d: str) -> DataFrame:
         "row_id", scraped.title_of_slug(scraped.slug_of_url(c("url"))).alias("name_of_url"), scraped.brand_of_url_or_name(c("url"), c("name")).alias("brand_of_name"), scraped.ean_of_url(c("url")).alias("ean_of_url"),
         F.coalesce(scraped.variant_url(c("url"), segments), c("url")).alias("variant_url"), scraped.stripped_prefixes(c("brand")).alias("own_brand"), scraped.reference_suffix(c("reference"), F.substring("reference", 1, 2)).alias("suffix"),
     )
+
+
+# --- master ------------------------------------------------------------------------------------
+_STOP = ", ".join(f"'{w}'" for w in "a and aroma bote botella capacidad coil con de del e el en edition for la las los ml mg nic nicotine ohm pack para pcs pod replacement resistencia salt salts the unidades uds y".split())
+
+
+def _ids(c: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array({sql_plain(f'coalesce({c}, {chr(39) * 2})')}, '[^a-z0-9]+'), lambda w: length(w) > 1 and w not in ({_STOP})))"
+
+
+def _identity(url: str, title: str) -> str:
+    return f"case when len({_ids(title)}) > 0 then len(list_intersect({_ids(title)}, {_ids(f'split_part({url}, {chr(39)}#{chr(39)}, 1)')}))::double / len({_ids(title)}) else 0.0 end"
+
+
+_ROUND = "s{i} as (select *, min(rk) over (partition by a_variant_id) as x, min(rk) over (partition by b_variant_id) as y from l{i}), w{i} as (select a_variant_id, b_variant_id, rk from s{i} where rk = x and rk = y), l{j} as (select a_variant_id, b_variant_id, rk from l{i} where a_variant_id not in (select a_variant_id from w{i}) and b_variant_id not in (select b_variant_id from w{i}))"
+_GUARD = f"""
+    e0 as (select *, a_variant_id || '|||' || b_variant_id as pair_key from variant_match where a_variant_id is not null and b_variant_id is not null qualify row_number() over (partition by a_variant_id, b_variant_id order by match_id) = 1),
+    e1 as (select match_id, a_variant_id, b_variant_id, pair_key, cast(variant_decision = 'match' as int) as reviewed, cast(coalesce(variant_confidence >= 0.95, false) as int) as valid, coalesce(variant_confidence, 0) as confidence, round({_identity('a_url', 'b_title')} + {_identity('b_url', 'a_title')}, 6) as identity from e0),
+    e as (select *, row_number() over (order by reviewed desc, valid desc, confidence desc, identity desc, pair_key) as rk from e1), l0 as (select a_variant_id, b_variant_id, rk from e),
+    {', '.join(_ROUND.format(i=i, j=i + 1) for i in range(10))},
+    won as ({' union all '.join(f'select * from w{i}' for i in range(10))}),
+    g as (select e.*, won.rk is not null as accepted, coalesce(x.rk < e.rk, false) as on_a, coalesce(y.rk < e.rk, false) as on_b from e left join won on won.rk = e.rk left join won x on x.a_variant_id = e.a_variant_id left join won y on y.b_variant_id = e.b_variant_id),
+    guard as (select match_id, pair_key, reviewed, valid, identity, accepted, case when accepted then null when on_a and on_b then 'both' when on_a then 'a' when on_b then 'b' end as conflict_side from g)"""
+
+
+def _guarded(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "variant_match").where("a_variant_id is not null and b_variant_id is not null")
+    cols = ["match_id", "variant_decision", "variant_confidence", "a_url", "a_title", "b_url", "b_title"]
+    first = m.groupBy("a_variant_id", "b_variant_id").agg(F.min(F.struct(*cols)).alias("m")).select("a_variant_id", "b_variant_id", "m.*")
+    identity = loading.url_title_identity(F.col("a_url"), F.col("b_title")) + loading.url_title_identity(F.col("b_url"), F.col("a_title"))
+    edges = first.select(
+        "match_id", "a_variant_id", "b_variant_id", F.concat_ws("|||", "a_variant_id", "b_variant_id").alias("pair_key"), (F.col("variant_decision") == "match").cast("int").alias("reviewed"),
+        F.coalesce(F.col("variant_confidence") >= 0.95, F.lit(False)).cast("int").alias("valid"), F.coalesce("variant_confidence", F.lit(0.0)).alias("confidence"), F.round(identity, 6).alias("identity"),
+    )
+    return loading.master_guard(edges, "a_variant_id", "b_variant_id", ["reviewed", "valid", "confidence", "identity"], "pair_key")
+
+
+@query(f"with {_GUARD} select * from guard")
+def q_master_guard(spark: SparkSession, d: str) -> DataFrame:
+    return _guarded(spark, d).select("match_id", "pair_key", "reviewed", "valid", "identity", "accepted", "conflict_side")
+
+
+_RESOLVE = f"""
+    rows_ as (select row_id, distributor || ':' || row_id as vid, split_part(url, '#', 1) as base, regexp_replace({sql_plain('name')}, '[^a-z0-9]+', '', 'g') as title from product where url is not null),
+    info as (select match_id, a_variant_id, split_part(a_url, '#', 1) as base, regexp_replace({sql_plain('a_title')}, '[^a-z0-9]+', '', 'g') as title from variant_match),
+    t1 as (select vid, min(row_id) as r from rows_ group by 1), t2 as (select base, min(row_id) as r, count(*) as n from rows_ group by 1), t3 as (select base, title, min(row_id) as r from rows_ where title <> '' group by 1, 2 having count(*) = 1)"""
+
+
+@query(
+    f"with {_RESOLVE} select match_id, case when t1.r is not null then 'exact_variant_id' when t2.n = 1 then 'single_url_in_base' when t3.r is not null then 'single_title_in_base' else 'synthetic_output_variant' end as resolution, "
+    "coalesce(t1.r, case when t2.n = 1 then t2.r end, t3.r) as row_id from info left join t1 on t1.vid = a_variant_id left join t2 on t2.base = info.base left join t3 on t3.base = info.base and t3.title = info.title"
+)
+def q_variant_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Prepared variant of side A of every pair: by id, the only one of its address, the only one with its title there, else synthetic."""
+    rows = table(spark, d, "product").where("url is not null").select("row_id", F.concat_ws(":", "distributor", F.col("row_id").cast("string")).alias("vid"), F.substring_index("url", "#", 1).alias("base"), T.compact(F.col("name")).alias("title"))
+    info = table(spark, d, "variant_match").select("match_id", F.col("a_variant_id").alias("vid"), F.substring_index("a_url", "#", 1).alias("base"), T.compact(F.col("a_title")).alias("title"))
+    t1 = rows.groupBy("vid").agg(F.min("row_id").alias("r1"))
+    t2 = rows.groupBy("base").agg(F.min("row_id").alias("r2"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+    t3 = rows.where("title <> ''").groupBy("base", "title").agg(F.min("row_id").alias("r3"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+    out = info.join(t1, "vid", "left").join(t2, "base", "left").join(t3, ["base", "title"], "left")
+    kind = F.when(F.col("r1").isNotNull(), "exact_variant_id").when(F.col("r2").isNotNull(), "single_url_in_base").when(F.col("r3").isNotNull(), "single_title_in_base").otherwise("synthetic_output_variant")
+    return out.select("match_id", kind.alias("resolution"), F.coalesce("r1", "r2", "r3").alias("row_id"))
+
+
+# --- loader ------------------------------------------------------------------------------------
+_PREPARED = f"with {Q.OWN}, {Q.PROFILE}, {Q.REPS}, {Q.VARIANTS}"
+_FLOAT = "try_cast(nullif(regexp_extract(replace(lower({}), ',', '.'), '(\\d+(?:\\.\\d+)?)', 1), '') as double)"
+_TRIMMED = "nullif(regexp_replace({0}, '^{1}+|{1}+$', '', 'g'), '')"
+
+
+def _cut(c: str, n: int) -> str:
+    return f"substr({_TRIMMED.format(c, BLANK)}, 1, {n})"
+
+
+@query(
+    f"""{_PREPARED}, r0 as (select * from vr qualify row_number() over (partition by id order by row_id) = 1),
+        r1 as (select *, coalesce({_TRIMMED.format('sku', BLANK)}, {_TRIMMED.format('reference', BLANK)}, id) as want, case when regexp_matches(reference, '^\\d{{13}}$') then reference end as ean from r0),
+        r2 as (select *, count(*) over (partition by want) as n, count(*) over (partition by ean) as en from r1)
+        select id as source_key, {_cut('base_ratio', 40)} as base_ratio, {_FLOAT.format('bote_ml')} as bottle_ml, {_cut('cafeina', 80)} as caffeine, coalesce(nullif({_FLOAT.format('capacidad')}, 0), nullif({_FLOAT.format('contenido_ml')}, 0), {_FLOAT.format('bote_ml')}) as quantity_ml,
+               {_cut("coalesce(nullif(reference_color, ''), nullif(derived_reference_color, ''), color)", 80)} as color, {_FLOAT.format('contenido_ml')} as content_ml, case when en = 1 then ean end as ean13, {_cut('brand', 120)} as brand, {_FLOAT.format('nicotina')} as nicotine_level,
+               coalesce({_cut('title', 160)}, {_cut('base_title', 160)}, {_cut('id', 160)}) as name, {_cut('resistencia', 80)} as resistance, {_cut('pod_type', 40)} as pod_type, {_cut('product_type', 80)} as product_type, {_cut('sabor', 160)} as flavor,
+               coalesce({', '.join(_cut(c, 120) for c in ('tamano', 'variant_label', 'variant_signature', 'capacidad', 'contenido_ml', 'bote_ml', 'resistencia', 'color'))}, 'unidad') as size,
+               case when n = 1 and length(want) <= 120 then want else substr(want, 1, 107) || '-' || substr(sha256(id), 1, 12) end as sku from r2"""
+)
+def q_reference_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the reference table: cut texts, numbers, size, unique SKU and EAN."""
+    v = products.variant_rows(table(spark, d, "product"))
+    one = v.groupBy("id").agg(F.min_by(F.struct(*[c for c in v.columns if c != "id"]), "row_id").alias("v")).select("id", "v.*")
+    c, cut, num = F.col, loading.cut, loading.number_in
+    skus = loading.unique_skus(one, "id", F.coalesce(cut(c("sku"), 10_000), cut(c("reference"), 10_000)))
+    eans = one.where(c("reference").rlike(r"^\d{13}$")).groupBy("reference").agg(F.count(F.lit(1)).alias("en")).where("en = 1").select(c("reference").alias("ean13"), c("reference"))
+    positive = lambda x: F.when(x != 0, x)
+    sizes = ("tamano", "variant_label", "variant_signature", "capacidad", "contenido_ml", "bote_ml", "resistencia", "color")
+    return one.drop("sku").join(skus, "id").join(eans, "reference", "left").select(
+        c("id").alias("source_key"), cut(c("base_ratio"), 40).alias("base_ratio"), num(c("bote_ml")).alias("bottle_ml"), cut(c("cafeina"), 80).alias("caffeine"), F.coalesce(positive(num(c("capacidad"))), positive(num(c("contenido_ml"))), num(c("bote_ml"))).alias("quantity_ml"),
+        cut(F.coalesce(products.some(c("reference_color")), products.some(c("derived_reference_color")), c("color")), 80).alias("color"), num(c("contenido_ml")).alias("content_ml"), "ean13", cut(c("brand"), 120).alias("brand"), num(c("nicotina")).alias("nicotine_level"),
+        F.coalesce(cut(c("title"), 160), cut(c("base_title"), 160), cut(c("id"), 160)).alias("name"), cut(c("resistencia"), 80).alias("resistance"), cut(c("pod_type"), 40).alias("pod_type"), cut(c("product_type"), 80).alias("product_type"), cut(c("sabor"), 160).alias("flavor"),
+        F.coalesce(*[cut(c(k), 120) for k in sizes], F.lit("unidad")).alias("size"), "sku",
+    )
+
+
+_LINKS = f"{_PREPARED}, dist as (select distributor, row_number() over (order by distributor) as distributor_id from (select distinct distributor from vr where distributor is not null)), lk as (select row_id, base_id, distributor, substr(url, 1, 2048) as url, substr(base_url, 1, 2048) as base_url, coalesce({_cut('variant_label', 255)}, {_cut('variant_signature', 255)}, {_cut('reference', 255)}, 'unidad') as variant, {_cut('title', 255)} as name from vr)"
+
+
+@query(f"{_LINKS} select row_id, distributor_id, url, base_url, variant, name, count(*) over (partition by distributor, url, variant) > 1 as ambiguous from lk left join dist using (distributor)")
+def q_link_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the link table; those that share distributor, address and variant are ambiguous and not loaded."""
+    links = _links(spark, d)
+    same = links.groupBy("distributor", "url", "variant").agg(F.count(F.lit(1)).alias("n"))
+    on = F.expr("a.distributor <=> b.distributor and a.url <=> b.url and a.variant <=> b.variant")
+    ids = catalog.numbered_names(links, "distributor", "distributor_id")
+    return links.alias("a").join(same.alias("b"), on).select("a.*", (F.col("b.n") > 1).alias("ambiguous")).join(ids, "distributor", "left").select("row_id", "distributor_id", "url", "base_url", "variant", "name", "ambiguous")
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    v = products.variant_rows(table(spark, d, "product"))
+    cut, c = loading.cut, F.col
+    variant = F.coalesce(cut(c("variant_label"), 255), cut(c("variant_signature"), 255), cut(c("reference"), 255), F.lit("unidad"))
+    return v.select("row_id", "base_id", "distributor", F.substring("url", 1, 2048).alias("url"), F.substring("base_url", 1, 2048).alias("base_url"), variant.alias("variant"), cut(c("title"), 255).alias("name"), "title")
+
+
+_MERGE = f"""{_LINKS}, re as (select base_id, min(row_id) as reference_id, min_by(regexp_replace({sql_plain('name')}, '[^a-z0-9]+', '', 'g'), row_id) as grp from lk group by 1),
+    dep as (select reference_id, count(*) as d from variant_match m join lk on lk.row_id = try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) join re using (base_id) group by 1),
+    gr as (select grp, count(*) as members, count(*) filter (d > 0) as referenced, min(reference_id) filter (d > 0) as rr, min(reference_id) as mm from re left join dep using (reference_id) where grp is not null group by 1 having count(*) > 1),
+    sl as (select grp, distributor, variant, count(*) as n, count(distinct lk.base_url) as urls from lk join re using (base_id) join gr using (grp) group by 1, 2, 3),
+    ss as (select grp, sum(n) as links, count(*) filter (n > 1) as collisions, count(*) filter (n > 1 and urls > 1) as differing, sum(n - 1) as redundant from sl group by 1),
+    fin as (select *, case when referenced > 1 then 'multiple_references_have_business_dependencies' when collisions > 0 and ({{}} or differing > 0) then 'distributor_variant_collision' end as reason from gr join ss using (grp))
+    select grp as "group", members, referenced, case when reason is null then case when referenced = 1 then rr else mm end end as survivor, reason is null as merged, reason, cast(links as bigint) as links, cast(case when reason is null then redundant else 0 end as bigint) as deleted from fin"""
+
+
+def _merges(spark: SparkSession, d: str, dedupe: bool) -> DataFrame:
+    links = _links(spark, d)
+    first = links.groupBy("base_id").agg(F.min("row_id").alias("reference_id"), F.min_by(T.compact(F.col("name")), "row_id").alias("group"))
+    of_base = links.join(first, "base_id")
+    row = F.regexp_extract("a_variant_id", r"(\d+)$", 1).try_cast("bigint")
+    deps = table(spark, d, "variant_match").select(row.alias("row_id")).join(of_base.select("row_id", "reference_id"), "row_id").select("reference_id")
+    return loading.safe_merges(
+        first.where(F.col("group").isNotNull()).select("group", "reference_id"), of_base.select(F.col("row_id").alias("link_id"), "reference_id", "distributor", "variant", F.col("base_url").alias("url")), deps, dedupe
+    )
+
+
+@query(_MERGE.replace("({} or", "(true or"))
+def q_safe_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Bases of one title merged into one reference where nothing forbids it."""
+    return _merges(spark, d, dedupe=False)
+
+
+@query(_MERGE.replace("({} or", "(false or"))
+def q_safe_merge_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    """As q_safe_merge, where links equal but for the id may be deleted."""
+    return _merges(spark, d, dedupe=True)
+
+
+# --- reports -----------------------------------------------------------------------------------
+_FINDINGS = f"""with {_GUARD}, fi as (
+    select 'model_rejected_match' as type, 'ledger' as source, 'match:' || match_id as id, coalesce(reason, '') as reason, true as review from variant_match where variant_decision = 'no_match'
+    union all select 'master_cardinality_rejected', 'master', 'match:' || match_id, coalesce(conflict_side, ''), true from guard where not accepted
+    union all select 'ambiguous_links', 'loader', a_variant_id || '|' || b_variant_id, cast(count(*) as varchar), false from variant_match where a_variant_id is not null and b_variant_id is not null group by a_variant_id, b_variant_id having count(*) > 1
+    union all select 'pair_disagreement', 'evaluation', 'pair:' || pair_id, string_agg(distinct verdict, '/' order by verdict), true from pair_spec where verdict is not null group by pair_id having count(distinct verdict) > 1)"""
+
+
+def _findings(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "variant_match")
+    shape = lambda df, kind, source, i, reason, review: df.select(F.lit(kind).alias("type"), F.lit(source).alias("source"), i.alias("id"), F.coalesce(reason, F.lit("")).alias("reason"), F.lit(review).alias("review"))
+    numbered = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    double = catalog.ambiguous(m.where("a_variant_id is not null and b_variant_id is not null"), ["a_variant_id", "b_variant_id"])
+    torn = table(spark, d, "pair_spec").where("verdict is not null").groupBy("pair_id").agg(F.array_sort(F.collect_set("verdict")).alias("v")).where(F.size("v") > 1)
+    return (
+        shape(m.where("variant_decision = 'no_match'"), "model_rejected_match", "ledger", numbered("match:", "match_id"), F.col("reason"), True)
+        .unionByName(shape(_guarded(spark, d).where("not accepted"), "master_cardinality_rejected", "master", numbered("match:", "match_id"), F.col("conflict_side"), True))
+        .unionByName(shape(double, "ambiguous_links", "loader", F.concat_ws("|", "a_variant_id", "b_variant_id"), F.col("rows").cast("string"), False))
+        .unionByName(shape(torn, "pair_disagreement", "evaluation", numbered("pair:", "pair_id"), F.array_join("v", "/"), True))
+    )
+
+
+@query(f"{_FINDINGS} select type, source, id, reason, review from fi")
+def q_findings(spark: SparkSession, d: str) -> DataFrame:
+    return _findings(spark, d)
+
+
+@query(f"{_FINDINGS} select type, count(*) as findings, count(*) filter (review) as requires_review, min(id) as first_id from fi group by 1")
+def q_findings_by_type(spark: SparkSession, d: str) -> DataFrame:
+    return _findings(spark, d).groupBy("type").agg(F.count(F.lit(1)).alias("findings"), F.count_if("review").alias("requires_review"), F.min("id").alias("first_id"))
+
+
+def _batch_sql(where: str, name: str) -> str:
+    return f"""{name}0 as (select *, cast(floor((row_number() over (partition by base_match_a_id order by match_id) - 1) / 20) as bigint) as batch from variant_match where base_match_a_id is not null and {where}),
+        {name} as (select base_match_a_id, batch, count(*) as rows, sha256('model=m1;effort=high' || chr(10) || string_agg(concat_ws('|', cast(match_id as varchar), coalesce(a_title, ''), coalesce(b_title, ''), coalesce(a_variant, ''), coalesce(b_variant, '')), chr(10) order by match_id)) as key from {name}0 group by 1, 2)"""
+
+
+@query(
+    f"with {_batch_sql('true', 'w')}, {_batch_sql('variant_confidence is not null', 's')} select w.*, case when s.key is null then 'run' when s.key = w.key then 'reuse' else 'rerun' end as action from w left join s using (base_match_a_id, batch)"
+)
+def q_checkpoint_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Review batches per base and which of them an earlier run (rows that have a confidence) already answered."""
+    m = table(spark, d, "variant_match").where("base_match_a_id is not null")
+    make = lambda df: loading.batches(df, "base_match_a_id", "match_id", ["a_title", "b_title", "a_variant", "b_variant"], 20, "model=m1;effort=high")
+    return loading.checkpoint_plan(make(m), make(m.where("variant_confidence is not null")), ["base_match_a_id", "batch"])
+
+
+_LATEST = "select pair_id, arg_max(verdict, {'t': reviewed_at, 'v': verdict}) as verdict from pair_spec where verdict is not null and reviewed_at is not null group by 1"
+
+
+@query(
+    f"with t as ({_LATEST}), p as (select match_id as pair_id, case when variant_decision = 'match' then 'SAME' else 'DIFFERENT' end as verdict from variant_match) "
+    "select coalesce(t.verdict, 'none') as verdict, count(*) as pairs, count(*) filter (t.verdict = p.verdict) as passed, count(*) filter (t.verdict <> p.verdict) as failed, count(*) filter (t.verdict is not null and p.verdict is null) as missing, count(*) filter (t.verdict is null) as unexpected "
+    "from t full join p using (pair_id) group by 1"
+)
+def q_eval_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Last verdict of every pair against the decision of the match of that number."""
+    s = table(spark, d, "pair_spec").where("verdict is not null and reviewed_at is not null")
+    truth = s.groupBy("pair_id").agg(F.max(F.struct("reviewed_at", "verdict")).getField("verdict").alias("verdict"))
+    predicted = table(spark, d, "variant_match").select(F.col("match_id").alias("pair_id"), F.when(F.col("variant_decision") == "match", "SAME").otherwise("DIFFERENT").alias("verdict"))
+    return loading.review_report(truth, predicted, "pair_id")
+
+
+@query(
+    "with n as (select s.pair_id, count(p.row_id) as rows, min(p.row_id) as row_id from (select distinct pair_id, b_url from pair_spec) s left join product p on p.url = s.b_url group by 1) "
+    "select pair_id, rows, case when rows = 1 then row_id end as row_id, case when rows = 0 then 'missing' when rows = 1 then 'selected' else 'ambiguous' end as outcome from n"
+)
+def q_eval_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The captured row of every pair's side B, which must be exactly one."""
+    s = table(spark, d, "pair_spec").select("pair_id", F.col("b_url").alias("url")).distinct()
+    n = s.join(table(spark, d, "product").select("url", "row_id"), "url", "left").groupBy("pair_id").agg(F.count("row_id").alias("rows"), F.min("row_id").alias("r"))
+    return n.select("pair_id", "rows", F.when(F.col("rows") == 1, F.col("r")).alias("row_id"), F.when(F.col("rows") == 0, "missing").when(F.col("rows") == 1, "selected").otherwise("ambiguous").alias("outcome"))

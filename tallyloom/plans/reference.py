@@ -9,8 +9,10 @@ from tallyloom.functions import hardware as H
 from tallyloom.functions import rescue as R
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
+from tallyloom.functions import variants as V
 from tallyloom.operators import assign, candidates, catalog, snapshots
-from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_group, sql_hw, sql_key, sql_numbers, sql_plain, sql_similarity, sql_status, sql_type, sql_weight
+from tallyloom.plans import products_sql as Q
+from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_group, sql_key, sql_numbers, sql_plain, sql_status, sql_type, sql_weight
 from tallyloom.session import table
 from tallyloom.sources import files
 
@@ -151,9 +153,14 @@ def _decision():
     return F.col("variant_decision")
 
 
-@query(f"select match_id, {sql_similarity('a_title', 'b_title')} as similarity from variant_match")
+@query(
+    f"select match_id, case when ka = '' and kb = '' then 1.0 when ka = '' or kb = '' then 0.35 when ka = kb then 1.0 when j >= 0.8 then 0.95 when j >= 0.66 then 0.88 when j >= 0.5 then 0.72 when inside and soft then 0.86 when inside then 0.45 else 0.0 end::double as similarity "
+    f"from (select *, contains(ka, kb) or contains(kb, ka) as inside, case when len(list_distinct(wa || wb)) > 0 then len(list_filter(wa, lambda w: list_contains(wb, w)))::double / len(list_distinct(wa || wb)) else 0.0 end as j, "
+    "len(list_filter(list_filter(wa, lambda w: not list_contains(wb, w)) || list_filter(wb, lambda w: not list_contains(wa, w)), lambda w: w not in ('dark', 'light', 'metal', 'metallic'))) = 0 as soft "
+    f"from (select match_id, {Q._keyed('a_title')} as ka, {Q._keyed('b_title')} as kb, {Q.words('a_title')} as wa, {Q.words('b_title')} as wb from variant_match))"
+)
 def q_value_similarity(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "variant_match").select("match_id", S.value_similarity(F.col("a_title"), F.col("b_title")).alias("similarity"))
+    return table(spark, d, "variant_match").select("match_id", V.value_similarity(F.col("a_title"), F.col("b_title")).alias("similarity"))
 
 
 @query(
@@ -333,16 +340,21 @@ def q_rescue_score_full(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- joins, merges, coverage ---------------------------------------------------------------------
-@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select row_id, url from product where url is not null and url not in (select url from catalog_snapshot where url is not null and snapshot_no is not null and category is not null)")
 def q_coverage_anti(spark: SparkSession, d: str) -> DataFrame:
-    covered = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return catalog.unmatched(table(spark, d, "customer").select("c_custkey", "c_name"), covered, "c_custkey")
+    """Captured rows whose address no delivered listing with a category covers."""
+    covered = table(spark, d, "catalog_snapshot").where("url is not null and snapshot_no is not null and category is not null")
+    return catalog.unmatched(table(spark, d, "product").where("url is not null").select("row_id", "url"), covered, "url")
 
 
-@query("select s_suppkey from supplier where s_suppkey not in (select l_suppkey from lineitem where l_returnflag = 'R' and l_quantity > 49)")
+@query(
+    "select distributor || ':' || row_id as id from product where row_id not in (select try_cast(regexp_extract(v, '(\\d+)$', 1) as bigint) from (select a_variant_id as v from variant_match union all select b_variant_id from variant_match) where v is not null)"
+)
 def q_inverse_anti(spark: SparkSession, d: str) -> DataFrame:
-    covered = table(spark, d, "lineitem").where("l_returnflag = 'R' and l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
-    return catalog.unmatched(table(spark, d, "supplier").select("s_suppkey"), covered, "s_suppkey")
+    """Captured variants that no match covers on either side."""
+    m = table(spark, d, "variant_match").select(F.explode(F.array("a_variant_id", "b_variant_id")).alias("v"))
+    covered = m.select(F.regexp_extract("v", r"(\d+)$", 1).try_cast("bigint").alias("row_id")).where("row_id is not null")
+    return catalog.unmatched(table(spark, d, "product").select("row_id", F.concat_ws(":", "distributor", F.col("row_id").cast("string")).alias("id")), covered, "row_id").select("id")
 
 
 _RANK = "case o_orderstatus when 'F' then 4 when 'O' then 3 when 'P' then 2 else 1 end"
@@ -407,12 +419,13 @@ def q_tier_resolve(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"with a as (select {sql_compact('name')} as k, count(*) as n from product where distributor = 'humedra' and name is not null group by 1), b as (select {sql_compact('name')} as k, count(*) as n from product where distributor = 'vahoria' and name is not null group by 1) "
+    f"with a as (select {sql_compact('name')} as k, count(*) as n from product where name is not null group by 1), b as (select {sql_compact('b_title')} as k, count(*) as n from variant_match where b_title is not null group by 1) "
     "select k, case when b.n is null then 'a_only' when a.n is null then 'b_only' else 'both' end as side, coalesce(a.n, 0) as a_rows, coalesce(b.n, 0) as b_rows from a full join b using (k)"
 )
 def q_master_three_way(spark: SparkSession, d: str) -> DataFrame:
-    side = lambda s: table(spark, d, "product").where((F.col("distributor") == s) & F.col("name").isNotNull()).select(T.compact(F.col("name")).alias("k"))
-    return catalog.three_way(side("humedra"), side("vahoria"), "k")
+    """Captured names against the matched titles of side B."""
+    names = table(spark, d, "product").where("name is not null").select(T.compact(F.col("name")).alias("k"))
+    return catalog.three_way(names, table(spark, d, "variant_match").where("b_title is not null").select(T.compact(F.col("b_title")).alias("k")), "k")
 
 
 # --- identity ---------------------------------------------------------------------------------------
@@ -443,24 +456,24 @@ def q_ambiguous_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "with c as (select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderdate < timestamp '2000-01-01'), i as (select o_orderkey, o_orderpriority as o_orderstatus, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 3 = 0) "
-    "select coalesce(c.o_orderkey, i.o_orderkey) as o_orderkey, coalesce(i.o_orderstatus, c.o_orderstatus) as o_orderstatus, coalesce(i.o_totalprice, c.o_totalprice) as o_totalprice, "
-    "case when c.o_orderkey is null then 'insert' when i.o_orderkey is null then 'keep' else 'update' end as action from c full join i on c.o_orderkey = i.o_orderkey"
+    "with c as (select row_id, name, category from product), i as (select listing_id as row_id, name, category from catalog_snapshot where listing_id is not null qualify row_number() over (partition by listing_id order by snapshot_no, captured_at nulls first, name nulls first, category nulls first) = 1) "
+    "select coalesce(c.row_id, i.row_id) as row_id, coalesce(i.name, c.name) as name, coalesce(i.category, c.category) as category, case when c.row_id is null then 'insert' when i.row_id is null then 'keep' else 'update' end as action from c full join i on c.row_id = i.row_id"
 )
 def q_upsert_merge(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    current = o.where("o_orderdate < timestamp '2000-01-01'").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    incoming = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.col("o_orderpriority").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
-    return catalog.upserted(current, incoming, "o_orderkey", ["o_orderstatus", "o_totalprice"], "o_totalprice")
+    """Captured rows merged with the first delivered row of every listing."""
+    first = F.struct("snapshot_no", "captured_at", "name", "category")
+    incoming = table(spark, d, "catalog_snapshot").where("listing_id is not null").groupBy(F.col("listing_id").alias("row_id")).agg(F.min(first).alias("m")).select("row_id", "m.name", "m.category", F.lit(0).alias("o"))
+    return catalog.upserted(table(spark, d, "product").select("row_id", "name", "category"), incoming, "row_id", ["name", "category"], "o")
 
 
 @query(
-    "with m as (select c_nationkey as g, c_custkey as id from customer), d as (select o_custkey as id, count(*) as n from orders where o_totalprice > 499000 group by 1), x as (select g, count(*) as members, count(*) filter (n > 0) as referenced, min(id) filter (n > 0) as r, min(id) as l from m left join d using (id) group by 1) "
-    "select g as c_nationkey, members, referenced, case when referenced = 1 then r when referenced = 0 then l end as survivor from x"
+    "with m as (select url as g, row_id as id from product where url is not null), d as (select try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) as id, count(*) as n from variant_match group by 1), x as (select g, count(*) as members, count(*) filter (n > 0) as referenced, min(id) filter (n > 0) as r, min(id) as l from m left join d using (id) group by 1) "
+    "select g as url, members, referenced, case when referenced = 1 then r when referenced = 0 then l end as survivor from x"
 )
 def q_merge_survivor(spark: SparkSession, d: str) -> DataFrame:
-    deps = table(spark, d, "orders").where("o_totalprice > 499000").select(F.col("o_custkey").alias("c_custkey"))
-    return catalog.merge_survivors(table(spark, d, "customer").select("c_nationkey", "c_custkey"), "c_nationkey", "c_custkey", deps)
+    """Per address the captured row that survives; matches are the dependents."""
+    deps = table(spark, d, "variant_match").select(F.regexp_extract("a_variant_id", r"(\d+)$", 1).try_cast("bigint").alias("row_id")).where("row_id is not null")
+    return catalog.merge_survivors(table(spark, d, "product").where("url is not null").select("url", "row_id"), "url", "row_id", deps)
 
 
 # --- JSON, pages, maps, checks ------------------------------------------------------------------------
@@ -495,32 +508,16 @@ def q_contract_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "select url, count(*) filter (snapshot_no = 1) as old_rows, count(*) filter (snapshot_no = 2) as new_rows, case when count(*) filter (snapshot_no = 1) = 0 then 'added' when count(*) filter (snapshot_no = 2) = 0 then 'missing' "
-    "when count(*) filter (snapshot_no = 1) <> count(*) filter (snapshot_no = 2) then 'row_count' else 'same' end as outcome from catalog_snapshot where snapshot_no in (1, 2) group by 1"
+    "with seq as (select distributor, snapshot_no, row_number() over w as i, lead(snapshot_no) over w as next_no from (select distinct distributor, snapshot_no from snapshot_delivery) window w as (partition by distributor order by snapshot_no)), "
+    "l as (select distributor, snapshot_no, url, count(*) as n from catalog_snapshot group by 1, 2, 3), u as (select l.distributor, l.snapshot_no, url, 0 as o, n as k from l join seq using (distributor, snapshot_no) where i > 1 "
+    "union all select l.distributor, next_no, url, n, 0 from l join seq using (distributor, snapshot_no) where next_no is not null), g as (select distributor, snapshot_no, url, cast(sum(o) as bigint) as old_rows, cast(sum(k) as bigint) as new_rows from u group by 1, 2, 3) "
+    "select *, case when old_rows = 0 then 'added' when new_rows = 0 then 'missing' when old_rows <> new_rows then 'row_count' else 'same' end as outcome from g"
 )
 def q_snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "catalog_snapshot").where("snapshot_no in (1, 2)")
-    g = s.groupBy("url").agg(F.count_if(F.col("snapshot_no") == 1).alias("old_rows"), F.count_if(F.col("snapshot_no") == 2).alias("new_rows"))
-    outcome = F.when(F.col("old_rows") == 0, "added").when(F.col("new_rows") == 0, "missing").when(F.col("old_rows") != F.col("new_rows"), "row_count").otherwise("same")
-    return g.withColumn("outcome", outcome)
-
-
-@query()
-def q_snapshot_diff_all(spark: SparkSession, d: str) -> DataFrame:
-    """q_snapshot_diff for every delivery after a distributor's first, against its preceding delivery."""
+    """Captured rows per address in every delivery after a distributor's first, against its preceding delivery."""
     return snapshots.url_row_counts(table(spark, d, "catalog_snapshot"), table(spark, d, "snapshot_delivery"))
 
 
-@query(
-    "with p as (select pair_id, verdict, case when spec_set like '%control%' then 'SAME' else 'DIFFERENT' end as predicted from pair_spec) select coalesce(verdict, 'none') as verdict, count(*) as pairs, count(*) filter (verdict = predicted) as passed, count(*) filter (verdict <> predicted) as failed from p group by 1"
-)
-def q_eval_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "pair_spec").withColumn("predicted", F.when(F.col("spec_set").contains("control"), "SAME").otherwise("DIFFERENT"))
-    return p.groupBy(F.coalesce("verdict", F.lit("none")).alias("verdict")).agg(
-        F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("verdict") == F.col("predicted")).alias("passed"), F.count_if(F.col("verdict") != F.col("predicted")).alias("failed")
-    )
-
-
 @query(
     "select variant_decision, count(*) as rows, count(distinct base_match_a_id) as products, count(*) filter (variant_confidence >= 0.95) as sure, count(*) filter (b_variant_id is null) as a_only from variant_match group by 1"
 )
@@ -559,7 +556,7 @@ def q_top_250(spark: SparkSession, d: str) -> DataFrame:
     return assign.top_k(table(spark, d, "variant_match").select("match_id", "variant_confidence", "reason"), 250, F.desc_nulls_last("variant_confidence"), F.asc("match_id"))
 
 
-@query()
+@query("select distinct concat_ws('|', cast(user_id as varchar), cast(cast(ts as date) as varchar), event_type) as k from events")
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """First event of every user, day and type, read as a stream until its end; a test compares it with a batch."""
     import uuid

@@ -84,38 +84,8 @@ def sql_status() -> str:
     )
 
 
-def sql_similarity(a: str, b: str) -> str:
-    x, y = f"coalesce({sql_plain(a)}, '')", f"coalesce({sql_plain(b)}, '')"
-    la, lb = f"string_split({x}, ' ')", f"string_split({y}, ' ')"
-    j = f"(length(list_intersect({la}, {lb}))::double / length(list_distinct({la} || {lb})))"
-    return (
-        f"(case when {x} = '' and {y} = '' then 1.0 when {x} = '' or {y} = '' then 0.35 when {x} = {y} then 1.0 when {j} >= 0.8 then 0.95 when {j} >= 0.66 then 0.88 "
-        f"when {j} >= 0.5 then 0.72 when contains({x}, {y}) or contains({y}, {x}) then 0.45 else 0.0 end)::double"
-    )
-
-
 def sql_weight(w: str) -> str:
     return f"(case when {w} in ({', '.join(repr(x) for x in S.SPECIAL)}) then 1.45 when regexp_matches({w}, '[0-9]') then 1.4 when length({w}) <= 2 then 0.75 else 1.0 end)::double"
 
 
-def sql_hw(a: str, b: str) -> str:
-    """The hardware score of two names without roman numerals or generic words."""
-
-    stop = ", ".join(repr(w) for w in S.GENERIC)
-
-    def toks(c: str) -> str:
-        return f"list_filter(string_split({sql_plain(c)}, ' '), lambda w: w not in ({stop}))"
-
-    def total(lst: str) -> str:
-        return f"coalesce(list_sum(list_transform({lst}, lambda w: {sql_weight('w')})), 0.0)"
-
-    ta, tb = toks(a), toks(b)
-    c, u = f"list_intersect({ta}, {tb})", f"list_distinct({ta} || {tb})"
-    raw = f"0.62 * {total(c)} / nullif({total(u)}, 0) + 0.28 * greatest({total(c)} / nullif({total(ta)}, 0), {total(c)} / nullif({total(tb)}, 0))"
-    ja, jb = (f"array_to_string({t}, ' ')" for t in (ta, tb))
-    inside = f"case when length({ta}) > 0 and length({tb}) > 0 and (contains({ja}, {jb}) or contains({jb}, {ja})) then 0.08 else 0.0 end"
-    core = f"length({c}) >= 2 and {total(c)} / least({total(ta)}, {total(tb)}) >= 0.68"
-    return f"coalesce(round(least(1.0, case when {core} then greatest({raw} + {inside}, 0.72) else {raw} + {inside} end)::double, 6), 0.0)"
-
-
 COLOURS_SQL = "coalesce(lower(trim(variants['Colour'])), lower(trim(variants['Color'])), lower(trim(variants['COLOR'])), lower(trim(variants['color de referencia'])))"

@@ -3,8 +3,9 @@ import random
 from pyspark.sql import functions as F
 
 from tallyloom.functions import similarity as S
+from tallyloom.functions import variants as V
 from tallyloom.functions import text as T
-from tallyloom.operators import assign, catalog
+from tallyloom.operators import assign, catalog, products
 from tallyloom.sources import files, sinks
 
 
@@ -16,15 +17,15 @@ def test_text(spark):
     assert one(spark, T.canonical_url(F.col("u")), u="https://x/a/?utm_source=1&page=2#t") == "https://x/a?page=2"
     assert one(spark, T.ean13(F.col("u")), u="2000001256992") == "2000001256992"
     assert one(spark, T.ean13(F.col("u")), u="2000001256991") is None
-    assert one(spark, T.strip_suffixes(F.col("u"), F.array(F.lit("10 ml"), F.lit("red"))), u="Kit - red - 10 ml") == "Kit"
-    assert one(spark, T.variant_key(F.col("u")), u="Tamaño") == "capacidad"
+    assert one(spark, products.stripped_title(F.col("u"), F.create_map(F.lit("a"), F.lit("10 ml"), F.lit("b"), F.lit("red"))), u="Kit - RED - 10 ml") == "Kit"
+    assert one(spark, T.variant_name(F.col("u")), u="Tamaño") == "capacidad"
     assert one(spark, T.redacted_diagnostics(F.col("u")), u="x a@b.es api_key=zz") == "x [EMAIL_REDACTED] api_key=[REDACTED]"
 
 
 def test_similarity(spark):
-    pairs = [("", "", 1.0), ("red", "", 0.35), ("dark red", "red", 0.72), ("a b c d", "e", 0.0)]
+    pairs = [("", "", 1.0), ("red", "", 0.35), ("Grey", "gray", 1.0), ("matte", "mattered", 0.45), ("dark red", "red", 0.72), ("a b c d", "e", 0.0)]
     for a, b, want in pairs:
-        assert one(spark, S.value_similarity(F.col("a"), F.col("b")), a=a, b=b) == want
+        assert one(spark, V.value_similarity(F.col("a"), F.col("b")), a=a, b=b) == want
     assert one(spark, S.numeric_similarity(S.numeric_set(F.col("a"), "ohm"), S.numeric_set(F.col("b"), "ohm")), a="0.6 ohm", b="0.6 ohm - 0.8 ohm") == 0.72
     assert one(spark, S.numeric_similarity(S.numeric_set(F.col("a"), "ohm"), S.numeric_set(F.col("b"), "ohm")), a="0.6 ohm", b="0.8 ohm") == 0.0
     assert one(spark, S.js_round(F.col("x")), x=1.005) == 1.0
