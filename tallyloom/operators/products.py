@@ -19,7 +19,7 @@ GENERIC_CRUMBS = (
 # Types that are liquids, and those that may hold nicotine.
 LIQUIDS = ["aroma_concentrate", "eliquid", "nicotine_salt", "base_booster"]
 NICOTINE = ["eliquid", "nicotine_salt", "base_booster"]
-GROUP = ["distributor", "brand_or_none", "base_key", "base_url"]
+GROUP = ["side", "brand_or_none", "base_key", "base_url"]
 _ML = r"(\d+(?:[.,]\d+)?)\s*ml"
 
 
@@ -94,8 +94,9 @@ def profiled(p: DataFrame) -> DataFrame:
         {
             "brands": unique_spellings(F.concat(F.coalesce("brand_candidates", F.array().cast("array<string>")), crumbs)),
             "product_type": product_kind(F.col("name"), F.col("category"), F.col("category_id"), F.col("reference"), F.col("synthetic_reference"), F.col("variants")),
-            "base_key": F.coalesce(some(ref), T.reference_key(url)),
+            "base_key": F.coalesce(some(ref), T.reference_key(url), F.lit("")),
             "base_url": url,
+            "side": F.coalesce("distributor", F.lit("")),
             "brand_or_none": F.coalesce(some(F.col("brand_found")), F.lit("NO_BRAND")),
         }
     )
@@ -108,7 +109,7 @@ def base_id(distributor: Column, key: Column, title: Column, url: Column) -> Col
 def _representatives(rows: DataFrame) -> DataFrame:
     """Per base group the row with the shortest title, then the first name and row_id, with counts and prices."""
     price = F.when(~F.isnan("price_tax_excluded"), F.col("price_tax_excluded"))
-    held = ["row_id", "title", "name", "description", "meta_description", "category", "brand_found", "brands", "commercial_brand", "product_line", "breadcrumb_path", "reference", "synthetic_reference", "product_type"]
+    held = ["row_id", "distributor", "title", "name", "description", "meta_description", "category", "brand_found", "brands", "commercial_brand", "product_line", "breadcrumb_path", "reference", "synthetic_reference", "product_type"]
     return rows.groupBy(*GROUP).agg(
         F.min_by(F.struct(*held), F.struct(F.length("title"), "name", "row_id")).alias("rep"),
         F.count(F.lit(1)).alias("variant_count"),
@@ -153,7 +154,7 @@ def base_rows(product: DataFrame) -> DataFrame:
     )
     blank = lambda c: F.coalesce(c, F.lit(""))
     return joined.select(
-        base_id(F.col("distributor"), F.col("base_key"), r("title"), F.col("base_url")).alias("id"), "distributor", F.col("base_url").alias("url"), r("title").alias("title"),
+        base_id(F.col("side"), F.col("base_key"), r("title"), F.col("base_url")).alias("id"), r("distributor").alias("distributor"), F.col("base_url").alias("url"), r("title").alias("title"),
         description.alias("description"), blank(r("category")).alias("category"), "source_categories", blank(r("brand_found")).alias("brand"), candidates.alias("brand_candidates"),
         blank(r("commercial_brand")).alias("commercial_brand"), blank(r("product_line")).alias("product_line"), crumbs.alias("breadcrumb_path"), blank(r("meta_description")).alias("meta_description"),
         r("product_type").alias("product_type"), blank(r("reference")).alias("reference"), blank(r("synthetic_reference")).alias("synthetic_reference"), "base_key", "variant_count",
