@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.session import checkpointed, release, salted_lookup
+from tallyloom.session import checkpointed, lookup_join, release, salted_lookup
 
 # Quote signs that open and close a span.
 QUOTES = {'"': '"', "«": "»", "“": "”", "„": "“", "‘": "’", "'": "'", "`": "`"}
@@ -26,6 +26,8 @@ _BLANK = "  "
 REACH = 3
 #: Before anything is learned a sign cuts with this probability, which counts as PRIOR occurrences.
 START, PRIOR = 0.75, 2.0
+#: The value table is broadcast up to this many rows (24 bytes each) and joined by salted keys beyond.
+MAX_BROADCAST = 500_000
 #: Cost in nats of a character of a value that the rest of the column does not hold.
 PER_CHARACTER = 3.0
 
@@ -277,7 +279,7 @@ def _learn(state: DataFrame, theta: dict[str, float]) -> tuple[DataFrame, _Model
 def _with_known(state: DataFrame, values: DataFrame) -> DataFrame:
     """The state with pos, c and n of the edges whose value the table holds."""
     flat = state.select("k1", "k2", F.posexplode("vh").alias("pos", "vh"))
-    found = salted_lookup(flat, values, ["vh"], "k1", how="inner").groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "c", "n")).alias("known"))
+    found = lookup_join(flat, values, ["vh"], "k1", MAX_BROADCAST).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "c", "n")).alias("known"))
     return state.drop("cuts").join(found, ["k1", "k2"], "left")
 
 
@@ -293,8 +295,8 @@ def split_packed(df: DataFrame, ids: list[str], columns: dict[str, str], rounds:
     posteriors up to the next model. Viterbi then decodes every text with the last model; with
     rounds=0 with the one from independent cuts. Quoted spans are atomic throughout.
 
-    The value table stays distributed and is joined to the edges by salted keys; it holds every
-    value that two edges share. The driver gets one row per class of sign and the totals.
+    The value table stays distributed and is joined to the edges; it holds every value that two
+    edges share. The driver gets one row per class of sign and the totals.
     pos is from 1 and counts blank pieces, which give no row. Null and blank texts give no row;
     repeated rows give their rows again; texts of any length are decoded whole.
     """
