@@ -189,6 +189,14 @@ def usual_class() -> str:
     return "^[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]*$"
 
 
+#: Plain and Western letters, a part of usual_class that is told at once.
+QUICK_CLASS = "^[\\x20-\\x7e\\u00c0-\\u00ff]*$"
+
+
+def is_usual(c: Column) -> Column:
+    return c.rlike(QUICK_CLASS) | c.rlike(usual_class())
+
+
 def _udf(fn, kind: str = "string"):
     @F.pandas_udf(kind)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -227,7 +235,7 @@ def disguised_values(df: DataFrame, ids: list[str], columns: list[str]) -> DataF
     values = (
         df.select(*ids, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_v"))
         .select(*ids, "_v.field", "_v.value")
-        .where(F.col("value").isNotNull() & ~F.col("value").rlike(usual_class()))
+        .where(F.col("value").isNotNull() & ~is_usual(F.col("value")))
     )
     return values.withColumn("normal", consistent_col(F.col("value"))).where("normal <> value")
 
@@ -236,5 +244,5 @@ def normalized(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     """ids and the columns in their consistent form; nulls stay null."""
     return df.select(
         *ids,
-        *[F.when(F.col(c).rlike(usual_class()), F.col(c)).otherwise(consistent_col(F.when(~F.col(c).rlike(usual_class()), F.col(c)))).alias(c) for c in columns],
+        *[F.when(is_usual(F.col(c)), F.col(c)).otherwise(consistent_col(F.when(~is_usual(F.col(c)), F.col(c)))).alias(c) for c in columns],
     )

@@ -26,6 +26,8 @@ def test_a_value_of_the_usual_class_never_changes(spark):
 
     rng = random.Random(1)
     usual = re.compile(unify.usual_class())
+    quick = re.compile(unify.QUICK_CLASS)
+    assert all(usual.match(chr(c)) for c in range(0x20, 0x3000) if quick.match(chr(c)))
     pool = [chr(c) for c in range(0x20, 0x3000) if usual.match(chr(c))]
     assert not [w for w in ("".join(rng.choices(pool, k=10)) for _ in range(3000)) if unify.consistent(w) != w]
     values = ["ſale", "ĳs", "Kit ǃ", "ǆ", "Ŀ", "ŉ", "plain", "Çeşme", None]
