@@ -71,15 +71,26 @@ def brand_word(texts: list[str], name: str | None, model: str, generic: frozense
 
 
 def attributes(product: DataFrame, words: DataFrame) -> DataFrame:
-    """row_id, seller and what each listing says of its item; listings that say nothing of a model are left out."""
+    """row_id, seller and what each listing says of its item; listings that say nothing of a model are left out.
+
+    Brand words are counted first: up to MAX_BROADCAST they are sent to the executors, more are joined to
+    the names. Either way a listing sees those of its own name.
+    """
     schema = "row_id bigint, seller string, model string, edition string, volume double, strength double, ohm double, pack int, colour string, brand string"
 
+    small = words.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    sent = product.sparkSession.sparkContext.broadcast({r["word"]: r["generic"] for r in words.collect()}) if small else None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 texts = [t for t in (r.brand, r.commercial_brand, *(r.brand_candidates if r.brand_candidates is not None else ())) if t]
-                known, generic = (set(x) if x is not None else set() for x in (r.known, r.generic))
+                if sent is None:
+                    known, generic = (set(x) if x is not None else set() for x in (r.known, r.generic))
+                else:
+                    known = {w for w in _WORDS.findall(folded(r.name or "")) if w in sent.value}
+                    generic = {w for w in known if sent.value[w]}
                 p = parse(r.name, r.description, dict(r.variants) if r.variants is not None else None, known)
                 if not p["model"]:
                     continue
@@ -89,11 +100,10 @@ def attributes(product: DataFrame, words: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["row_id", "seller", *_SIG, "brand"]).astype({"pack": "Int32"})
 
     rows = product.select("row_id", F.col("distributor").alias("seller"), "name", "description", "variants", "brand", "commercial_brand", "brand_candidates")
-    return (
-        with_brand_words(rows.where("row_id is not null and seller is not null"), words)
-        .withColumnsRenamed({"_known": "known", "_generic": "generic"})
-        .mapInPandas(run, schema)
-    )
+    rows = rows.where("row_id is not null and seller is not null")
+    if sent is None:
+        rows = with_brand_words(rows, words).withColumnsRenamed({"_known": "known", "_generic": "generic"})
+    return rows.mapInPandas(run, schema)
 
 
 def scored_pairs(nodes: DataFrame) -> DataFrame:

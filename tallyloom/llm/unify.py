@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,6 +43,7 @@ MEANT_AS_SUCH = set("ΩÅµªº™℠№℃℉…")
 _FILLERS = set("͏ᅟᅠ឴឵᠋᠌᠍᠎⠀ㅤﾠ")
 _LOOK_OF: dict[str, dict[str, str]] = {}
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
+_UNUSUAL = re.compile(r"[^ -~]")
 # Scripts whose shared letters are looked up, and the writing systems that mix scripts.
 _TRIED = "Latin Greek Cyrillic Armenian Hebrew Arabic Syriac Thaana Devanagari Bengali Georgian Hangul Cherokee Coptic Lisu Han Hiragana Katakana Bopomofo".split()
 _SYSTEMS = {"HAN": ["JPAN", "KORE", "HANB"], "HIRAGANA": ["JPAN"], "KATAKANA": ["JPAN"], "HANGUL": ["KORE"], "BOPOMOFO": ["HANB"]}
@@ -144,24 +146,32 @@ def consistent(text: str) -> str:
     character, each run of letters gets its consistent script, and accents join their letter.
     Idempotent; letter case, signs and foreign words stay.
     """
-    out = []
-    for ch in text:
-        if " " <= ch <= "~":
-            out.append(ch)
-        elif invisible(ch):
-            continue
-        elif blank(ch):
-            out.append(" ")
-        else:
-            out.append(usual(ch))
-    joined = unicodedata.normalize("NFC", "".join(out))
+    if text.isascii() and text.isprintable():
+        return text
+    joined = unicodedata.normalize("NFC", _UNUSUAL.sub(lambda m: _one(m.group(0)), text))
+    if all(_plain_latin(ch) for ch in set(joined) if ch > "~"):
+        return joined
     return unicodedata.normalize("NFC", _LETTERS.sub(lambda m: m.group(0) if m.group(0).isascii() else spelled(m.group(0)), joined))
 
 
+@lru_cache(maxsize=None)
+def _one(ch: str) -> str:
+    """What one character becomes whatever stands beside it."""
+    return "" if invisible(ch) else " " if blank(ch) else usual(ch)
+
+
+@lru_cache(maxsize=None)
+def _plain_latin(ch: str) -> bool:
+    """Whether a character gives a token no reason to be respelled."""
+    return unicodedata.category(ch)[0] != "L" or (ch not in LATIN_LOOK and scripts(ch) in (None, frozenset({"LATIN"})))
+
+
 def folded(text: str) -> str:
     """consistent, lower case and without accents: the key for comparisons."""
-    plain = unicodedata.normalize("NFD", consistent(text).lower())
-    return "".join(c for c in plain if not unicodedata.combining(c))
+    low = consistent(text).lower()
+    if low.isascii():
+        return low
+    return _UNUSUAL.sub(lambda m: "" if unicodedata.combining(m.group(0)) else m.group(0), unicodedata.normalize("NFD", low))
 
 
 def _keeps(ch: str) -> bool:
@@ -169,7 +179,7 @@ def _keeps(ch: str) -> bool:
     cat = unicodedata.category(ch)
     if cat[0] == "M" or cat in ("Cs", "Cn", "Co") or unicodedata.combining(ch) or consistent(ch) != ch or unicodedata.normalize("NFC", ch) != ch:
         return False
-    return cat[0] != "L" or (ch not in LATIN_LOOK and scripts(ch) in (None, frozenset({"LATIN"})))
+    return _plain_latin(ch)
 
 
 @lru_cache(maxsize=1)

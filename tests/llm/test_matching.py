@@ -113,6 +113,14 @@ def test_words_of_no_list_and_groups_of_a_tenfold_table(spark):
     assert {p for p in got if max(p) < 10_000} == want and len(got) == 100 * len(want)
 
 
+def test_brand_words_sent_or_joined_give_the_same(spark, monkeypatch):
+    rows, want = _catalogue()
+    ref = spark.createDataFrame([(1, "Koplia")], "brand_id int, brand_name string")
+    df = spark.createDataFrame([(*r, None, None, None, None, "x") for r in rows], _PRODUCT)
+    monkeypatch.setattr(same_item, "MAX_BROADCAST", 0)
+    assert {tuple(r) for r in same_item.item_pairs(same_item.item_groups(df, ref)).collect()} == want
+
+
 def test_listing_without_a_name_or_model_words(spark):
     ref = spark.createDataFrame([(1, "Koplia")], "brand_id int, brand_name string")
     rows = [(1, "a", None, "Koplia", None, None, "Descubre Rapati Boreal: una mezcla. Contenido: 10 ml.", None, "x"), (2, "b", "Rapati Boreal Sales 10ml", "Koplia", None, None, None, None, "x"),
