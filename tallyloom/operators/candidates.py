@@ -27,6 +27,18 @@ def product_words() -> Column:
     return F.filter(words(*texts, F.concat_ws(" ", F.map_values("variants")), F.col("url")), lambda w: F.length(w) >= 3)
 
 
+def shared_token_top(rows: DataFrame, row_id: str, side: str, tokens: str, longest: int, keep: int) -> DataFrame:
+    """a_id, b_side, b_id, shared, position: the `keep` rows of every other side that share most tokens,
+    without tokens that more than `longest` rows of that side have. Both limits are part of this
+    operator's result; shared_token_best is the one without the first."""
+    flat = rows.select(F.col(row_id).alias("_id"), F.col(side).alias("_side"), F.explode(tokens).alias("_t")).where("_id is not null and _side is not null")
+    posted = flat.groupBy("_side", "_t").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= longest).drop("_n")
+    b = flat.join(posted, ["_side", "_t"]).select(F.col("_id").alias("b_id"), F.col("_side").alias("b_side"), "_t")
+    shared = flat.join(b, "_t").where("_side <> b_side").groupBy(F.col("_id").alias("a_id"), "b_side", "b_id").agg(F.count(F.lit(1)).alias("shared"))
+    w = Window.partitionBy("a_id", "b_side").orderBy(F.desc("shared"), "b_id")
+    return shared.withColumn("position", F.row_number().over(w)).where(F.col("position") <= keep)
+
+
 def shared_token_best(rows: DataFrame, row_id: str, side: str, tokens: str, keep: int, block_rows: int = 65_536, split: int = 4) -> DataFrame:
     """a_id, b_side, b_id, shared, position: per row and other side the `keep` rows that share
     most tokens, equal ones by id. Every token counts, whatever its frequency.

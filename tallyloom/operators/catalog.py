@@ -27,13 +27,6 @@ def variant_summary(rows: DataFrame, group: str, variants: str) -> DataFrame:
     )
 
 
-def summary_lines(summary: DataFrame, group: str) -> DataFrame:
-    """The dimensions of a group in one text: `name: count`, sorted by name."""
-    return summary.groupBy(group).agg(
-        F.array_join(F.array_sort(F.collect_list(F.concat("dimension", F.lit(": "), F.col("value_count").cast("string")))), " ; ").alias("variant_summary")
-    )
-
-
 def alias_keys(rows: DataFrame, brand: str, kind: str, aliases: DataFrame) -> DataFrame:
     """Every row under its own brand key and the targets of the directional, type-bound aliases.
 
@@ -93,7 +86,8 @@ def resolve_in_tiers(wanted: DataFrame, rows: DataFrame, want_id: str, row_id: s
     out = wanted
     for i, key in enumerate(tiers, 1):
         unique = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.min(row_id).alias(f"_t{i}")).where("_c = 1").drop("_c")
-        out = out.join(unique, key, "left")
+        met = out.where(F.col(key).isNotNull()).join(unique, key, "left")
+        out = met.unionByName(out.where(F.col(key).isNull()).withColumn(f"_t{i}", F.lit(None).cast(dict(rows.dtypes)[row_id])))
     tier = None
     for i in range(1, len(tiers) + 1):
         hit = F.col(f"_t{i}").isNotNull()
@@ -108,17 +102,25 @@ def three_way(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return x.join(y, key, "full_outer").select(key, side.alias("side"), F.coalesce("a_rows", F.lit(0)).alias("a_rows"), F.coalesce("b_rows", F.lit(0)).alias("b_rows"))
 
 
+def _sole_codes(codes: DataFrame) -> DataFrame:
+    """_c of the codes that exactly one row has; nulls are grouped with nothing."""
+    return codes.where("_c is not null").groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select("_c", F.lit(True).alias("_sole"))
+
+
 def unique_codes(rows: DataFrame, row_id: str, code: str, longest: int = 120) -> DataFrame:
-    """The code where one row has it, else the code with eight digits of a hash of code and id."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(code))
-    suffix = F.substring(F.sha2(F.concat_ws("|", F.col(code), F.col(row_id).cast("string")), 256), 1, 8)
-    return rows.select(row_id, F.when(F.col(code).isNull() | (n == 1), F.col(code)).otherwise(F.concat(F.substring(code, 1, longest - 9), F.lit("-"), suffix)).alias("unique_code"))
+    """The code where one row has it, else the code with eight digits of a hash of code and id; null stays null."""
+    coded = rows.select(row_id, F.col(code).alias("_c"))
+    filled = coded.where("_c is not null").join(_sole_codes(coded), "_c", "left")
+    suffix = F.substring(F.sha2(F.concat_ws("|", "_c", F.col(row_id).cast("string")), 256), 1, 8)
+    own = F.when(F.col("_sole"), F.col("_c")).otherwise(F.concat(F.substring("_c", 1, longest - 9), F.lit("-"), suffix))
+    return filled.select(row_id, own.alias("unique_code")).unionByName(coded.where("_c is null").select(row_id, F.col("_c").alias("unique_code")))
 
 
 def unique_or_null(rows: DataFrame, row_id: str, code: Column) -> DataFrame:
     """The code where exactly one row has it, else null."""
-    c = rows.select(row_id, code.alias("_c"))
-    return c.select(row_id, F.when(F.count(F.lit(1)).over(Window.partitionBy("_c")) == 1, F.col("_c")).alias("unique_code"))
+    coded = rows.select(row_id, code.alias("_c"))
+    filled = coded.where("_c is not null").join(_sole_codes(coded), "_c", "left")
+    return filled.select(row_id, F.when(F.col("_sole"), F.col("_c")).alias("unique_code")).unionByName(coded.where("_c is null").select(row_id, F.col("_c").alias("unique_code")))
 
 
 def sole_value(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -179,22 +181,6 @@ def tfidf(docs: DataFrame, doc: str, tokens: str) -> DataFrame:
     return weighted.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc))))
 
 
-def cosine_pairs(a: DataFrame, b: DataFrame, doc: str, threshold: float) -> DataFrame:
-    """Pairs over a threshold of cosine similarity; tokens of weight zero join nothing."""
-    x = a.where("weight > 0").select(F.col(doc).alias("a_id"), "token", (F.col("weight") / F.col("norm")).alias("wa"))
-    y = b.where("weight > 0").select(F.col(doc).alias("b_id"), "token", (F.col("weight") / F.col("norm")).alias("wb"))
-    return x.join(y, "token").groupBy("a_id", "b_id").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).where(F.col("cosine") >= threshold)
-
-
-def shared_token_candidates(a: DataFrame, b: DataFrame, longest_posting: int, keep: int) -> DataFrame:
-    """Candidates by the number of shared tokens: tokens with longer postings on side b are left
-    out and the best `keep` per a row stay (both are part of this operator's result)."""
-    posted = b.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).where(F.col("_n") <= longest_posting)
-    shared = a.join(posted.drop("_n"), "token").groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("shared"))
-    w = Window.partitionBy("a_id").orderBy(F.desc("shared"), "b_id")
-    return shared.withColumn("position", F.row_number().over(w)).where(F.col("position") <= keep)
-
-
 def contract_findings(rows: DataFrame, required: Sequence[str], wanted: Sequence[str]) -> DataFrame:
     """Counts per finding: blank required fields are errors, blank wanted ones warnings."""
     checks = [(c, "error") for c in required] + [(c, "warning") for c in wanted]

@@ -12,7 +12,7 @@ from tallyloom.functions import text as T
 from tallyloom.functions import variants as V
 from tallyloom.operators import assign, candidates, catalog, snapshots
 from tallyloom.plans import products_sql as Q
-from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_group, sql_key, sql_numbers, sql_plain, sql_status, sql_type, sql_weight
+from tallyloom.plans.sql import COLOURS_SQL, sql_category, sql_compact, sql_group, sql_key, sql_numbered, sql_numbers, sql_plain, sql_status, sql_type, sql_weight
 from tallyloom.session import table
 from tallyloom.sources import files
 
@@ -285,27 +285,27 @@ def q_tfidf_cosine(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_TITLES = f"with t as (select row_id, distributor, unnest(list_distinct(list_filter(regexp_split_to_array({sql_plain('name')}, '[^a-z0-9]+'), lambda w: length(w) >= 4))) as token from product where name is not null)"
+_TOKENS = f"""with tk as (select row_id, distributor, unnest(list_distinct(list_filter(regexp_split_to_array({sql_numbered("concat_ws(' ', name, meta_description, description, reference, synthetic_reference, array_to_string(map_values(variants), ' '), url)")}, '[^a-z0-9]+'),
+        lambda w: length(w) >= 3 and w not in ({', '.join(f"'{w}'" for w in (
+            "a al and aroma aromas base bote botella by capacidad caracteristicas cartucho con de del descripcion distribuidor edition el en es este formato html http https la las liquido liquidos los marca marcas "
+            "meta ml para pod producto que referencia scrapeada sin sweet the ultimate un una vapeo vaperalia eciglogistica venta y").split())})))) as token from product where distributor is not null)"""
+_SHARED = "s as (select a.row_id as a_id, b.distributor as b_distributor, b.row_id as b_id, count(*) as shared from tk a join b on a.token = b.token and a.distributor <> b.distributor group by 1, 2, 3) select *, row_number() over (partition by a_id, b_distributor order by shared desc, b_id) as position from s qualify position <= 120"
 
 
-@query(
-    f"{_TITLES}, a as (select row_id as a_id, token from t where distributor = 'humedra'), b as (select row_id as b_id, token from (select *, count(*) over (partition by token) as n from t where distributor = 'vahoria') where n <= 40), "
-    "s as (select a_id, b_id, count(*) as shared from a join b using (token) group by 1, 2), r as (select *, row_number() over (partition by a_id order by shared desc, b_id) as position from s) select a_id, b_id, shared, position from r where position <= 5"
-)
+def _row_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "product").select("row_id", "distributor", candidates.product_words().alias("tokens"))
+
+
+@query(f"{_TOKENS}, b as (select * from tk qualify count(*) over (partition by distributor, token) <= 400), {_SHARED}")
 def q_inverted_index_topk(spark: SparkSession, d: str) -> DataFrame:
-    words = F.array_distinct(F.filter(F.split(T.plain(F.col("name")), "[^a-z0-9]+"), lambda w: F.length(w) >= 4))
-    t = table(spark, d, "product").where("name is not null").select("row_id", "distributor", F.explode(words).alias("token"))
-    a = t.where("distributor = 'humedra'").select(F.col("row_id").alias("a_id"), "token")
-    b = t.where("distributor = 'vahoria'").select(F.col("row_id").alias("b_id"), "token")
-    return catalog.shared_token_candidates(a, b, 40, 5).select("a_id", "b_id", "shared", "position")
+    """The reference's candidates: postings over 400 rows skipped, best 120 per row and other distributor."""
+    return candidates.shared_token_top(_row_tokens(spark, d), "row_id", "distributor", "tokens", 400, 120).withColumnRenamed("b_side", "b_distributor")
 
 
-@query()
+@query(f"{_TOKENS}, b as (select * from tk), {_SHARED}")
 def q_inverted_index_all(spark: SparkSession, d: str) -> DataFrame:
-    """The 120 best candidates of every row at every other distributor over all indexed fields and
-    all tokens; q_inverted_index_topk keeps the cuts of its SQL. Tested against brute force."""
-    p = table(spark, d, "product").select("row_id", "distributor", candidates.product_words().alias("tokens"))
-    return candidates.shared_token_best(p, "row_id", "distributor", "tokens", 120).withColumnRenamed("b_side", "b_distributor")
+    """The 120 best candidates of every row at every other distributor over all tokens, whatever their frequency."""
+    return candidates.shared_token_best(_row_tokens(spark, d), "row_id", "distributor", "tokens", 120).withColumnRenamed("b_side", "b_distributor")
 
 
 @query(
