@@ -38,11 +38,24 @@ def _numbers(text: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda x: F.translate(x, ",", ".").cast("double"))
 
 
-def _tokens(text: Column, brands: Column, kind: Column) -> Column:
+def numbers_in(text: Column, pattern: str) -> Column:
+    return F.array_distinct(_numbers(text, pattern))
+
+
+def word_weight(tokens: Column) -> Column:
+    return _weight(tokens)
+
+
+def model_words(text: Column, brands: Column, kind: Column, generic: Sequence[str]) -> Column:
+    """The words of a text that name the model, with another list of general words."""
+    return _tokens(text, brands, kind, generic, {k: v for k, v in RESPELLED.items() if k in ("bleu", "berries", "grapes", "fruits", "slices")})
+
+
+def _tokens(text: Column, brands: Column, kind: Column, generic: Sequence[str] = GENERIC, respelling: dict[str, str] = RESPELLED) -> Column:
     for pattern in (r"\b(\d+)[.,](\d+)\s*ml\b", r"\b\d+(?:[.,]\d+)?\s*ohm\b", r"\b\d+\s*(?:ml|mah|w|pcs|pc|pzs|unidades)\b", r"\bpack\s*(?:de\s*)?\d+\b"):
         text = F.regexp_replace(text, pattern, " ")
-    respelled = F.create_map(*[F.lit(x) for pair in RESPELLED.items() for x in pair])
-    stop = F.array(*[F.lit(w) for w in GENERIC])
+    respelled = F.create_map(*[F.lit(x) for pair in respelling.items() for x in pair])
+    stop = F.array(*[F.lit(w) for w in generic])
 
     def kept(w: Column) -> Column:
         number = w.rlike("^[0-9]+$") & ~(F.coalesce(kind.isin(*NUMBERED_KINDS), F.lit(False)) & (F.length(w) == 1))

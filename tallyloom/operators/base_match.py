@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import hardware as H
+from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
+from tallyloom.functions.binding import let
 from tallyloom.operators.products import some
 
 
@@ -66,3 +68,68 @@ def scored_bases(a: DataFrame, b: DataFrame, threshold: float = 0.72) -> DataFra
     full = met.join(held(a, "a"), ["a_id", "block"]).join(held(b, "b"), ["b_id", "block"])
     scored = full.select("a_id", "b_id", "b_title", F.round(H.product_pair_score(F.col("a"), F.col("b")), 6).alias("score"))
     return scored.groupBy("a_id", "b_id").agg(F.max("score").alias("score"), F.min("b_title").alias("b_title")).where(F.col("score") >= threshold)
+
+
+# Words that name no product in the inverse audit, colours among them.
+INVERSE_STOP = (
+    "a al and aroma aromas base bar bote by capacidad cartucho cartridge coil coils com con de del deposito eciglogistica edition el empty en es fill for full glass html http https incluida incluido juice kit la "
+    "las limited liquid liquids longfill los mesh meshed ml new nic nicokit no nuevo nueva ohm ohmios pack packs para pc pcs pod pods pyrex recambio replacement repuesto resistencia resistencias salt salts serie "
+    "series sin tank updated vaperalia version vpm vacio vacia with y black blue brown gold gray grey green orange pink purple rainbow red silver violet white yellow"
+).split()
+INVERSE_TEXT = ["title", "brand_candidates", "commercial_brand", "reference", "synthetic_reference", "base_key", "url"]
+
+
+def inverse_features(bases: DataFrame) -> DataFrame:
+    """id, distributor, title, keys (brands), f: what the inverse score reads of a base."""
+    rows = bases.select(
+        F.concat_ws("|", "id", "brand").alias("id"), "distributor", "title", F.col("product_type").alias("kind"),
+        T.numbered(F.concat_ws(" ", *[some(F.col(k)) for k in INVERSE_TEXT])).alias("text"),
+        F.filter(F.split(T.numbered(F.concat_ws(" ", "brand_candidates", "commercial_brand")), "[^a-z0-9]+"), lambda w: w != "").alias("brand_words"),
+        F.array_distinct(F.filter(F.transform(F.split("brand_candidates", r" \| "), T.compact), lambda k: k != "")).alias("keys"), T.compact(F.col("base_key")).alias("key"),
+    )
+    f = F.struct(
+        H.model_words(F.col("text"), F.col("brand_words"), F.col("kind"), INVERSE_STOP).alias("tokens"), "brand_words", "kind", S.type_group(F.col("kind")).alias("group"), some(F.col("key")).alias("key"),
+        H.numbers_in(F.col("text"), r"(\d+(?:[.,]\d+)?)\s*ml").alias("ml"), H.numbers_in(F.col("text"), r"(\d+(?:[.,]\d+)?)\s*ohm").alias("ohm"),
+        F.array_distinct(F.flatten(F.array(*[H.numbers_in(F.col("text"), p) for p in H.PACKS]))).alias("packs"), F.col("title").rlike(r"(?i)\b(?:promo|promopack|2x1)\b").alias("promo"),
+    )
+    return rows.select("id", "distributor", "title", "keys", f.alias("f"))
+
+
+def inverse_score(a: Column, b: Column) -> Column:
+    """Rounded score of two bases of one brand; 0 for a pair that is ruled out, 1 for equal base keys."""
+    pair = F.struct(
+        F.filter(a["tokens"], lambda w: ~F.array_contains(b["brand_words"], w)).alias("x"), F.filter(b["tokens"], lambda w: ~F.array_contains(a["brand_words"], w)).alias("y")
+    )
+
+    def scored(t: Column) -> Column:
+        common = F.array_intersect(t["x"], t["y"])
+        extra = (F.size(F.array_except(t["x"], t["y"])) > 0) | (F.size(F.array_except(t["y"], t["x"])) > 0)
+        aroma = (a["kind"] == "aroma_concentrate") | (b["kind"] == "aroma_concentrate")
+        w = H.word_weight
+        value = (
+            0.62 * w(common) / w(F.array_union(t["x"], t["y"])) + 0.3 * F.greatest(w(common) / w(t["x"]), w(common) / w(t["y"])) + F.when(a["kind"] == b["kind"], 0.08).otherwise(0.0)
+            + F.when(F.arrays_overlap(a["ml"], b["ml"]), 0.03).otherwise(0.0) + F.when(F.arrays_overlap(a["ohm"], b["ohm"]), 0.03).otherwise(0.0) + F.when(F.arrays_overlap(a["packs"], b["packs"]), 0.02).otherwise(0.0)
+        )
+        none = ~F.exists(common, lambda x: (F.length(x) >= 3) | x.rlike("[0-9]")) | ((a["group"] == "liquidos") & (F.size(common) < 2)) | (aroma & extra)
+        return F.when(none, 0.0).otherwise(F.least(F.lit(1.0), S.js_round(value)))
+
+    ruled_out = (a["promo"] != b["promo"]) | ((a["group"] != b["group"]) & (a["kind"] != b["kind"]))
+    unequal = S.sets_conflict(a["ml"], b["ml"]) | S.sets_conflict(a["ohm"], b["ohm"]) | S.sets_conflict(a["packs"], b["packs"])
+    return F.when(ruled_out, 0.0).when(F.coalesce(a["key"] == b["key"], F.lit(False)), 1.0).when(unequal, 0.0).otherwise(let(pair, scored))
+
+
+def inverse_candidates(a: DataFrame, b: DataFrame, threshold: float = 0.88) -> DataFrame:
+    """a_id, b_id, b_title, score of the pairs of one brand (or both without) over the threshold.
+
+    Met by brand and a word of the model or the base key, as a pair that scores shares one of them.
+    """
+
+    def side(df: DataFrame, n: str) -> DataFrame:
+        anchors = F.concat(F.transform("f.tokens", lambda w: F.concat(F.lit("w:"), w)), F.filter(F.array(F.concat(F.lit("k:"), F.col("f.key"))), lambda k: k.isNotNull()))
+        brands = F.when(F.size("keys") > 0, F.col("keys")).otherwise(F.array(F.lit("")))
+        return df.select(F.col("id").alias(f"{n}_id"), F.explode(brands).alias("brand"), anchors.alias("_as")).select(f"{n}_id", "brand", F.explode("_as").alias("anchor"))
+
+    met = side(a, "a").join(side(b, "b"), ["brand", "anchor"]).select("a_id", "b_id").distinct()
+    held = lambda df, n: df.select(F.col("id").alias(f"{n}_id"), F.col("title").alias(f"{n}_title"), F.col("f").alias(n))
+    full = met.join(held(a, "a"), "a_id").join(held(b, "b"), "b_id")
+    return full.select("a_id", "b_id", "b_title", inverse_score(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= threshold)

@@ -244,3 +244,29 @@ HARDWARE = f"""
                    + case when contains(a.ref, b.ref) or contains(b.ref, a.ref) then 0.05 else 0.0 end as raw from hp)),
     hw as (select a_id, b_id, min(b_title) as b_title, round(max(score), 6) as score from hs group by 1, 2 having max(score) >= 0.7199995),
     ha as (select distinct id as a_id from hf where distributor in ('brumacat', 'calimadis', 'humedra'))"""
+
+_INVERSE_STOP = (
+    "a al and aroma aromas base bar bote by capacidad cartucho cartridge coil coils com con de del deposito eciglogistica edition el empty en es fill for full glass html http https incluida incluido juice kit la las "
+    "limited liquid liquids longfill los mesh meshed ml new nic nicokit no nuevo nueva ohm ohmios pack packs para pc pcs pod pods pyrex recambio replacement repuesto resistencia resistencias salt salts serie series "
+    "sin tank updated vaperalia version vpm vacio vacia with y black blue brown gold gray grey green orange pink purple rainbow red silver violet white yellow"
+).split()
+_INVERSE_TEXT = sql_numbered("concat_ws(' ', nullif(title, ''), nullif(array_to_string(brands, ' | '), ''), nullif(commercial_brand, ''), nullif(reference, ''), nullif(synthetic_reference, ''), nullif(base_key, ''), nullif(base_url, ''))")
+_INVERSE_CLEAN = _CLEAN.replace("(named,", "(text,")
+_GROUPED = "case when {0} in ('pod_replacement', 'coil', 'pyrex', 'atomizer_tank') then 'hardware_repuesto' when {0} in ('kit_device', 'mod_device') then 'hardware_dispositivo' when {0} in ('aroma_concentrate', 'eliquid', 'nicotine_salt', 'base_booster') then 'liquidos' else {0} end"
+INVERSE = f"""
+    i0 as (select base_id || '|' || coalesce(brand_found, '') as id, distributor, title, product_type as kind, {_GROUPED.format('product_type')} as grp, {_INVERSE_TEXT} as text, nullif({sql_compact('base_key')}, '') as key,
+                  list_filter(regexp_split_to_array({sql_numbered("concat_ws(' ', array_to_string(brands, ' | '), commercial_brand)")}, '[^a-z0-9]+'), lambda w: w <> '') as bw, list_distinct(list_filter(list_transform(brands, lambda x: {sql_compact('x')}), lambda k: k <> '')) as keys from r2),
+    i1 as (select *, list_transform(list_filter(regexp_split_to_array({_INVERSE_CLEAN}, '[^a-z0-9]+'), lambda w: w <> ''), lambda w: case w when 'bleu' then 'blue' when 'berries' then 'berry' when 'grapes' then 'grape' when 'fruits' then 'fruit' when 'slices' then 'slice' else w end) as ws from i0),
+    i2 as (select *, list_filter(ws, lambda w: not list_contains(bw, w) and w not in ({', '.join(f"'{w}'" for w in _INVERSE_STOP)}) and not regexp_matches(w, '^p\\d+$|^\\d+b$|\\d+ml')
+                  and not (regexp_full_match(w, '[0-9]+') and not (kind in ('kit_device', 'mod_device', 'pod_replacement', 'atomizer_tank', 'pyrex') and length(w) = 1)) and not (length(w) = 1 and not regexp_matches(w, '[0-9]') and w not in ('g', 'j', 'm', 'n', 'q', 's', 't', 'x'))) as ts from i1),
+    ie as (select id, distributor, title, kind, grp, key, bw, keys, {_first_seen('ts')} as tokens, {_numbers('text', 'ml')} as ml, {_numbers('text', 'ohm')} as ohm, regexp_matches(title, '(?i)\\b(?:promo|promopack|2x1)\\b') as promo,
+                  list_distinct(list_transform(regexp_extract_all(text, '\\bpack\\s*(?:de\\s*)?(\\d+)\\b', 1) || regexp_extract_all(text, '\\b(\\d+)\\s*(?:pcs|pc|pzs|unidades)\\b', 1) || regexp_extract_all(text, '(?:^|[\\s.-])p(\\d+)(?:$|[\\s.-])', 1), lambda x: cast(x as double))) as packs from i2),
+    ip as (select a, b, list_filter(a.tokens, lambda w: not list_contains(b.bw, w)) as x, list_filter(b.tokens, lambda w: not list_contains(a.bw, w)) as y from ie a join ie b on len(list_intersect(a.keys, b.keys)) > 0 or (len(a.keys) = 0 and len(b.keys) = 0)
+           where a.distributor in ('brumacat', 'calimadis', 'humedra') and b.distributor in ('vahoria', 'nubarolia')),
+    iw as (select *, list_intersect(x, y) as c from ip),
+    isc as (select a.id as a_id, b.id as b_id, b.title as b_title, case when a.promo <> b.promo or (a.grp <> b.grp and a.kind <> b.kind) then 0.0 when a.key = b.key then 1.0
+              when {_clash('a.ml', 'b.ml')} or {_clash('a.ohm', 'b.ohm')} or {_clash('a.packs', 'b.packs')} then 0.0
+              when len(list_filter(c, lambda w: length(w) >= 3 or regexp_matches(w, '[0-9]'))) = 0 or (a.grp = 'liquidos' and len(c) < 2) or ((a.kind = 'aroma_concentrate' or b.kind = 'aroma_concentrate') and (len(c) < len(list_distinct(x)) or len(c) < len(list_distinct(y)))) then 0.0
+              else least(1.0, floor((0.62 * {_w('c')} / {_w('list_distinct(x || y)')} + 0.3 * greatest({_w('c')} / {_w('x')}, {_w('c')} / {_w('y')}) + case when a.kind = b.kind then 0.08 else 0.0 end
+                + case when len(list_intersect(a.ml, b.ml)) > 0 then 0.03 else 0.0 end + case when len(list_intersect(a.ohm, b.ohm)) > 0 then 0.03 else 0.0 end + case when len(list_intersect(a.packs, b.packs)) > 0 then 0.02 else 0.0 end)::double * 100 + 0.5) / 100.0) end::double as score from iw),
+    inv as (select * from isc where score >= 0.4)"""
