@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tallyloom.functions import scraped
 from tallyloom.functions import text as T
 from tallyloom.functions import variants as V
-from tallyloom.operators import catalog, loading, products
+from tallyloom.operators import assign, catalog, loading, products
 from tallyloom.plans import products_sql as Q
 from tallyloom.plans.sql import BLANK, sql_plain
-from tallyloom.session import table
+from tallyloom.session import bounded, table
 
 QUERIES = {}
 SQL = {}
@@ -335,3 +335,60 @@ def q_eval_rows(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "pair_spec").select("pair_id", F.col("b_url").alias("url")).distinct()
     n = s.join(table(spark, d, "product").select("url", "row_id"), "url", "left").groupBy("pair_id").agg(F.count("row_id").alias("rows"), F.min("row_id").alias("r"))
     return n.select("pair_id", "rows", F.when(F.col("rows") == 1, F.col("r")).alias("row_id"), F.when(F.col("rows") == 0, "missing").when(F.col("rows") == 1, "selected").otherwise("ambiguous").alias("outcome"))
+
+
+# --- first matcher -----------------------------------------------------------------------------
+_SIGNATURE = f"case when cardinality(variants) > 0 then trim(regexp_replace(regexp_replace(array_to_string(list_transform({_ENTRIES.format('trim(lower(e.key))', 'trim(lower(e.value))').replace('{{', '{').replace('}}', '}')}, lambda e: e.v), ' '), '(?i)\\b\\d+\\s*(?:ml|mah|w|ohm|mg|puffs?|pcs)\\b', '', 'g'), '\\s+', ' ', 'g')) else '' end"
+_URL_PAIRS = """
+    up as (select distinct a.url as a_url, b.url as b_url from variant_match m join product a on a.row_id = try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) join product b on b.row_id = try_cast(regexp_extract(b_variant_id, '(\\d+)$', 1) as bigint)
+           where a.url is not null and b.url is not null and a.url <> b.url)"""
+_GREEDY = "y{i} as (select *, min(rk) over (partition by a_url, b_url, a_sig) as x, min(rk) over (partition by a_url, b_url, b_sig) as y from k{i}), z{i} as (select a_url, b_url, a_sig, b_sig, similarity, rk from y{i} where rk = x and rk = y), k{j} as (select k.a_url, k.b_url, k.a_sig, k.b_sig, k.similarity, k.rk from k{i} k where not exists (select 1 from z{i} z where z.a_url = k.a_url and z.b_url = k.b_url and (z.a_sig = k.a_sig or z.b_sig = k.b_sig)))"
+
+
+@query(
+    f"""with {_URL_PAIRS}, sg as (select distinct url, {_SIGNATURE} as sig from product where url is not null),
+        mt as (select a_url, b_url, a.sig as a_sig, b.sig as b_sig, list_distinct(list_filter(regexp_split_to_array(a.sig, '\\s+'), lambda w: w <> '')) as wa, list_distinct(list_filter(regexp_split_to_array(b.sig, '\\s+'), lambda w: w <> '')) as wb from up join sg a on a.url = a_url join sg b on b.url = b_url),
+        sc as (select *, round(case when a_sig = b_sig then 1.0 when a_sig = '' or b_sig = '' or len(list_intersect(wa, wb)) = 0 then 0.0 else greatest(len(list_intersect(wa, wb))::double / len(list_distinct(wa || wb)), 0.85 * len(list_intersect(wa, wb)) / least(len(wa), len(wb))) end::double, 6) as similarity from mt),
+        k0 as (select a_url, b_url, a_sig, b_sig, similarity, row_number() over (order by similarity desc, a_url, b_url, a_sig, b_sig) as rk from sc where similarity >= 0.6), {', '.join(_GREEDY.format(i=i, j=i + 1) for i in range(8))}
+        select a_url, b_url, a_sig, b_sig, similarity from ({' union all '.join(f'select * from z{i}' for i in range(8))})"""
+)
+def q_variant_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """One-to-one variants inside every matched pair of addresses: signatures at least .6 alike, greedy from the best."""
+    p = table(spark, d, "product").where("url is not null")
+    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
+    m = table(spark, d, "variant_match").select(row("a_variant_id").alias("a_row"), row("b_variant_id").alias("b_row"))
+    at = lambda n: p.select(F.col("row_id").alias(f"{n}_row"), F.col("url").alias(f"{n}_url"))
+    pairs = m.join(at("a"), "a_row").join(at("b"), "b_row").where("a_url <> b_url").select("a_url", "b_url").distinct()
+    sig = p.select("url", scraped.value_signature(F.col("variants")).alias("sig")).distinct()
+    side = lambda n: sig.select(F.col("url").alias(f"{n}_url"), F.col("sig").alias(f"{n}_sig"))
+    scored = pairs.join(side("a"), "a_url").join(side("b"), "b_url").withColumn("similarity", F.round(scraped.word_overlap(F.col("a_sig"), F.col("b_sig")), 6)).where("similarity >= 0.6")
+    # an end is a signature within its pair of addresses
+    ends = scored.withColumns({f"{n}_end": F.to_json(F.struct("a_url", "b_url", f"{n}_sig")) for n in "ab"})
+    order = [("similarity", True), ("a_url", False), ("b_url", False), ("a_sig", False), ("b_sig", False)]
+    return assign.greedy_one_to_one(ends, "a_end", "b_end", order).select("a_url", "b_url", "a_sig", "b_sig", "similarity")
+
+
+_TRADE = "trim(regexp_replace(regexp_replace(lower({}), '\\b(?:e-?liquids?|nic\\s*salts?|salts?|vapes?|labs?|liquids?|flavou?rs?)\\b', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(
+    f"with r as (select distinct {_TRADE.format('brand_name')} as ref from brand_ref where brand_name is not null), b as (select {_TRADE.format('brand')} as brand, count(*) as rows from product where brand is not null group by 1) "
+    "select brand, ref, rows from b join r on brand = ref or (length(brand) > 2 and contains(ref, brand)) or (length(ref) > 2 and contains(brand, ref))"
+)
+def q_brand_blocking(spark: SparkSession, d: str) -> DataFrame:
+    """Brand texts and listed brands of which one holds the other; the list is counted before it is sent."""
+    refs = bounded(table(spark, d, "brand_ref").where("brand_name is not null").select(scraped.trade_brand(F.col("brand_name")).alias("ref")).distinct(), 100_000, "brands")
+    brands = table(spark, d, "product").where("brand is not null").groupBy(scraped.trade_brand(F.col("brand")).alias("brand")).agg(F.count(F.lit(1)).alias("rows"))
+    b, r = F.col("brand"), F.col("ref")
+    return brands.join(refs, (b == r) | ((F.length(b) > 2) & r.contains(b)) | ((F.length(r) > 2) & b.contains(r))).select("brand", "ref", "rows")
+
+
+@query(
+    "with x as (select row_id, distributor, nullif(regexp_extract(reference, '^[A-Z]{1,2}-(.+)$', 1), '') as body from product), b as (select body, max(row_id) as b_id from x where body is not null and distributor in ('vahoria', 'nubarolia') group by 1) "
+    "select row_id as a_id, b_id, body from x join b using (body) where distributor in ('brumacat', 'calimadis', 'humedra')"
+)
+def q_reference_prepass(spark: SparkSession, d: str) -> DataFrame:
+    """Side A rows whose reference has the body of a side B row; the last B row of a body counts."""
+    x = table(spark, d, "product").select("row_id", "distributor", F.nullif(F.regexp_extract("reference", r"^[A-Z]{1,2}-(.+)$", 1), F.lit("")).alias("body")).where("body is not null")
+    b = x.where(F.col("distributor").isin("vahoria", "nubarolia")).groupBy("body").agg(F.max("row_id").alias("b_id"))
+    return x.where(F.col("distributor").isin("brumacat", "calimadis", "humedra")).join(b, "body").select(F.col("row_id").alias("a_id"), "b_id", "body")

@@ -33,10 +33,12 @@ def nested_pairs(variants: DataFrame, pair: Sequence[str], order: str) -> DataFr
 
 
 def markdown(rows: DataFrame, title: str, limit: int = 200) -> str:
-    """A report table of a small aggregated result."""
-    cells = [[("" if v is None else str(v)) for v in r] for r in rows.limit(limit).collect()]
+    """A report table of a small aggregated result; the rows beyond the limit are counted in its last line."""
+    held = rows.limit(limit + 1).collect()
+    cells = [[("" if v is None else str(v)) for v in r] for r in held[:limit]]
     lines = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns)]
-    return "\n".join([*lines, *["| " + " | ".join(c) + " |" for c in cells], ""])
+    rest = [f"{rows.count() - limit} more rows", ""] if len(held) > limit else []
+    return "\n".join([*lines, *["| " + " | ".join(c) + " |" for c in cells], "", *rest])
 
 
 def batch_rows(requested: int, columns: int) -> int:
