@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyloom.functions.binding import let
-from tallyloom.functions.text import fold, numbered, plain
+from tallyloom.functions.text import fold, numbered
 
 # Words that say nothing about which device it is.
 GENERIC = "kit pod coil coils resistencia resistencias cartucho cartuchos cartridge starter device dispositivo pack de con para by the y uds pcs new original".split()
@@ -35,17 +35,6 @@ def numeric_set(c: Column, unit: str) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(hits, lambda x: F.translate(x, ",", ".").try_cast("double")), lambda x: x.isNotNull())))
 
 
-def first_number(c: Column) -> Column:
-    return F.translate(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)", 1), ",", ".").try_cast("double")
-
-
-def pack_count(c: Column) -> Column:
-    t = plain(c)
-    return F.coalesce(
-        *[F.nullif(F.regexp_extract(t, p, 1), F.lit("")).try_cast("int") for p in (r"\bpack(?: de)? (\d+)\b", r"\b(\d+) ?(?:uds|pcs|unidades)\b", r"\bx(\d+)\b")]
-    )
-
-
 def tokens(c: Column, drop: list[str] | None = None) -> Column:
     """Distinct words of a text in order, generic ones and single letters left out."""
     stop = F.array(*[F.lit(w) for w in (GENERIC if drop is None else drop)])
@@ -56,10 +45,6 @@ def token_weight(w: Column) -> Column:
     return F.when(w.isin(*SPECIAL), 1.45).when(w.rlike("[0-9]"), 1.4).when(F.length(w) <= 2, 0.75).otherwise(1.0)
 
 
-def weight_sum(ws: Column) -> Column:
-    return F.aggregate(ws, F.lit(0.0), lambda a, w: a + token_weight(w))
-
-
 def jaccard(a: Column, b: Column) -> Column:
     n = F.size(F.array_union(a, b))
     return F.when(n > 0, F.size(F.array_intersect(a, b)) / n).otherwise(0.0)

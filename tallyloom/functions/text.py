@@ -80,11 +80,6 @@ def slug(c: Column, longest: int = 120) -> Column:
     return F.substring(F.regexp_replace(F.regexp_replace(plain(c), "[^a-z0-9]+", "-"), "^-+|-+$", ""), 1, longest)
 
 
-def brand_key(c: Column) -> Column:
-    """plain without the trade words at its end."""
-    return F.trim(F.regexp_replace(plain(c), r"\b(?:vape|vapes|vapor|e-?liquids?|juice|labs?|liquids?|brand)\b", ""))
-
-
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 

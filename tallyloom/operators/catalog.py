@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 
 
@@ -193,11 +192,3 @@ def contract_findings(rows: DataFrame, required: Sequence[str], wanted: Sequence
 
     counts = rows.agg(*[F.count_if(blank(c)).alias(c) for c, _ in checks])
     return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.lit(level).alias("level"), F.col(c).alias("rows")) for c, level in checks])))
-
-
-def rescue_score(title: Column, description: Column, same_type: Column, same_group: Column, brand: Column, ohm: Column) -> Column:
-    """Additive score from token coverages and agreements, within 0..1."""
-    kind = F.when(same_type, 0.14).when(same_group, 0.08).otherwise(0.0)
-    named = F.when(brand.isNull(), 0.0).when(brand, 0.16).otherwise(-0.16)
-    total = kind + named + F.least(F.lit(0.24), 0.24 * title) + F.least(F.lit(0.32), 0.32 * description) + F.when(ohm, 0.08).otherwise(0.0)
-    return S.clamp(total)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import scraped
+from tallyloom.functions import rescue, scraped
+from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.functions import variants as V
 from tallyloom.operators import assign, catalog, loading, products
 from tallyloom.plans import products_sql as Q
-from tallyloom.plans.sql import BLANK, sql_plain
+from tallyloom.plans.sql import BLANK, sql_compact, sql_fold, sql_group, sql_numbered, sql_plain, sql_type
 from tallyloom.session import bounded, table
 
 QUERIES = {}
@@ -392,3 +393,125 @@ def q_reference_prepass(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "product").select("row_id", "distributor", F.nullif(F.regexp_extract("reference", r"^[A-Z]{1,2}-(.+)$", 1), F.lit("")).alias("body")).where("body is not null")
     b = x.where(F.col("distributor").isin("vahoria", "nubarolia")).groupBy("body").agg(F.max("row_id").alias("b_id"))
     return x.where(F.col("distributor").isin("brumacat", "calimadis", "humedra")).join(b, "body").select(F.col("row_id").alias("a_id"), "b_id", "body")
+
+
+# --- rescue ------------------------------------------------------------------------------------
+_RESCUE_STOP = ", ".join(f"'{w}'" for w in (
+    "a al and aroma aromas base bote botella by capacidad caracteristicas cartucho con de del descripcion distribuidor edition el en es este formato html http https la las liquido liquidos los marca marcas meta ml para "
+    "pod producto que referencia scrapeada sin sweet the ultimate un una vapeo vaperalia eciglogistica venta y").split())
+_RESCUE_NAMES = ", ".join(f"'{w}'" for w in (
+    "additif bar classic classique concentrado concentrados creations dessert desserts francia fresh fruit fruits fruitfull gama green les liquid longfill nicotine nicotina premium salt salts sales series sweets valores "
+    "variante variantes version").split())
+
+
+def _words_sql(c: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array({sql_numbered(c)}, '[^a-z0-9]+'), lambda w: length(w) > 1 and w not in ({_RESCUE_STOP})))"
+
+
+def _measure(c: str, unit: str) -> str:
+    return f"list_distinct(list_transform(regexp_extract_all({c}, '(?i)(\\d+(?:[.,]\\d+)?)\\s*{unit}', 1), lambda x: cast(replace(x, ',', '.') as double)))"
+
+
+def _hard(c: str) -> str:
+    return f"list_filter({c}, lambda w: w in ('zero', 'primal', 'legend', 'legends', 'limited', 'v2', 'pro', 'mini', 'nano', 'max', 'plus', 'x'))"
+
+
+def _either(*groups: str) -> str:
+    held = ", ".join(f"'{g}'" for g in groups)
+    return f"(a.grp in ({held}) or b.grp in ({held}))"
+
+
+_N = "len(list_intersect(a.names, b.names))"
+_EXTRA_A, _EXTRA_B = "len(list_filter(a.names, lambda w: not list_contains(b.names, w))) > 0", "len(list_filter(b.names, lambda w: not list_contains(a.names, w))) > 0"
+_LIQUID, _HARDWARE = _either("liquidos"), _either("hardware_repuesto", "hardware_dispositivo")
+_UNEQUAL = f"len(list_distinct({_hard('a.names')} || {_hard('b.names')})) > len(list_intersect({_hard('a.names')}, {_hard('b.names')}))"
+_RESCUE = f"""
+    f0 as (select *, coalesce(array_to_string(map_values(variants), ' '), '') as vals, array_to_string(brand_candidates, '|') as cands from product),
+    f1 as (select *, concat_ws(' ', name, vals, reference, synthetic_reference) as named, concat_ws(' ', name, vals, reference, synthetic_reference, url) as prim, concat_ws(' ', brand, cands, commercial_brand) as bt,
+                  {sql_numbered("concat_ws(' ', name, vals, reference, synthetic_reference, brand, cands, commercial_brand, array_to_string(breadcrumb_path, ' '), url)")} as whole, {sql_numbered("concat_ws(' ', name, reference, synthetic_reference, url)")} as mt, {sql_type()} as kind from f0),
+    f2 as (select row_id, kind, {sql_group('kind')} as grp, whole, {sql_numbered('named')} as nn, {_words_sql('prim')} as title, {_words_sql("concat_ws(' ', name, description, meta_description, array_to_string(breadcrumb_path, ' '), vals, reference, synthetic_reference, url)")} as described, {_words_sql('bt')} as bw,
+                  {_words_sql('named')} as nw, list_filter(list_transform(regexp_split_to_array(concat_ws('|', brand, cands, commercial_brand), '[|,]'), lambda x: {sql_compact('x')}), lambda k: k <> '') as brands,
+                  {_measure('prim', 'ml')} as ml, {_measure('prim', '(?:ohm|Ω)')} as ohm, {_measure('prim', 'mg')} as mg,
+                  list_filter(list_transform(list_filter(map_entries(variants), lambda e: {sql_fold('e.key')} in ('color', 'colour')), lambda e: {sql_compact('e.value')}), lambda c: c <> '')[1] as colour,
+                  list_filter(list_distinct(list_transform(regexp_extract_all(mt, '\\b([a-z]{{2,}})\\s*-?\\s*(\\d+[a-z]?)\\b') || regexp_extract_all(mt, '\\b([a-z]{{1,3}})\\s*-?\\s*(mini|nano|max|pro|plus)\\b'), lambda x: regexp_replace(x, '[^a-z0-9]+', '', 'g'))), lambda x: x not in ('pack2', 'pack3', 'pack5', 'p2', 'p3', 'p5')) as models,
+                  regexp_matches(whole, '\\bdrip\\s*tip\\b|\\bboquillas?\\b') as tip, regexp_matches(whole, '\\blong\\s*fill\\b|\\b\\d+\\s*ml\\s*/\\s*\\d+\\b|\\bbote\\s+de\\s+\\d+\\s*ml\\b') as longfill,
+                  list_filter([case when regexp_matches({sql_numbered('prim')}, '\\bsweet\\b') then 'sweet' end, case when regexp_matches({sql_numbered('prim')}, '\\bgreen\\b') then 'green' end], lambda x: x is not null) as edition from f1),
+    rf as (select *, list_distinct(list_filter(nw, lambda w: w not in ({_RESCUE_NAMES}) and not list_contains(bw, w) and not regexp_matches(w, '^\\d+(?:ml|mg|pcs?|ohm|w|mah)?$')) || case when regexp_matches(nn, '\\bx\\b') then ['x'] else [] end) as names from f2),
+    rp as (select match_id, a_variant_id, b_variant_id, a, b, nullif(trim(base_match_a_id), '') is not null and nullif(trim(base_match_b_id), '') is not null as same_base, nullif(trim(base_match_a_id), '') is not null and nullif(trim(base_match_b_id), '') is null as split_base
+           from variant_match m join rf a on a.row_id = try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) join rf b on b.row_id = try_cast(regexp_extract(b_variant_id, '(\\d+)$', 1) as bigint)),
+    ra as (select *, {Q._clash('a.ml', 'b.ml')} or {Q._clash('a.ohm', 'b.ohm')} or {Q._clash('a.mg', 'b.mg')} or coalesce(a.colour <> b.colour, false) or ({_HARDWARE} and {Q._clash('a.models', 'b.models')}) or ({_HARDWARE} and a.tip <> b.tip)
+                  or ({_LIQUID} and {Q._clash(_hard('a.title'), _hard('b.title'))}) or ({_LIQUID} and a.longfill <> b.longfill)
+                  or (not same_base and (({_LIQUID} and ({_UNEQUAL} or ({_N} <= 1 and {_EXTRA_A} and {_EXTRA_B}) or ({_N} = 1 and ({_EXTRA_A} or {_EXTRA_B})) or {Q._clash('a.edition', 'b.edition')})) or (({_LIQUID} or {_HARDWARE}) and {_N} = 0))) as conflict,
+                  case when len(a.brands) > 0 and len(b.brands) > 0 then len(list_intersect(a.brands, b.brands)) > 0 end as same_brand, len(list_intersect(a.title, b.title)) as t, len(list_intersect(a.described, b.described)) as dd from rp),
+    rs as (select *, case when split_base then 0.12::double else 0.0::double end + case when same_base then 0.2::double else 0.0::double end + case when a.kind = b.kind then 0.14::double when a.grp = b.grp then 0.08::double else 0.0::double end
+                  + case when same_brand is null then 0.0::double when same_brand then 0.16::double else -0.16::double end + 0.24::double * (t::double / greatest(1, least(len(a.title), len(b.title)))) + 0.32::double * (dd::double / greatest(1, least(len(a.described), len(b.described))))
+                  + case when len(list_intersect(a.ohm, b.ohm)) > 0 then 0.08::double else 0.0::double end as raw from ra),
+    r1 as (select *, case when not conflict and {_LIQUID} and a.grp = b.grp and coalesce(same_brand, false) and len(list_filter(list_intersect(a.names, b.names), lambda w: w not in ('color', 'pack', 'p2', 'p3', 'p5'))) >= 1
+                         and len(list_filter(list_intersect(a.described, b.described), lambda w: length(w) >= 4)) >= 3 then greatest(raw, 0.86::double) else raw end as strong from rs),
+    rescue as (select match_id, a_variant_id, b_variant_id, least(1.0::double, greatest(0.0::double, case when not conflict and same_base and a.grp = b.grp and (t >= 2 or dd >= 6) then greatest(strong, 0.82::double) else strong end)) as score, conflict from r1)"""
+
+
+def _rescued(spark: SparkSession, d: str) -> DataFrame:
+    """match_id, ids, unrounded score and hard_conflict of the pairs of variant_match from the product rows their ids end in.
+
+    A pair with both base ids is of one matched base; with a base on side a only it is a split base.
+    """
+    p = table(spark, d, "product").select("row_id", rescue.captured_features().alias("f"))
+    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
+    filled = lambda c: T.blank_to_null(F.col(c)).isNotNull()
+    v = table(spark, d, "variant_match").select("match_id", "a_variant_id", "b_variant_id", row("a_variant_id").alias("a_row"), row("b_variant_id").alias("b_row"), filled("base_match_a_id").alias("a_base"), filled("base_match_b_id").alias("b_base"))
+    side = lambda n: p.select(F.col("row_id").alias(f"{n}_row"), F.col("f").alias(n))
+    audit = rescue.pair_audit(F.col("a"), F.col("b"), F.col("a_base") & F.col("b_base"), F.col("a_base") & ~F.col("b_base"))
+    return v.join(side("a"), "a_row").join(side("b"), "b_row").select("match_id", "a_variant_id", "b_variant_id", audit.alias("r")).select("match_id", "a_variant_id", "b_variant_id", "r.score", "r.hard_conflict")
+
+
+@query(f"with {_RESCUE} select match_id, round(score, 6) as score, conflict as hard_conflict from rescue")
+def q_rescue_score(spark: SparkSession, d: str) -> DataFrame:
+    return _rescued(spark, d).select("match_id", F.round("score", 6).alias("score"), "hard_conflict")
+
+
+@query(
+    f"with {_RESCUE}, ed as (select a_variant_id, b_variant_id, max(round(score, 6)) as score from rescue where not conflict and score >= 0.74 group by 1, 2), e as (select *, row_number() over (order by score desc, a_variant_id, b_variant_id) as rk from ed), l0 as (select a_variant_id, b_variant_id, rk from e), "
+    f"{', '.join(_ROUND.format(i=i, j=i + 1) for i in range(10))} select e.a_variant_id, e.b_variant_id, e.score from e join ({' union all '.join(f'select rk from w{i}' for i in range(10))}) w using (rk)"
+)
+def q_rescue_accept(spark: SparkSession, d: str) -> DataFrame:
+    """Rescued pairs without a hard conflict and over .74, each variant once, the best first."""
+    ok = _rescued(spark, d).where("not hard_conflict and score >= 0.74").groupBy("a_variant_id", "b_variant_id").agg(F.max(F.round("score", 6)).alias("score"))
+    return assign.greedy_one_to_one(ok, "a_variant_id", "b_variant_id", [("score", True), ("a_variant_id", False), ("b_variant_id", False)])
+
+
+# --- smaller ones ------------------------------------------------------------------------------
+@query(
+    "select row_id, replace(replace(replace(replace(replace(replace(description, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&') as decoded, "
+    "coalesce(len(list_filter(list_transform(regexp_split_to_array(commercial_brand, '[|,]'), lambda x: trim(x, ' ')), lambda x: x <> '')), 0) as listed from product where description is not null"
+)
+def q_decoded_texts(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "product").where("description is not null")
+    return p.select("row_id", T.decode_entities(F.col("description")).alias("decoded"), F.coalesce(F.size(T.listed(F.col("commercial_brand"))), F.lit(0)).alias("listed"))
+
+
+@query(
+    "select match_id, case when variant_confidence * 100 >= 90 then 'high' when variant_confidence * 100 >= 70 then 'medium' else 'low' end as label, case variant_decision when 'match' then 'accepted' when 'no_match' then 'rejected' when 'possible' then 'needs_review' else variant_decision end as decision, "
+    "json_object('a', nullif(a_title, ''), 'b', nullif(b_title, ''), 'reason', left(reason, 60)) as prompt from variant_match where a_title is not null and b_title is not null and reason is not null"
+)
+def q_review_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Label, decision and the lines a reviewer is sent of every pair with both titles."""
+    m = table(spark, d, "variant_match").where("a_title is not null and b_title is not null and reason is not null")
+    decision = F.col("variant_decision")
+    said = F.when(decision == "match", "accepted").when(decision == "no_match", "rejected").when(decision == "possible", "needs_review").otherwise(decision)
+    prompt = F.to_json(F.struct(F.nullif("a_title", F.lit("")).alias("a"), F.nullif("b_title", F.lit("")).alias("b"), F.substring("reason", 1, 60).alias("reason")), {"ignoreNullFields": "false"})
+    return m.select("match_id", S.confidence_label(F.col("variant_confidence") * 100).alias("label"), said.alias("decision"), prompt.alias("prompt"))
+
+
+@query(
+    "with n as (select row_id, name, cast(coalesce(nullif(regexp_extract(replace(lower(variants['Nicotina']), ',', '.'), '(\\d+(?:\\.\\d+)?)\\s*mg', 1), ''), nullif(regexp_extract(replace(lower(variants['MG']), ',', '.'), '(\\d+(?:\\.\\d+)?)\\s*mg', 1), '')) as double) as mg from product), "
+    "v as (select match_id, try_cast(regexp_extract(a_variant_id, '(\\d+)$', 1) as bigint) as a, try_cast(regexp_extract(b_variant_id, '(\\d+)$', 1) as bigint) as b from variant_match) "
+    "select match_id, x.mg from v join n x on x.row_id = v.a join n y on y.row_id = v.b where x.mg = y.mg"
+)
+def q_exact_nicotine(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of variants that state the same nicotine."""
+    stated = lambda k: F.nullif(F.regexp_extract(F.replace(F.lower(F.try_element_at("variants", F.lit(k))), F.lit(","), F.lit(".")), r"(\d+(?:\.\d+)?)\s*mg", 1), F.lit(""))
+    n = table(spark, d, "product").select("row_id", F.coalesce(stated("Nicotina"), stated("MG")).cast("double").alias("mg")).where("mg is not null")
+    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
+    v = table(spark, d, "variant_match").select("match_id", row("a_variant_id").alias("a"), row("b_variant_id").alias("b"))
+    return v.join(n.select(F.col("row_id").alias("a"), "mg"), "a").join(n.select(F.col("row_id").alias("b"), "mg"), ["b", "mg"]).select("match_id", "mg")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions import hardware as H
-from tallyloom.functions import rescue as R
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.functions import variants as V
@@ -308,37 +306,6 @@ def q_inverted_index_all(spark: SparkSession, d: str) -> DataFrame:
     return candidates.shared_token_best(_row_tokens(spark, d), "row_id", "distributor", "tokens", 120).withColumnRenamed("b_side", "b_distributor")
 
 
-@query(
-    f"with p as (select match_id, list_distinct(string_split({sql_plain('a_title')}, ' ')) as a, list_distinct(string_split({sql_plain('b_title')}, ' ')) as b from variant_match where a_title is not null and b_title is not null), "
-    "c as (select match_id, length(list_intersect(a, b))::double / greatest(1, least(length(a), length(b))) as t from p) "
-    "select match_id, round(greatest(0.0, least(1.0, 0.14 + 0.16 + least(0.24, 0.24 * t) + least(0.32, 0.32 * t))), 6) as score from c"
-)
-def q_rescue_score(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "variant_match").where("a_title is not null and b_title is not null").select(
-        "match_id", F.array_distinct(F.split(T.plain(F.col("a_title")), " ")).alias("a"), F.array_distinct(F.split(T.plain(F.col("b_title")), " ")).alias("b")
-    )
-    t = F.size(F.array_intersect("a", "b")) / F.greatest(F.lit(1), F.least(F.size("a"), F.size("b")))
-    c = p.select("match_id", t.alias("t"))
-    return c.select("match_id", F.round(catalog.rescue_score(F.col("t"), F.col("t"), F.lit(True), F.lit(True), F.lit(True), F.lit(False)), 6).alias("score"))
-
-
-@query()
-def q_rescue_score_full(spark: SparkSession, d: str) -> DataFrame:
-    """The rescue score of the pairs of variant_match from the product rows their variant ids end in.
-
-    A pair with both base ids is of one matched base; with a base on side a only it is a split base.
-    """
-    p = table(spark, d, "product").select(F.col("row_id"), R.captured_features().alias("f"))
-    row = lambda c: F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
-    v = table(spark, d, "variant_match").select(
-        "match_id", row("a_variant_id").alias("a_row"), row("b_variant_id").alias("b_row"),
-        T.blank_to_null(F.col("base_match_a_id")).isNotNull().alias("a_base"), T.blank_to_null(F.col("base_match_b_id")).isNotNull().alias("b_base"),
-    )
-    pairs = v.join(p.select(F.col("row_id").alias("a_row"), F.col("f").alias("a")), "a_row").join(p.select(F.col("row_id").alias("b_row"), F.col("f").alias("b")), "b_row")
-    audit = R.pair_audit(F.col("a"), F.col("b"), F.col("a_base") & F.col("b_base"), F.col("a_base") & ~F.col("b_base"))
-    return pairs.select("match_id", audit.alias("r")).select("match_id", S.js_round(F.col("r.score")).alias("score"), "r.hard_conflict")
-
-
 # --- joins, merges, coverage ---------------------------------------------------------------------
 @query("select row_id, url from product where url is not null and url not in (select url from catalog_snapshot where url is not null and snapshot_no is not null and category is not null)")
 def q_coverage_anti(spark: SparkSession, d: str) -> DataFrame:

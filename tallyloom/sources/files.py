@@ -89,11 +89,6 @@ def loose_json(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?s)(\{.*\})", 1), F.lit(""))
 
 
-def tag_text(page: Column, tag: str) -> Column:
-    """The text of the first element of a tag, inner tags removed."""
-    return F.trim(F.regexp_replace(F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1), r"<[^>]*>", " "))
-
-
 def links(page: Column) -> Column:
     """Targets of the links of a page, in order."""
     return F.regexp_extract_all(page, F.lit(r"(?i)<a\b[^>]*\bhref=[\"']([^\"'#]+)"), F.lit(1))

@@ -6,13 +6,13 @@ from tallyloom.functions import rescue as R
 
 SCHEMA = (
     "name string, variants map<string,string>, reference string, synthetic_reference string, brand string, brand_candidates array<string>, "
-    "commercial_brand string, category string, breadcrumb_path array<string>, description string, meta_description string, url string"
+    "commercial_brand string, category string, category_id string, breadcrumb_path array<string>, description string, meta_description string, url string"
 )
 
 
 def test_pairs_are_scored_by_their_own_evidence(spark):
     def product(name, brand, category, description, **variants):
-        return (name, variants, None, None, brand, None, None, category, None, description, None, "u")
+        return (name, variants, None, None, brand, None, None, category, None, None, description, None, "u")
 
     left = product("Orion Coil 0.6 ohm", "Lumo", "Resistencias", "malla fina")
     others = [
