@@ -9,7 +9,9 @@ from tallyloom.functions import hardware as H
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as T
 from tallyloom.functions.binding import let
+from tallyloom.operators import near
 from tallyloom.operators.products import some
+from tallyloom.session import bounded, checkpointed
 
 
 # What a base's whole text is made of, in order.
@@ -50,23 +52,40 @@ def base_features(bases: DataFrame) -> DataFrame:
     return rows.select("id", "distributor", "title", "block", "keys", features.alias("f"))
 
 
+def _held_pairs(a: DataFrame, b: DataFrame, met: DataFrame) -> DataFrame:
+    """The rows of both sides of the met ids as structs a and b; only rows that are met are shuffled."""
+
+    def side(df: DataFrame, n: str) -> DataFrame:
+        rows = df.select(F.xxhash64("id").alias(f"_{n}"), F.struct(*df.columns).alias(n))
+        return rows.join(bounded(met.select(f"_{n}").distinct(), 500_000, "ids of pairs"), f"_{n}", "left_semi")
+
+    return met.join(side(a, "a"), "_a").join(side(b, "b"), "_b")
+
+
 def scored_bases(a: DataFrame, b: DataFrame, threshold: float = 0.72) -> DataFrame:
     """a_id, b_id, b_title, score of the base pairs of one block and brand at or over the threshold.
 
-    A pair that scores shares a word of the model or has equal references, so pairs are met by
-    (block, brand, word) and (block, brand, reference) instead of all pairs of a block; both
-    together lose none. Ids of one base are distinct rows of one block.
+    A pair that is not ruled out has the subtype, versions and qualifiers in common; those of aromas that
+    differ in a word score by equal references only. So pairs are met inside such groups and by what
+    their words can still reach; together that loses none. Ids of one base are distinct rows of one block.
     """
+    bound = near.Bound(least=threshold - 0.0000005, common=0.62, larger=0.28, always=0.13, bonuses=(0.03, 0.02), floor=0.68)
+
+    def side(df: DataFrame) -> DataFrame:
+        f = F.col("f")
+        apart = F.array_sort(F.filter(f["tokens"], lambda w: w.rlike(r"^(?:v\d+[a-z]?|s\d+[a-z]?)$") | w.isin(*H.QUALIFIERS)))
+        group = F.xxhash64("block", F.col("key"), f["subtype"], F.array_join(apart, " "), F.when(f["aroma"], f["salt"]))
+        by = F.when(f["aroma"], F.xxhash64("_group", F.array_join(F.array_sort(f["tokens"]), " "))).otherwise(F.col("_group"))
+        bits = (F.size(f["caps"]) > 0).cast("int") + (F.size(f["packs"]) > 0).cast("int") * 2
+        rows = df.select("id", "block", "f", F.explode("keys").alias("key")).withColumn("_group", group)
+        return rows.select(
+            F.xxhash64("id").alias("_id"), "_group", by.alias("_by"), near.coded(f["tokens"], H.HEAVY).alias("_words"), F.array().cast("array<bigint>").alias("_drop"),
+            F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), bits.alias("_bits"), F.lit(0).alias("_kind"),
+        )
 
-    def side(df: DataFrame, n: str) -> DataFrame:
-        anchors = F.concat(F.transform("f.tokens", lambda w: F.concat(F.lit("w:"), w)), F.filter(F.array(F.concat(F.lit("k:"), F.col("f.key"))), lambda k: k.isNotNull()))
-        rows = df.select(F.col("id").alias(f"{n}_id"), "block", F.explode("keys").alias("key"), anchors.alias("_as"))
-        return rows.select(f"{n}_id", "block", "key", F.explode("_as").alias("anchor"))
-
-    met = side(a, "a").join(side(b, "b"), ["block", "key", "anchor"]).select("a_id", "b_id", "block").distinct()
-    held = lambda df, n: df.select(F.col("id").alias(f"{n}_id"), F.col("title").alias(f"{n}_title"), "block", F.col("f").alias(n))
-    full = met.join(held(a, "a"), ["a_id", "block"]).join(held(b, "b"), ["b_id", "block"])
-    scored = full.select("a_id", "b_id", "b_title", F.round(H.product_pair_score(F.col("a"), F.col("b")), 6).alias("score"))
+    met = checkpointed(near.near_pairs(side(a), side(b), bound))
+    full = _held_pairs(a, b, met).where((F.col("a.block") == F.col("b.block")) & F.arrays_overlap("a.keys", "b.keys"))
+    scored = full.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("b.title").alias("b_title"), F.round(H.product_pair_score(F.col("a.f"), F.col("b.f")), 6).alias("score"))
     return scored.groupBy("a_id", "b_id").agg(F.max("score").alias("score"), F.min("b_title").alias("b_title")).where(F.col("score") >= threshold)
 
 

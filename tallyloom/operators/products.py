@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +108,14 @@ def base_id(distributor: Column, key: Column, title: Column, url: Column) -> Col
     return F.concat(F.coalesce(some(distributor), F.lit("SRC")), F.lit(":"), F.coalesce(some(key), T.reference_key(title), F.lit("")), F.lit(":"), F.right(T.reference_key(url), F.lit(80)))
 
 
-def _representatives(rows: DataFrame) -> DataFrame:
+#: What is held of a representative; the texts only where they are described.
+IDENTITY = ["distributor", "title", "brand_found", "brands", "commercial_brand", "product_line", "breadcrumb_path", "reference", "synthetic_reference", "product_type"]
+TEXTS = ["description", "meta_description", "category"]
+
+
+def _representatives(rows: DataFrame, held: Sequence[str] = (*IDENTITY, *TEXTS)) -> DataFrame:
     """Per base group the row with the shortest title, then the first name and row_id, with counts and prices."""
     price = F.when(~F.isnan("price_tax_excluded"), F.col("price_tax_excluded"))
-    held = ["row_id", "distributor", "title", "name", "description", "meta_description", "category", "brand_found", "brands", "commercial_brand", "product_line", "breadcrumb_path", "reference", "synthetic_reference", "product_type"]
     return rows.groupBy(*GROUP).agg(
         F.min_by(F.struct(*held), F.struct(F.length("title"), "name", "row_id")).alias("rep"),
         F.count(F.lit(1)).alias("variant_count"),
@@ -132,6 +138,20 @@ def _summaries(rows: DataFrame) -> DataFrame:
     )
 
 
+def named_bases(product: DataFrame) -> DataFrame:
+    """base_rows without descriptions, categories, counts, prices and sources, none of which a match reads."""
+    rows = profiled(product)
+    joined = _representatives(rows, IDENTITY).join(_summaries(rows), GROUP, "left")
+    r = lambda c: F.col(f"rep.{c}")
+    blank = lambda c: F.coalesce(c, F.lit("")).alias
+    return joined.select(
+        base_id(F.col("side"), F.col("base_key"), r("title"), F.col("base_url")).alias("id"), r("distributor").alias("distributor"), F.col("base_url").alias("url"), r("title").alias("title"),
+        blank(r("brand_found"))("brand"), F.array_join(r("brands"), " | ").alias("brand_candidates"), blank(r("commercial_brand"))("commercial_brand"), blank(r("product_line"))("product_line"),
+        F.array_join(parts_of(r("breadcrumb_path")), " > ").alias("breadcrumb_path"), r("product_type").alias("product_type"), blank(r("reference"))("reference"),
+        blank(r("synthetic_reference"))("synthetic_reference"), "base_key", blank(F.col("variant_values"))("variant_values"),
+    )
+
+
 def base_rows(product: DataFrame) -> DataFrame:
     """One row per base product (side, brand, base key and url without fragment).
 

@@ -9,7 +9,7 @@ from tallyloom.functions import similarity as S
 from tallyloom.operators import assign, base_match, products
 from tallyloom.plans import products_sql as Q
 from tallyloom.plans.sql import sql_fold
-from tallyloom.session import table
+from tallyloom.session import stored, table
 
 QUERIES = {}
 SQL = {}
@@ -134,7 +134,7 @@ LEFT, RIGHT = ["brumacat", "calimadis", "humedra"], ["vahoria", "nubarolia"]
 
 def _base_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Features of all bases: three distributors are side A, the other two side B."""
-    features = base_match.base_features(products.base_rows(table(spark, d, "product")))
+    features = stored(base_match.base_features(products.named_bases(table(spark, d, "product"))))
     return features.where(F.col("distributor").isin(*LEFT)), features.where(F.col("distributor").isin(*RIGHT))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written once to the shared folder, for results of which several branches read parts.
+
+    Unlike a checkpoint it is compressed and read by column. The files go when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.parquet(folder)
+
+
 def release(df: DataFrame) -> None:
     """Delete the files of a checkpoint that nothing will read again: what came from it is checkpointed itself."""
     spark = df.sparkSession
