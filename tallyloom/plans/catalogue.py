@@ -194,20 +194,22 @@ INVERSE_THRESHOLD = 0.4
 _INVERSE = f"with {Q.OWN}, {Q.PROFILE}, {Q.REPS}, {Q.SUMMARY}, {Q.INVERSE}"
 
 
+def _inverse_scores(spark: SparkSession, d: str) -> DataFrame:
+    f = stored(base_match.inverse_features(products.named_bases(table(spark, d, "product"))))
+    return base_match.inverse_candidates(f.where(F.col("distributor").isin(*LEFT)), f.where(F.col("distributor").isin(*RIGHT)), INVERSE_THRESHOLD)
+
+
 @query(f"{_INVERSE} select a_id, b_id, score from inv")
 def q_inverse_score(spark: SparkSession, d: str) -> DataFrame:
     """Candidates of the inverse audit with their score.
 
     Over .4 here: the addresses of the test tables share few words, so nothing reaches the usual .88.
     """
-    f = base_match.inverse_features(products.base_rows(table(spark, d, "product")))
-    return base_match.inverse_candidates(f.where(F.col("distributor").isin(*LEFT)), f.where(F.col("distributor").isin(*RIGHT)), INVERSE_THRESHOLD).select("a_id", "b_id", "score")
+    return _inverse_scores(spark, d).select("a_id", "b_id", "score")
 
 
 @query(
     f"{_INVERSE}, r as (select *, row_number() over (partition by a_id order by score desc, b_title, b_id) as n from inv) select a_id, max(b_id) filter (n = 1) as best, max(score) filter (n = 1) as best_score, coalesce(string_agg(b_id || ':' || printf('%.2f', score), '|' order by n) filter (n between 2 and 6), '') as alternatives from r group by 1"
 )
 def q_inverse_best(spark: SparkSession, d: str) -> DataFrame:
-    f = base_match.inverse_features(products.base_rows(table(spark, d, "product")))
-    pairs = base_match.inverse_candidates(f.where(F.col("distributor").isin(*LEFT)), f.where(F.col("distributor").isin(*RIGHT)), INVERSE_THRESHOLD)
-    return assign.best_and_alternatives(pairs, "a_id", "b_id", "score", "b_title")
+    return assign.best_and_alternatives(_inverse_scores(spark, d), "a_id", "b_id", "score", "b_title")

@@ -43,3 +43,31 @@ def test_a_word_of_all_rows_brings_no_pair_together(spark):
     bound = near.Bound(0.72, 0.62, 0.28, 0.13, floor=0.68)
     met = near.near_pairs(side(1), side(1), bound, buckets=4)
     assert met.where("_a = _b").count() == 1000 and met.count() < 1100
+
+
+INVERSE = "id string, distributor string, title string, keys array<string>, f struct<tokens array<string>, brand_words array<string>, kind string, group string, key string, ml array<double>, ohm array<double>, packs array<double>, promo boolean>"
+
+
+def _inverse_bases(spark, n, seed):
+    rnd = random.Random(seed)
+    some = lambda xs, k: rnd.sample(xs, rnd.randrange(k + 1))
+    words = [f"w{chr(97 + i)}" for i in range(9)] + ["mesho", "x7", "dtl", "brefi", "gumito"]
+    out = []
+    for i in range(n):
+        kind, group = rnd.choice([("coil", "parts"), ("pod", "parts"), ("eliquid", "liquidos"), ("aroma_concentrate", "liquidos")])
+        brands = some(["brefi", "gumito", "wa"], 2)
+        own = [w for w in ["example", *some(words, 6)] if w not in brands]
+        f = (own, brands, kind, group, rnd.choice([None, f"k{rnd.randrange(30)}"]), some([2.0, 3.0], 1), some([1.0], 1), some([4.0], 1), rnd.choice([None, False, False, True]))
+        out.append((f"{seed}:{i}", "d", f"t{i}", some(["p", "q", "r"], 2), f))
+    return spark.createDataFrame(out, INVERSE)
+
+
+def test_inverse_candidates_equal_all_pairs_of_their_brands(spark):
+    a, b = _inverse_bases(spark, 150, 1), _inverse_bases(spark, 150, 2)
+    for threshold in (0.4, 0.88):
+        x, y = (df.select(F.struct("*").alias(n)) for df, n in ((a, "a"), (b, "b")))
+        every = x.crossJoin(y).where(F.arrays_overlap("a.keys", "b.keys") | ((F.size("a.keys") == 0) & (F.size("b.keys") == 0)))
+        scored = every.select("a.id", "b.id", "b.title", base_match.inverse_score(F.col("a.f"), F.col("b.f")).alias("s"))
+        want = {tuple(r) for r in scored.where(F.col("s") >= threshold).collect()}
+        got = [(r.a_id, r.b_id, r.b_title, r.score) for r in base_match.inverse_candidates(a, b, threshold).collect()]
+        assert set(got) == want and len(got) == len(want) > 20
