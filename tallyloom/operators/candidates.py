@@ -87,19 +87,33 @@ def _best_of_blocks(keep: int):
         owner = np.repeat(np.arange(n, dtype="int32"), [len(t) for t in right["_b_tokens"]])
         order = np.argsort(words, kind="stable")
         words, owner = words[order], owner[order]
+        posted, start, count = np.unique(words, return_index=True, return_counts=True)
+        # words of more than a 32nd of the rows are added as columns, the others by their postings
+        kind = "uint8" if max(map(len, left["_tokens"])) < 256 else "int32"
+        columns = {}
+        for w in np.flatnonzero(count * 32 > n):
+            columns[w] = np.zeros(n, kind)
+            columns[w][owner[start[w] : start[w] + count[w]]] = 1
         out = []
         for a_id, tokens in zip(left["_id"], left["_tokens"], strict=True):
             t = np.asarray(tokens, "int64")
-            lo, hi = np.searchsorted(words, t, "left"), np.searchsorted(words, t, "right")
-            posted = [owner[i:j] for i, j in zip(lo, hi, strict=True) if j > i]
-            if not posted:
+            at = np.searchsorted(posted, t)
+            at = [w for w, x in zip(at.tolist(), t.tolist(), strict=True) if w < len(posted) and posted[w] == x]
+            if not at:
                 continue
-            shared = np.bincount(np.concatenate(posted), minlength=n)
-            # the least count that still reaches `keep`, so that only rows from it on are sorted
-            reach = np.cumsum(np.bincount(shared)[:0:-1])
-            least = max(1, len(reach) - int(np.searchsorted(reach, keep)))
-            hits = np.flatnonzero(shared >= least)
-            hits = hits[np.argsort(-shared[hits], kind="stable")[:keep]]
+            shared = np.zeros(n, kind)
+            for w in at:
+                if w in columns:
+                    shared += columns[w]
+                else:
+                    shared[owner[start[w] : start[w] + count[w]]] += 1  # a row is posted once a word
+            # the least count that still reaches `keep`; of the rows with just that count the first ids stay
+            least = int(shared.max())
+            while least > 1 and np.count_nonzero(shared >= least) < keep:
+                least -= 1
+            above = np.flatnonzero(shared > least)
+            above = above[np.argsort(-shared[above].astype("int32"), kind="stable")]
+            hits = np.concatenate([above, np.flatnonzero(shared == least)])[:keep]
             out.append((np.full(len(hits), a_id), b_ids[hits], shared[hits], np.arange(1, len(hits) + 1)))
         a, b, s, p = (np.concatenate([o[i] for o in out]) if out else np.array([], "int64") for i in range(4))
         return pd.DataFrame({"a_id": a.astype("int64"), "b_side": right["_b_side"].iloc[0], "b_id": b.astype("int64"), "shared": s.astype("int32"), "position": p.astype("int32")})

@@ -23,3 +23,16 @@ def test_no_row_loses_its_candidates_to_a_posting_cap(spark):
     df = spark.createDataFrame(rows, "id bigint, side string, tokens array<string>")
     got = candidates.shared_token_best(df, "id", "side", "tokens", 120)
     assert got.select("a_id").distinct().count() == 1000 and got.count() == 120_000
+
+
+def test_counts_over_a_byte_and_rare_words_equal_brute_force(spark):
+    rnd = random.Random(3)
+    many = [f"m{i}" for i in range(300)]
+    rows = [(i, "xy"[i % 2], many[: rnd.choice([0, 5, 254, 300])] + [f"r{rnd.randrange(200)}" for _ in range(4)]) for i in range(160)]
+    want = set()
+    for a, s, t in rows:
+        best = sorted((-len(set(t) & set(u)), b) for b, v, u in rows if v != s and set(t) & set(u))[:9]
+        want |= {(a, b, -n, i) for i, (n, b) in enumerate(best, 1)}
+    df = spark.createDataFrame(rows, "id bigint, side string, tokens array<string>")
+    got = candidates.shared_token_best(df, "id", "side", "tokens", 9).collect()
+    assert {(r.a_id, r.b_id, r.shared, r.position) for r in got} == want and len(got) == len(want)
