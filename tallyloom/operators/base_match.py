@@ -76,11 +76,10 @@ def scored_bases(a: DataFrame, b: DataFrame, threshold: float = 0.72) -> DataFra
         apart = F.array_sort(F.filter(f["tokens"], lambda w: w.rlike(r"^(?:v\d+[a-z]?|s\d+[a-z]?)$") | w.isin(*H.QUALIFIERS)))
         group = F.xxhash64("block", F.col("key"), f["subtype"], F.array_join(apart, " "), F.when(f["aroma"], f["salt"]))
         by = F.when(f["aroma"], F.xxhash64("_group", F.array_join(F.array_sort(f["tokens"]), " "))).otherwise(F.col("_group"))
-        bits = (F.size(f["caps"]) > 0).cast("int") + (F.size(f["packs"]) > 0).cast("int") * 2
         rows = df.select("id", "block", "f", F.explode("keys").alias("key")).withColumn("_group", group)
         return rows.select(
             F.xxhash64("id").alias("_id"), "_group", by.alias("_by"), near.coded(f["tokens"], H.HEAVY).alias("_words"), F.array().cast("array<bigint>").alias("_drop"),
-            F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), bits.alias("_bits"), F.lit(0).alias("_kind"),
+            F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), near.bits([f["caps"], f["packs"]]).alias("_bits"), F.lit(0).alias("_kind"),
         )
 
     met = checkpointed(near.near_pairs(side(a), side(b), bound))
@@ -149,10 +148,10 @@ def inverse_candidates(a: DataFrame, b: DataFrame, threshold: float = 0.88) -> D
 
     def side(df: DataFrame) -> DataFrame:
         f = F.col("f")
-        held = lambda name, bit: (F.size(f[name]) > 0).cast("int") * bit
+        bits = near.bits([f["ml"], f["ohm"], f["packs"]], whole=f["kind"] == "aroma_concentrate", two=f["group"] == "liquidos")
         return df.select("id", "f", F.explode(brands).alias("brand")).withColumn("_group", F.xxhash64("brand", f["group"])).select(
             F.xxhash64("id").alias("_id"), "_group", F.col("_group").alias("_by"), near.coded(f["tokens"], H.HEAVY).alias("_words"), near.coded(F.array_distinct(f["brand_words"]), H.HEAVY).alias("_drop"),
-            F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), (held("ml", 1) + held("ohm", 2) + held("packs", 4)).alias("_bits"), F.xxhash64(f["kind"]).alias("_kind"),
+            F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), bits.alias("_bits"), F.xxhash64(f["kind"]).alias("_kind"),
         )
 
     full = _held_pairs(a, b, checkpointed(near.near_pairs(side(a), side(b), bound)))

@@ -17,7 +17,7 @@ class Bound(NamedTuple):
     """The most that a score can be: common * shared / union + larger * (the larger of the shares) + bonuses.
 
     floor: this share of the smaller row's weight is enough by itself where two words are shared.
-    bonuses: what both rows' bits of that place add; alike: what equal kinds add; always: what any pair may get.
+    bonuses: what equal values in that place of the bits add; alike: what equal kinds add; always: what any pair may get.
     """
 
     least: float
@@ -28,10 +28,22 @@ class Bound(NamedTuple):
     alike: float = 0.0
     floor: float | None = None
 
-    def share(self) -> float:
-        """The least share of the smaller row's weight that a pair must have in common."""
-        by_value = (self.least - self.always - self.alike - sum(self.bonuses)) / (self.common + self.larger)
-        return max(0.0, (by_value if self.floor is None else min(by_value, self.floor)) - 1e-9)
+
+#: Bits of the hashes of one set of values; up to three sets and the two flags fit a bigint.
+_SET = 20
+_WHOLE, _TWO = 60, 61
+
+
+def bits(sets: Sequence[Column], whole: Column | None = None, two: Column | None = None) -> Column:
+    """Sets of values by their hashes, and what a row demands of a pair: whole: that all words are shared; two: at least two."""
+    held = lambda p: lambda s, v: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.pmod(F.xxhash64(v), F.lit(_SET)) + p * _SET).cast("int")))
+    out = F.lit(0).cast("bigint")
+    for p, values in enumerate(sets):
+        out = F.aggregate(values, out, held(p))
+    for at, flag in ((_WHOLE, whole), (_TWO, two)):
+        if flag is not None:
+            out = out.bitwiseOR(F.when(flag, F.lit(1 << at)).otherwise(0).cast("bigint"))
+    return out
 
 
 def coded(words: Column, heavy: Sequence[str] = ()) -> Column:
@@ -45,7 +57,7 @@ def near_pairs(a: DataFrame, b: DataFrame, bound: Bound, buckets: int = 64, spli
 
     Sides have _id, _group (rows of other groups never pair), _by (the same, or narrower for pairs
     without equal keys), _words (coded), _drop (coded words that do not count in rows they meet), _key
-    (0 for none), _bits and _kind. Groups are spread over buckets by their hash and rows of a over
+    (0 for none), _bits (of bits()) and _kind. Two filled sets without a value in common rule a pair out. Groups are spread over buckets by their hash and rows of a over
     `split` parts; a task holds the postings of its rows. A pair in reach shares one of the words of
     its lighter row that remain after the most frequent ones too light to reach the least share, so
     only those look up the other side.
@@ -57,7 +69,7 @@ def near_pairs(a: DataFrame, b: DataFrame, bound: Bound, buckets: int = 64, spli
 
 
 def _near(bound: Bound):
-    weights, share, chunk = WEIGHTS, bound.share(), 1_000_000
+    weights, chunk = WEIGHTS, 1_000_000
 
     def run(left, right):
         import numpy as np
@@ -70,18 +82,78 @@ def _near(bound: Bound):
             lens = np.array([len(x) for x in lists], "int64")
             return np.repeat(np.arange(len(lens)), lens), np.concatenate([np.asarray(x, "int64") for x in lists] or [np.array([], "int64")])
 
+        class Held:
+            """A set of numbers that says yes for some others too, which only lets more pairs through to the score."""
+
+            def __init__(self, values):
+                self.mask = (1 << max(10, (24 * len(values)).bit_length())) - 1
+                self.seen = np.zeros(self.mask + 1, bool)
+                for at in self.places(values):
+                    self.seen[at] = True
+
+            def places(self, values):
+                return (values >> 20) & self.mask, (values ^ (values >> 33)) & self.mask
+
+            def has(self, values):
+                one, two = self.places(values)
+                return self.seen[one] & self.seen[two]
+
         class Side:
             def __init__(self, df, p):
                 self.n, (self.id, self.group, self.by, self.key, self.bits, self.kind) = len(df), (df[f"{p}{c}"].to_numpy("int64") for c in ("_id", "_group", "_by", "_key", "_bits", "_kind"))
                 self.row, word = flat(df[f"{p}_words"])
                 self.w, self.k = weight[word & 3], self.by[self.row] ^ (word * odd)
                 at, drop = flat(df[f"{p}_drop"])
-                self.drop = np.unique(self.by[at] ^ (drop * odd))
+                drop = self.by[at] ^ (drop * odd)
+                self.drop, self.drops = np.unique(drop), Held(drop + at * other)
 
             def lighten(self, drop):
-                """The least weight of a row, without the words that rows of the other side may drop."""
-                kept = self.w * ~np.isin(self.k, drop) if len(drop) else self.w
-                self.least = np.bincount(self.row, weights=kept, minlength=self.n)
+                """The least weight of a row, without the words that rows of the other side may drop; those by row."""
+                loose = np.isin(self.k, drop)
+                self.least = np.bincount(self.row, weights=self.w * ~loose, minlength=self.n)
+                self.whole = np.bincount(self.row, weights=self.w, minlength=self.n)
+                self.loose_k, self.loose_w = self.k[loose], self.w[loose]
+                self.loose = np.searchsorted(self.row[loose], np.arange(self.n + 1))
+
+            def left(self, i, y, j):
+                """The weight of rows i without the words that rows j of y drop."""
+                pair, place = spans(np.arange(len(i)), self.loose[i], self.loose[i + 1] - self.loose[i])
+                gone = self.loose_w[place] * y.drops.has(self.loose_k[place] + j[pair] * other)
+                return self.whole[i] - np.bincount(pair, weights=gone, minlength=len(i))
+
+        def filled(bits, p):
+            return (bits >> (p * _SET)) & ((1 << _SET) - 1)
+
+        def flag(bits, at):
+            return (bits >> at) & 1 == 1
+
+        def least_share(x):
+            """The least share of its own weight that each row must have in common with one at least as heavy."""
+            need = np.maximum(bound.least - bound.always - bound.alike - sum((v * (filled(x.bits, p) != 0) for p, v in enumerate(bound.bonuses)), np.zeros(x.n)), 0.0)
+            c, l = bound.common, bound.larger
+            b = c + 2 * l + need
+            share = 4 * need / (b + np.sqrt(np.maximum(b * b - 8 * l * need, 0.0)))  # common * s / (2 - s) + larger * s = need
+            if bound.floor is not None:
+                share = np.minimum(share, bound.floor)
+            return np.where(flag(x.bits, _WHOLE), 1.0, share) - 1e-9
+
+        def within(x, y, i, j, c, u, v, n=None):
+            """Whether pairs of at least the weights u and v that share at most c (and n words) may reach the score."""
+            p, q = x.bits[i], y.bits[j]
+            most = bound.common * np.minimum(1.0, c / np.maximum(u + v - c, np.maximum(c, 1e-9))) + bound.always + bound.alike * (x.kind[i] == y.kind[j])
+            larger = np.minimum(1.0, c / np.maximum(np.minimum(u, v), 1e-9))
+            apart = np.zeros(len(i), bool)
+            for at, value in enumerate(bound.bonuses):
+                f, g = filled(p, at), filled(q, at)
+                both = (f & g) != 0
+                apart |= (f != 0) & (g != 0) & ~both
+                most = most + value * both
+            ok = most + bound.larger * larger >= bound.least - 1e-6
+            if bound.floor is not None:
+                ok |= (larger >= bound.floor - 1e-6) & (n is None or n >= 2)
+            if n is not None:
+                ok &= ~flag(p | q, _TWO) | (n >= 2)
+            return ok & ~apart & (~flag(p | q, _WHOLE) | (c >= np.maximum(u, v) - 1e-6))
 
         def spans(of, lo, n):
             """Entry and place of every place lo[i] .. lo[i] + n[i] - 1."""
@@ -100,24 +172,26 @@ def _near(bound: Bound):
                 yield at, to
                 at = to
 
-        def looked_up(x, y, lighter):
-            order = np.argsort(y.k, kind="stable")
-            keys, rows = y.k[order], y.row[order]
-            held = np.sort(y.k + y.row * other)
-            lo = np.searchsorted(keys, x.k, "left")
-            n = np.searchsorted(keys, x.k, "right") - lo
+        def looked_up(x, y, keys, lighter):
+            rows = y.row[np.argsort(y.at, kind="stable")]
+            held = Held(y.k + y.row * other)
+            each = np.bincount(y.at, minlength=keys)
+            lo, n = (np.cumsum(each) - each)[x.at], each[x.at]
             at = np.flatnonzero(n > 0)
             at = at[np.lexsort((n[at], x.row[at]))]
             row, w, lo, n, k = x.row[at], x.w[at], lo[at], n[at], x.k[at]
             first = np.searchsorted(row, np.arange(x.n + 1))
             sums = np.concatenate([[0.0], np.cumsum(w)])
             rest = sums[first[row + 1]] - sums[:-1]
-            few = np.flatnonzero(rest >= share * x.least[row] - 1e-6)
+            all_shared = sums[first[1:]] - sums[first[:-1]]
+            last = np.arange(len(row)) == first[row + 1] - 1
+            few = np.flatnonzero((rest >= (least_share(x) * x.least)[row] - 1e-6) & ~(last & flag(x.bits[row], _TWO)))
             row_p, lo_p, n_p = row[few], lo[few], n[few]
             for start, end in chunks(row_p, n_p):
                 i, place = spans(row_p[start:end], lo_p[start:end], n_p[start:end])
                 j = rows[place]
-                fits = lighter(x.least[i], y.least[j])
+                fits = np.flatnonzero(lighter(x.least[i], y.least[j]))
+                fits = fits[within(x, y, i[fits], j[fits], all_shared[i[fits]], x.least[i[fits]], y.least[j[fits]])]
                 pair = np.unique(i[fits] * y.n + j[fits])
                 i, j = pair // y.n, pair % y.n
                 for s in range(0, len(i), chunk // 8):
@@ -128,17 +202,12 @@ def _near(bound: Bound):
                 return i, j
             pair, place = spans(np.arange(len(i)), first[i], first[i + 1] - first[i])
             want = k[place] + j[pair] * other
-            hit = held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
+            hit = held.has(want)
             c = np.bincount(pair, weights=w[place] * hit, minlength=len(i))
-            u, v = x.least[i], y.least[j]
-            bits = x.bits[i] & y.bits[j]
-            most = bound.common * np.minimum(1.0, c / np.maximum(u + v - c, c)) + bound.always + bound.alike * (x.kind[i] == y.kind[j])
-            larger = np.minimum(1.0, c / np.maximum(np.minimum(u, v), 1e-9))
-            for p, value in enumerate(bound.bonuses):
-                most = most + value * ((bits >> p) & 1)
-            ok = most + bound.larger * larger >= bound.least - 1e-6
-            if bound.floor is not None:
-                ok |= (np.bincount(pair, weights=hit, minlength=len(i)) >= 2) & (larger >= bound.floor - 1e-6)
+            n = np.bincount(pair, weights=hit, minlength=len(i))
+            ok = within(x, y, i, j, c, x.least[i], y.least[j], n)
+            i, j, c, n = i[ok], j[ok], c[ok], n[ok]
+            ok = within(x, y, i, j, c, x.left(i, y, j), y.left(j, x, i), n)
             return i[ok], j[ok]
 
         def same_key(x, y):
@@ -155,8 +224,10 @@ def _near(bound: Bound):
             a, b = Side(left, ""), Side(right, "r")
             a.lighten(b.drop)
             b.lighten(a.drop)
-            found = [(a.id[i], b.id[j]) for i, j in looked_up(a, b, np.less_equal)]
-            found += [(a.id[i], b.id[j]) for j, i in looked_up(b, a, np.less)]
+            known, at = np.unique(np.concatenate([a.k, b.k]), return_inverse=True)
+            a.at, b.at = at[: len(a.k)], at[len(a.k) :]
+            found = [(a.id[i], b.id[j]) for i, j in looked_up(a, b, len(known), np.less_equal)]
+            found += [(a.id[i], b.id[j]) for j, i in looked_up(b, a, len(known), np.less)]
             i, j = same_key(a, b)
             found.append((a.id[i], b.id[j]))
         one, two = (np.concatenate([f[s] for f in found] or [np.array([], "int64")]) for s in (0, 1))

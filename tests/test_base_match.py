@@ -71,3 +71,10 @@ def test_inverse_candidates_equal_all_pairs_of_their_brands(spark):
         want = {tuple(r) for r in scored.where(F.col("s") >= threshold).collect()}
         got = [(r.a_id, r.b_id, r.b_title, r.score) for r in base_match.inverse_candidates(a, b, threshold).collect()]
         assert set(got) == want and len(got) == len(want) > 20
+
+
+def test_hardly_more_inverse_pairs_are_met_than_score(spark, monkeypatch):
+    met, real = [], near.near_pairs
+    monkeypatch.setattr(near, "near_pairs", lambda *sides: met.append(real(*sides)) or met[-1])
+    got = base_match.inverse_candidates(_inverse_bases(spark, 300, 1), _inverse_bases(spark, 300, 2), 0.4).count()
+    assert got > 1000 and met[0].count() < 1.5 * got
