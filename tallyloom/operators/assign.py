@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import checkpointed, release
+from tallyloom.session import checkpointed, release, stored
 
 
 def best_and_alternatives(pairs: DataFrame, left: str, right: str, score: str, tie: str, alternatives: int = 5) -> DataFrame:
@@ -29,20 +29,20 @@ def greedy_one_to_one(edges: DataFrame, left: str, right: str, order: Sequence[t
     An edge is kept iff no better edge at either end is kept. Each round keeps the edges that
     rank first at both their ends and deletes all edges that touch a kept end, until none is
     left; the best of all edges goes in every round, so it ends. The rank at an end is the least
-    order struct there (an aggregate, not a sort), the lineage is cut after every round and the
-    former round's files deleted. order is (column, whether descending) and must end in a unique
-    key; descending columns are numbers, and no order column is null.
+    order struct there (an aggregate, not a sort). What a round leaves is stored, without the order
+    structs, and the former round's files are deleted. order is (column, whether descending) and must
+    end in a unique key; descending columns are numbers, and no order column is null.
     """
-    live = checkpointed(edges.withColumn("_o", F.struct(*[(-F.col(c) if down else F.col(c)).alias(f"k{i}") for i, (c, down) in enumerate(order)])))
-    kept = None
-    while not live.isEmpty():
+    held, kept = stored(edges), None
+    while not held.isEmpty():
+        live = held.withColumn("_o", F.struct(*[(-F.col(c) if down else F.col(c)).alias(f"k{i}") for i, (c, down) in enumerate(order)]))
         first = lambda end: live.groupBy(end).agg(F.min("_o").alias("_o"))
-        won = checkpointed(live.join(first(left), [left, "_o"], "left_semi").join(first(right), [right, "_o"], "left_semi"))
+        won = stored(live.join(first(left), [left, "_o"], "left_semi").join(first(right), [right, "_o"], "left_semi").select(*edges.columns))
         kept = won if kept is None else kept.unionByName(won)
-        rest = checkpointed(live.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
-        release(live)
-        live = rest
-    return (live if kept is None else kept).select(*edges.columns)
+        rest = stored(held.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti").select(*edges.columns))
+        release(held)
+        held = rest
+    return held if kept is None else kept
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

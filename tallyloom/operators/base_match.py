@@ -11,7 +11,7 @@ from tallyloom.functions import text as T
 from tallyloom.functions.binding import let
 from tallyloom.operators import near
 from tallyloom.operators.products import some
-from tallyloom.session import bounded, checkpointed
+from tallyloom.session import bounded, stored
 
 
 # What a base's whole text is made of, in order.
@@ -82,7 +82,7 @@ def scored_bases(a: DataFrame, b: DataFrame, threshold: float = 0.72) -> DataFra
             F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), near.bits([f["caps"], f["packs"]]).alias("_bits"), F.lit(0).alias("_kind"),
         )
 
-    met = checkpointed(near.near_pairs(side(a), side(b), bound))
+    met = stored(near.near_pairs(side(a), side(b), bound))
     full = _held_pairs(a, b, met).where((F.col("a.block") == F.col("b.block")) & F.arrays_overlap("a.keys", "b.keys"))
     scored = full.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("b.title").alias("b_title"), F.round(H.product_pair_score(F.col("a.f"), F.col("b.f")), 6).alias("score"))
     return scored.groupBy("a_id", "b_id").agg(F.max("score").alias("score"), F.min("b_title").alias("b_title")).where(F.col("score") >= threshold)
@@ -154,7 +154,7 @@ def inverse_candidates(a: DataFrame, b: DataFrame, threshold: float = 0.88) -> D
             F.when(f["key"].isNotNull(), F.xxhash64(f["key"])).otherwise(F.lit(0)).alias("_key"), bits.alias("_bits"), F.xxhash64(f["kind"]).alias("_kind"),
         )
 
-    full = _held_pairs(a, b, checkpointed(near.near_pairs(side(a), side(b), bound)))
+    full = _held_pairs(a, b, stored(near.near_pairs(side(a), side(b), bound)))
     one_brand = F.arrays_overlap("a.keys", "b.keys") | ((F.size("a.keys") == 0) & (F.size("b.keys") == 0))
     scored = full.where(one_brand).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("b.title").alias("b_title"), inverse_score(F.col("a.f"), F.col("b.f")).alias("score"))
     return scored.where(F.col("score") >= threshold)

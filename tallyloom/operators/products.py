@@ -138,10 +138,20 @@ def _summaries(rows: DataFrame) -> DataFrame:
     )
 
 
+def _named_groups(rows: DataFrame) -> DataFrame:
+    """Per base group rep (without texts) and variant_values, over one shuffle: equal captures fall together before a group is listed."""
+    order = F.struct(F.length("title"), "name", "row_id")
+    placed = rows.select(*GROUP, "row_id", F.struct(*IDENTITY).alias("rep"), order.alias("order"), F.map_entries("own").alias("entries")).repartition(*GROUP)
+    captures = placed.groupBy(*GROUP, "entries").agg(F.min_by("rep", "order").alias("rep"), F.min("order").alias("order"), F.min("row_id").alias("row_id"))
+    groups = captures.groupBy(*GROUP).agg(F.min_by("rep", "order").alias("rep"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "entries"))), lambda x: x["entries"])).alias("es"))
+    values = lambda es, k: F.array_sort(F.array_distinct(F.transform(F.filter(es, lambda e: e["key"] == k), lambda e: e["value"])))
+    line = lambda es: F.transform(F.array_distinct(F.transform(es, lambda e: e["key"])), lambda k: F.concat(k, F.lit(": "), F.array_join(values(es, k), " | ")))
+    return groups.select(*GROUP, "rep", F.array_join(line(F.col("es")), "; ").alias("variant_values"))
+
+
 def named_bases(product: DataFrame) -> DataFrame:
     """base_rows without descriptions, categories, counts, prices and sources, none of which a match reads."""
-    rows = profiled(product)
-    joined = _representatives(rows, IDENTITY).join(_summaries(rows), GROUP, "left")
+    joined = _named_groups(profiled(product))
     r = lambda c: F.col(f"rep.{c}")
     blank = lambda c: F.coalesce(c, F.lit("")).alias
     return joined.select(

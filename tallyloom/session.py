@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Shuffle files are deleted when the query ends, not when the driver happens to collect garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def get_spark(app: str = "tallyloom", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller's session is used as it is."""
     return (
@@ -59,26 +63,34 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """df written once to the shared folder, for results of which several branches read parts.
 
-    Unlike a checkpoint it is compressed and read by column. The files go when the session's JVM ends.
+    Unlike a checkpoint it is compressed and read by column, and the shuffle files that it was made from go at once. Its own
+    files go with release, or when the session's JVM ends.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
-    df.write.parquet(folder)
+    folder = f"{shared_folder(spark)}/stored-{uuid.uuid4()}"
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.parquet(folder)
 
 
 def release(df: DataFrame) -> None:
-    """Delete the files of a checkpoint that nothing will read again: what came from it is checkpointed itself."""
+    """Delete the files of a checkpoint or stored table that nothing will read again: what came from it is written itself."""
     spark = df.sparkSession
     plan = df._jdf.queryExecution().analyzed()
-    if plan.getClass().getSimpleName() != "LogicalRDD":
+    kind = plan.getClass().getSimpleName()
+    if kind == "LogicalRDD" and plan.rdd().getCheckpointFile().isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(plan.rdd().getCheckpointFile().get())
+    elif kind == "LogicalRelation" and plan.relation().location().rootPaths().head().getName().startswith("stored-"):
+        path = plan.relation().location().rootPaths().head()
+    else:
         return
-    file = plan.rdd().getCheckpointFile()
-    if file.isDefined():
-        path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
