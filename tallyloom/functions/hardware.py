@@ -55,12 +55,10 @@ def _tokens(text: Column, brands: Column, kind: Column, generic: Sequence[str] =
     for pattern in (r"\b(\d+)[.,](\d+)\s*ml\b", r"\b\d+(?:[.,]\d+)?\s*ohm\b", r"\b\d+\s*(?:ml|mah|w|pcs|pc|pzs|unidades)\b", r"\bpack\s*(?:de\s*)?\d+\b"):
         text = F.regexp_replace(text, pattern, " ")
     respelled = F.create_map(*[F.lit(x) for pair in respelling.items() for x in pair])
-    stop = F.array(*[F.lit(w) for w in generic])
-
     def kept(w: Column) -> Column:
         number = w.rlike("^[0-9]+$") & ~(F.coalesce(kind.isin(*NUMBERED_KINDS), F.lit(False)) & (F.length(w) == 1))
         letter = (F.length(w) == 1) & ~w.rlike("[0-9]") & ~w.isin(*LETTERS)
-        return ~(F.array_contains(brands, w) | F.array_contains(stop, w) | w.rlike(r"^p\d+$|^\d+b$|\d+ml") | number | letter)
+        return ~(w.isin(*generic) | F.array_contains(brands, w) | w.rlike(r"^p\d+$|^\d+b$|\d+ml") | number | letter)
 
     return F.array_distinct(F.filter(F.transform(_split(text), lambda w: F.coalesce(F.element_at(respelled, w), w)), kept))
 

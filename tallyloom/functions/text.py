@@ -7,6 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.binding import let
 
 
 def _unaccented() -> dict[str, str]:
@@ -97,11 +98,14 @@ def listed(c: Column) -> Column:
 
 def variant_name(c: Column) -> Column:
     """The canonical name of a dimension; others keep their folded name, blank ones are `variante`."""
-    k = fold(c)
-    out = None
-    for name, spelled in VARIANT_NAMES:
-        out = F.when(k.isin(*spelled), F.lit(name)) if out is None else out.when(k.isin(*spelled), F.lit(name))
-    return out.otherwise(F.coalesce(F.nullif(k, F.lit("")), F.lit("variante")))
+
+    def first(k: Column) -> Column:
+        out = None
+        for name, spelled in VARIANT_NAMES:
+            out = F.when(k.isin(*spelled), F.lit(name)) if out is None else out.when(k.isin(*spelled), F.lit(name))
+        return out.otherwise(F.coalesce(F.nullif(k, F.lit("")), F.lit("variante")))
+
+    return let(fold(c), first)
 
 
 def sorted_entries(m: Column) -> Column:

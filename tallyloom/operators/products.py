@@ -82,7 +82,8 @@ def inferred_brand(candidates: Column, commercial: Column, brand: Column, title:
 def unique_spellings(values: Column) -> Column:
     """Distinct by letters and digits, first spelling and order kept."""
     key = lambda v: F.regexp_replace(T.fold(v), "[^a-z0-9]+", "")
-    return let(parts_of(values), lambda vs: F.filter(vs, lambda v, i: (key(v) != "") & (F.array_position(F.transform(vs, key), key(v)) == i + 1)))
+    first = lambda vs, ks: F.filter(vs, lambda v, i: (F.get(ks, i) != "") & (F.array_position(ks, F.get(ks, i)) == i + 1))
+    return let(parts_of(values), lambda vs: let(F.transform(vs, key), lambda ks: first(vs, ks)))
 
 
 def profiled(p: DataFrame) -> DataFrame:
