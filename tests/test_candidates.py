@@ -36,3 +36,11 @@ def test_counts_over_a_byte_and_rare_words_equal_brute_force(spark):
     df = spark.createDataFrame(rows, "id bigint, side string, tokens array<string>")
     got = candidates.shared_token_best(df, "id", "side", "tokens", 9).collect()
     assert {(r.a_id, r.b_id, r.shared, r.position) for r in got} == want and len(got) == len(want)
+
+
+def test_no_row_is_shuffled_per_block_it_meets(spark):
+    rows = [(i, "xyz"[i % 3], [f"w{i % 7}", f"v{i % 11}", "common"]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, side string, tokens array<string>")
+    best = candidates.shared_token_best(df, "id", "side", "tokens", 5, 20)
+    assert "Exchange" not in best._jdf.queryExecution().executedPlan().toString()
+    assert best.count() == 200 * 2 * 5
