@@ -76,7 +76,7 @@ def stored(df: DataFrame, by: list[str] | None = None) -> DataFrame:
         spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.parquet(folder)
+    return (spark.read.schema(df.schema) if by else spark.read).parquet(folder)  # divided files of no rows have no schema
 
 
 def release(df: DataFrame) -> None:

@@ -44,3 +44,8 @@ def test_no_row_is_shuffled_per_block_it_meets(spark):
     best = candidates.shared_token_best(df, "id", "side", "tokens", 5, 20)
     assert "Exchange" not in best._jdf.queryExecution().executedPlan().toString()
     assert best.count() == 200 * 2 * 5
+
+
+def test_rows_without_words_have_no_candidates(spark):
+    df = spark.createDataFrame([(1, "x", []), (2, "y", [])], "id bigint, side string, tokens array<string>")
+    assert candidates.shared_token_best(df, "id", "side", "tokens", 5).collect() == []
